@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarry.plans import migration_queries, text_queries, time_queries
+from quarry.plans import assignment_queries, migration_queries, text_queries, time_queries
 
-_MODULES = [text_queries, time_queries, migration_queries]
+_MODULES = [text_queries, time_queries, migration_queries, assignment_queries]
 
 QUERIES = {}
 for _m in _MODULES:
