@@ -26,7 +26,9 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.common import DEFAULT_BROADCAST_ROWS, broadcast_if_small, require
-from quarry.session import reliable_checkpoint
+import uuid
+
+from quarry.session import reliable_checkpoint, scratch_table_path
 
 # Fixed values of the job: discount, sweep cap, stop threshold on the summed
 # absolute change of one sweep, initial value.
@@ -42,15 +44,23 @@ def transition_probs(transitions: DataFrame) -> DataFrame:
     return transitions.withColumn("p", F.col("weight") / total)
 
 
-def cost_table(directed_costs: DataFrame, n_partitions: int | None = None) -> DataFrame:
-    """Hash-partition by (from_state, from_id), order each partition by from_state
-    (so cached batches of other states are skipped), checkpoint."""
+def cost_table(directed_costs: DataFrame, n_buckets: int | None = None) -> DataFrame:
+    """Write the directed cost table once to the shared checkpoint directory,
+    partitioned by ``from_state`` and bucketed by ``from_id``, and read it back.
+
+    An update of state s then reads only the ``from_state = s`` directory, and
+    both of its aggregations (keys contain ``from_id``) run on the bucketed
+    layout without an exchange. Files on shared storage survive executor loss.
+    """
     spark = directed_costs.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = (directed_costs.select("from_state", "from_id", "to_state", "to_id", "cost")
-             .repartition(n, "from_state", "from_id")
-             .sortWithinPartitions("from_state", "to_state"))
-    return reliable_checkpoint(table).persist()
+    n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_table_path(spark, "cost")
+    name = "quarry_cost_" + uuid.uuid4().hex
+    (directed_costs.select("from_state", "from_id", "to_state", "to_id", "cost")
+     .repartition(n, "from_id")
+     .write.partitionBy("from_state").bucketBy(n, "from_id").sortBy("from_id")
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
 
 
 def bellman_update(cost: DataFrame, probs: DataFrame, values: DataFrame, gamma: float = GAMMA,
@@ -60,7 +70,8 @@ def bellman_update(cost: DataFrame, probs: DataFrame, values: DataFrame, gamma:
     with outgoing transitions when None), reading target values from ``values``."""
     c = cost if from_state is None else cost.where(F.col("from_state") == from_state)
     v = values.select(F.col("state").alias("to_state"), F.col("pack_id").alias("to_id"), F.col("v"))
-    v = broadcast_if_small(v, max_broadcast_rows, value_rows)
+    if value_rows is not None:
+        v = broadcast_if_small(v, max_broadcast_rows, value_rows)
     p = probs.select("from_state", "to_state", "p")
     if from_state is not None:
         p = p.where(F.col("from_state") == from_state)
@@ -88,12 +99,29 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _with_change(new: DataFrame, old: DataFrame, rows: int) -> tuple[DataFrame, Observation]:
-    o = broadcast_if_small(old.select("state", "pack_id", F.col("v").alias("_old")), known_rows=rows)
-    joined = new.join(o, ["state", "pack_id"], "right")
-    joined = require(joined, F.col("v").isNotNull(), "a pack received no value")
+def _with_change(new: DataFrame, values: DataFrame) -> tuple[DataFrame, Observation]:
+    """Attach the previous value (same broadcast V as the update reads, so the
+    exchange is reused) and observe the L1 change and the row count."""
+    old = values.select("state", "pack_id", F.col("v").alias("_old"))
+    joined = new.join(old, ["state", "pack_id"])
     obs = Observation()
-    return joined.observe(obs, F.sum(F.abs(F.col("v") - F.col("_old"))).alias("diff")).drop("_old"), obs
+    return (joined.observe(obs, F.sum(F.abs(F.col("v") - F.col("_old"))).alias("diff"),
+                           F.count(F.lit(1)).alias("rows")).drop("_old"), obs)
+
+
+def _check_rows(obs: Observation, expected: int, what: str) -> float:
+    got = obs.get
+    if got["rows"] != expected:
+        raise ValueError(f"{what}: {got['rows']} packs received a value, expected {expected}")
+    return float(got["diff"] or 0.0)
+
+
+def _write_values(values: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write V (one row per pack) to the shared checkpoint directory."""
+    spark = values.sparkSession
+    path = scratch_table_path(spark, name)
+    values.coalesce(max(1, spark.sparkContext.defaultParallelism // 2)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def value_iteration(cost: DataFrame, probs: DataFrame, packs: DataFrame, gamma: float = GAMMA,
@@ -103,8 +131,12 @@ def value_iteration(cost: DataFrame, probs: DataFrame, packs: DataFrame, gamma:
     after the sweep) or ``max_sweeps`` sweeps ran; ``threshold=None`` runs all."""
     if mode not in ("in_order", "synchronous"):
         raise ValueError("mode must be 'in_order' or 'synchronous'")
-    probs = probs.select("from_state", "to_state", "p")
-    p_rows = probs.collect()  # one row per transition: a handful
+    spark = cost.sparkSession
+    # One row per transition (a handful): kept as a literal frame so an update
+    # does not recompute the normalisation.
+    p_rows = probs.select("from_state", "to_state", "p").collect()
+    probs = spark.createDataFrame([(r["from_state"], r["to_state"], float(r["p"])) for r in p_rows],
+                                  "from_state INT, to_state INT, p DOUBLE")
     targets: dict[int, list[int]] = {}
     for r in p_rows:
         targets.setdefault(r["from_state"], []).append(r["to_state"])
@@ -113,28 +145,27 @@ def value_iteration(cost: DataFrame, probs: DataFrame, packs: DataFrame, gamma:
     missing = [s for s in states if s not in counts]
     if missing:
         raise ValueError(f"no packs for states {missing}")
-    V = {s: reliable_checkpoint(packs.where(F.col("state") == s)
-                                .select("state", "pack_id", F.lit(float(initial)).alias("v")))
+    V = {s: _write_values(packs.where(F.col("state") == s)
+                          .select("state", "pack_id", F.lit(float(initial)).alias("v")), f"v{s}")
          for s in states}
     active = [s for s in states if s in targets]
+    total_rows = sum(counts.values())
     diffs: list[float] = []
     for sweep in range(max_sweeps):
         diff = 0.0
         if mode == "in_order":
             for s in active:
-                tv = _union([V[t] for t in sorted(set(targets[s]))])
-                rows = sum(counts[t] for t in set(targets[s]))
-                new = bellman_update(cost, probs, tv, gamma, from_state=s, value_rows=rows)
-                new, obs = _with_change(new, V[s], counts[s])
-                V[s] = reliable_checkpoint(new)
-                diff += float(obs.get["diff"] or 0.0)
+                allv = broadcast_if_small(_union([V[t] for t in states]), known_rows=total_rows)
+                new = bellman_update(cost, probs, allv, gamma, from_state=s, value_rows=total_rows)
+                new, obs = _with_change(new, allv)
+                V[s] = _write_values(new, f"v{s}")
+                diff += _check_rows(obs, counts[s], f"state {s}")
         else:
-            allv = _union([V[s] for s in states])
-            new = bellman_update(cost, probs, allv, gamma, value_rows=sum(counts.values()))
-            old = _union([V[s] for s in active])
-            new, obs = _with_change(new, old, sum(counts[s] for s in active))
-            new = reliable_checkpoint(new)
-            diff = float(obs.get["diff"] or 0.0)
+            allv = broadcast_if_small(_union([V[s] for s in states]), known_rows=total_rows)
+            new = bellman_update(cost, probs, allv, gamma, value_rows=total_rows)
+            new, obs = _with_change(new, allv)
+            new = _write_values(new, "v")
+            diff = _check_rows(obs, sum(counts[s] for s in active), "sweep")
             for s in active:
                 V[s] = new.where(F.col("state") == s)
         diffs.append(diff)

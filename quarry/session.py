@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -56,7 +57,12 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     same keys do not shuffle again.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Persist first: the checkpoint file is written by a second job that would
+    # otherwise recompute the whole plan.
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = staged.checkpoint(eager=True)
+    staged.unpersist(blocking=False)
+    return out
 
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
