@@ -112,7 +112,8 @@ def max_weight_assignment(edges: DataFrame, group: str = "grp", x: str = "x", y:
                    .where(F.col("_o").isNotNull())
                    .select("g", "m", "nr", "_o.mask", "_o.total", "_o.chosen"))
         # A state that can no longer match every small-side element is dropped.
-        options = options.where(F.bit_count("mask") + (F.col("nr") - r - 1) >= F.col("m"))
+        remaining = F.greatest(F.col("nr") - r - 1, F.lit(0))
+        options = options.where(F.bit_count("mask") + remaining >= F.col("m"))
         states = (options.groupBy("g", "mask")
                   .agg(F.max_by(F.struct("total", "chosen"), "total").alias("_b"))
                   .select("g", "mask", F.col("_b.total").alias("total"), F.col("_b.chosen").alias("chosen")))

@@ -21,5 +21,10 @@ def require(df: DataFrame, condition: Column, message: str) -> DataFrame:
     """Keep every row, raising ``message`` on the first row where ``condition`` is not true.
 
     Written as a predicate: a check in a column nobody reads is pruned away.
+    The predicate is made non-deterministic (an always-false ``rand`` term) so
+    the optimizer neither merges later filters into it nor propagates their
+    constants into ``condition``: every row reaching this point is checked as
+    written, whatever is filtered afterwards.
     """
-    return df.where(F.assert_true(F.coalesce(condition, F.lit(False)), F.lit(message)).isNull())
+    ok = F.coalesce(condition, F.lit(False)) | (F.rand(0) < F.lit(0.0))
+    return df.where(F.assert_true(ok, F.lit(message)).isNull())
