@@ -28,3 +28,22 @@ def require(df: DataFrame, condition: Column, message: str) -> DataFrame:
     """
     ok = F.coalesce(condition, F.lit(False)) | (F.rand(0) < F.lit(0.0))
     return df.where(F.assert_true(ok, F.lit(message)).isNull())
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that arrives in fewer partitions than the cluster has
+    cores (e.g. one large file), before CPU-heavy per-row work. A no-op on
+    inputs that are already split; no key, so no skew."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    # Hash on a seeded random number: as even as round-robin, reproducible on a
+    # retry of the same input split, and, being non-deterministic, it keeps
+    # Catalyst from pushing later filters (e.g. on a parsed column) back below
+    # the exchange into the single scan task.
+    return df.repartition(cores, F.rand(17))
+
+
+def filter_here(df: DataFrame, condition: Column) -> DataFrame:
+    """A filter on a column computed after a ``spread``."""
+    return df.where(condition)

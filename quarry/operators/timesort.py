@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import replace_newlines
 from quarry.functions.timeparse import (epoch_seconds, parse_slash_time, parse_tweet_time,
                                         parse_with_pattern)
-from quarry.operators.common import require
+from quarry.operators.common import filter_here, require, spread
 from quarry.operators.ordering import range_sorted, with_position
 
 # Fixed value: earliest kept tweet time (one minute past midnight, as in the job).
@@ -37,8 +37,7 @@ def parse_json_records(lines: DataFrame, value_col: str = "value", honor_offset:
     """``(epoch, wall, text, valid)`` per line; ``valid`` false for bad JSON, a bad
     time, or an explicit ``"text": null``."""
     value = F.col(value_col)
-    rec = F.from_json(value, JSON_SCHEMA)
-    parsed = lines.select(value.alias("_line"), rec.alias("_r"))
+    parsed = spread(lines.select(value.alias("_line"))).select("_line", F.from_json("_line", JSON_SCHEMA).alias("_r"))
     when = parse_tweet_time(F.col("_r.created_at"))
     # A key that is present with a null value is an error; only a missing key defaults to ''.
     text_key_present = F.array_contains(F.json_object_keys(F.col("_line")), "text")
@@ -62,9 +61,9 @@ def json_time_records(lines: DataFrame, since: _dt.datetime | None = DEFAULT_SIN
     if on_error == "fail":
         recs = require(recs, F.col("valid"), "unparsable JSON record, time, or null text")
     else:
-        recs = recs.where(F.col("valid"))
+        recs = filter_here(recs, F.col("valid"))
     if since is not None:
-        recs = recs.where(F.col("wall") >= F.lit(since).cast("timestamp_ntz"))
+        recs = filter_here(recs, F.col("wall") >= F.lit(since).cast("timestamp_ntz"))
     line = F.concat(F.col("epoch").cast("string"), F.lit("@"), replace_newlines(F.col("text")))
     return recs.select("epoch", "text", line.alias("line"))
 
@@ -81,9 +80,9 @@ def json_time_sort(lines: DataFrame, since: _dt.datetime | None = DEFAULT_SINCE,
 def csv_time_records(lines: DataFrame, field: int = 1, pattern: str = SLASH_PATTERN,
                      value_col: str = "value") -> DataFrame:
     """``(value, epoch)``; ``epoch`` NULL for a line whose time field does not parse."""
-    raw = F.get(F.split(F.col(value_col), ","), field)
+    raw = F.get(F.split(F.col("value"), ","), field)
     wall = parse_slash_time(raw) if pattern == SLASH_PATTERN else parse_with_pattern(raw, pattern)
-    return lines.select(F.col(value_col).alias("value"), epoch_seconds(wall).alias("epoch"))
+    return spread(lines.select(F.col(value_col).alias("value"))).select("value", epoch_seconds(wall).alias("epoch"))
 
 
 def csv_time_sort(lines: DataFrame, field: int = 1, pattern: str = SLASH_PATTERN,
@@ -92,8 +91,8 @@ def csv_time_sort(lines: DataFrame, field: int = 1, pattern: str = SLASH_PATTERN
     """``(sorted, rejects)``: ``sorted`` = ``(epoch, value[, pos])`` in time order,
     ``rejects`` = ``(value)`` of lines whose time does not parse."""
     recs = csv_time_records(lines, field, pattern)
-    good = recs.where(F.col("epoch").isNotNull())
-    rejects = recs.where(F.col("epoch").isNull()).select("value")
+    good = filter_here(recs, F.col("epoch").isNotNull())
+    rejects = filter_here(recs, F.col("epoch").isNull()).select("value")
     keys = ["epoch", "value"]
     ordered = with_position(good, keys, n_partitions=n_partitions) if with_pos \
         else range_sorted(good, keys, n_partitions)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import normalise_token, raw_tokens
-from quarry.operators.common import broadcast_if_small
+from quarry.operators.common import broadcast_if_small, spread
 
 STOP_LIST_BROADCAST_ROWS = 1_000_000
 
@@ -21,7 +21,7 @@ STOP_LIST_BROADCAST_ROWS = 1_000_000
 def tokenize(df: DataFrame, text_col: str = "value", out_col: str = "word") -> DataFrame:
     """One lower-case token per row: punctuation/symbols -> space, split on
     whitespace runs, trim, drop empty pieces, lower-case."""
-    pieces = df.select(F.explode(raw_tokens(F.col(text_col))).alias("_piece"))
+    pieces = spread(df.select(text_col)).select(F.explode(raw_tokens(F.col(text_col))).alias("_piece"))
     return (pieces.select(normalise_token(F.col("_piece")).alias(out_col))
             .where(F.col(out_col) != ""))
 
