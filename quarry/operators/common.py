@@ -35,7 +35,7 @@ def spread(df: DataFrame) -> DataFrame:
     cores (e.g. one large file), before CPU-heavy per-row work. A no-op on
     inputs that are already split; no key, so no skew."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
         return df
     # Hash on a seeded random number: as even as round-robin, reproducible on a
     # retry of the same input split, and, being non-deterministic, it keeps
