@@ -53,7 +53,9 @@ def cost_table(directed_costs: DataFrame, n_buckets: int | None = None) -> DataF
     layout without an exchange. Files on shared storage survive executor loss.
     """
     spark = directed_costs.sparkSession
-    n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The table's size depends on the pack counts, not on the input volume:
+    # two buckets per core keep every core busy without a flood of tiny files.
+    n = n_buckets or max(1, 2 * spark.sparkContext.defaultParallelism)
     path = scratch_table_path(spark, "cost")
     name = "quarry_cost_" + uuid.uuid4().hex
     (directed_costs.select("from_state", "from_id", "to_state", "to_id", "cost")
