@@ -68,6 +68,68 @@ def overlap_cells(a_ends: Column, a_cum: Column, b_ends: Column, b_cum: Column)
         (p["cum"] - F.when(i == 0, F.lit(0.0)).otherwise(points[i - 1]["cum"])).alias("weight")))
 
 
+def _cell_weight(i: int, j: int) -> tuple[Column, Column]:
+    """(overlap?, shared size) of run i of pack a and run j of pack b (0-based).
+
+    Uses only the two packs' end positions and cumulative sizes: the shared
+    range is [max(starts), min(ends)), and the cumulative size at either bound
+    is read from whichever pack owns that bound.
+    """
+    ea, eb = F.col("a_ends")[i], F.col("b_ends")[j]
+    sa = F.col("a_ends")[i - 1] if i > 0 else F.lit(0)
+    sb = F.col("b_ends")[j - 1] if j > 0 else F.lit(0)
+    ca_prev = F.col("a_cum")[i - 1] if i > 0 else F.lit(0.0)
+    cb_prev = F.col("b_cum")[j - 1] if j > 0 else F.lit(0.0)
+    hi = F.when(ea <= eb, F.col("a_cum")[i]).otherwise(F.col("b_cum")[j])
+    lo = F.when(sa >= sb, ca_prev).otherwise(cb_prev)
+    overlaps = F.least(ea, eb) > F.greatest(sa, sb)
+    return overlaps, F.when(overlaps, hi - lo).otherwise(F.lit(0.0))
+
+
+def with_grid_gain(pairs: DataFrame, ka: int, kb: int, out: str = "gain") -> DataFrame:
+    """Add the maximum-weight matching of shared size for packs of arity ka and kb.
+
+    A crossing pair of cells, (i1, j2) and (i2, j1) with i1 < i2 and j1 < j2,
+    cannot both be non-zero: runs are disjoint intervals in line order. So
+    some optimal matching is non-crossing, and the gain is the grid recurrence
+    best(i, j) = max(best(i-1, j), best(i, j-1), best(i-1, j-1) + w(i, j)).
+    The grid has a fixed shape per state pair, so it is unrolled into plain
+    column arithmetic, one projection per anti-diagonal (each cell computed
+    once, all inside whole-stage code generation).
+    """
+    keep = pairs.columns
+    weights = [_cell_weight(i, j)[1].alias(f"_w{i}_{j}") for i in range(ka) for j in range(kb)]
+    df = pairs.select(*keep, *weights)
+
+    def best(i: int, j: int) -> Column:
+        return F.col(f"_b{i}_{j}") if i >= 0 and j >= 0 else F.lit(0.0)
+
+    done: list[tuple[int, int]] = []
+    for d in range(ka + kb - 1):
+        diagonal = [(i, d - i) for i in range(max(0, d - kb + 1), min(ka, d + 1))]
+        cells = [F.greatest(best(i - 1, j), best(i, j - 1), best(i - 1, j - 1) + F.col(f"_w{i}_{j}"))
+                 .alias(f"_b{i}_{j}") for i, j in diagonal]
+        # Carry only what later diagonals read: unused weights and the last two diagonals.
+        live_w = [f"_w{i}_{j}" for i in range(ka) for j in range(kb) if i + j > d]
+        live_b = [(i, j) for i, j in done if i + j >= d - 1]
+        df = df.select(*keep, *live_w, *[f"_b{i}_{j}" for i, j in live_b], *cells)
+        done = live_b + diagonal
+    return df.select(*keep, F.col(f"_b{ka - 1}_{kb - 1}").alias(out))
+
+
+def grid_overlaps(pairs: DataFrame, ka: int, kb: int) -> DataFrame:
+    """One row per overlapping cell: ``pairs`` columns + ``a_slot, b_slot, weight``."""
+    cells = []
+    for i in range(ka):
+        for j in range(kb):
+            ok, w = _cell_weight(i, j)
+            cells.append(F.struct(F.lit(i).alias("a_slot"), F.lit(j).alias("b_slot"),
+                                  w.alias("weight"), ok.alias("ok")))
+    return (pairs.select(*pairs.columns, F.explode(F.array(*cells)).alias("_c"))
+            .where(F.col("_c.ok"))
+            .select(*pairs.columns, "_c.a_slot", "_c.b_slot", "_c.weight"))
+
+
 def dense_index(packs: DataFrame) -> DataFrame:
     """Add ``idx`` = 0..n-1 per state in ``pack_id`` order (for packs read from files).
 
@@ -85,6 +147,16 @@ def pack_counts(packs: DataFrame) -> dict[int, int]:
     return {r["state"]: r["n"] for r in packs.groupBy("state").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+def pack_arities(packs: DataFrame) -> dict[int, int]:
+    """Runs per pack for each state (one row per state reaches the driver);
+    all packs of a state must have the same arity."""
+    rows = packs.groupBy("state").agg(F.min(F.size("ends")).alias("lo"), F.max(F.size("ends")).alias("hi")).collect()
+    bad = [r["state"] for r in rows if r["lo"] != r["hi"]]
+    if bad:
+        raise ValueError(f"packs of states {bad} differ in arity")
+    return {r["state"]: r["hi"] for r in rows}
+
+
 def _side(packs: DataFrame, state: int, prefix: str, rows: int, max_rows: int) -> DataFrame:
     side = packs.where(F.col("state") == state).select(
         F.col("idx").alias(f"{prefix}_idx"), F.col("state").alias(f"{prefix}_state"),
@@ -119,19 +191,19 @@ def canonical_migrations(transitions: DataFrame) -> list[tuple[int, int]]:
 
 
 def pair_gains(packs: DataFrame, migrations: list[tuple[int, int]], total: float,
-               counts: dict[int, int] | None = None) -> DataFrame:
+               counts: dict[int, int] | None = None, arities: dict[int, int] | None = None) -> DataFrame:
     """``(from_state, from_id, to_state, to_id, gain, cost)`` for each unordered
     migration (from_state < to_state); each pair is computed once."""
     counts = counts if counts is not None else pack_counts(packs)
+    arity = arities if arities is not None else pack_arities(packs)
     frames = []
     for lo, hi in migrations:
         if lo == hi:
             raise ValueError(f"a state cannot migrate to itself: {lo}")
-        pairs = pack_pairs(packs, lo, hi, counts)
-        gain = staircase_gain(F.col("a_ends"), F.col("a_cum"), F.col("b_ends"), F.col("b_cum"))
+        pairs = with_grid_gain(pack_pairs(packs, lo, hi, counts), arity[lo], arity[hi])
         frames.append(pairs.select(F.col("a_state").alias("from_state"), F.col("a_id").alias("from_id"),
                                    F.col("b_state").alias("to_state"), F.col("b_id").alias("to_id"),
-                                   gain.alias("gain")))
+                                   "gain", F.col("a_idx").alias("from_idx"), F.col("b_idx").alias("to_idx")))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -139,19 +211,17 @@ def pair_gains(packs: DataFrame, migrations: list[tuple[int, int]], total: float
 
 
 def overlap_weights(packs: DataFrame, migrations: list[tuple[int, int]],
-                    counts: dict[int, int] | None = None) -> DataFrame:
+                    counts: dict[int, int] | None = None, arities: dict[int, int] | None = None) -> DataFrame:
     """Long form ``(from_state, from_id, to_state, to_id, from_slot, to_slot, weight)``."""
     counts = counts if counts is not None else pack_counts(packs)
+    arity = arities if arities is not None else pack_arities(packs)
     frames = []
     for lo, hi in migrations:
-        pairs = pack_pairs(packs, lo, hi, counts)
-        cells = overlap_cells(F.col("a_ends"), F.col("a_cum"), F.col("b_ends"), F.col("b_cum"))
-        frames.append(pairs.select(F.col("a_state").alias("from_state"), F.col("a_id").alias("from_id"),
+        cells = grid_overlaps(pack_pairs(packs, lo, hi, counts), arity[lo], arity[hi])
+        frames.append(cells.select(F.col("a_state").alias("from_state"), F.col("a_id").alias("from_id"),
                                    F.col("b_state").alias("to_state"), F.col("b_id").alias("to_id"),
-                                   F.explode(cells).alias("_c"))
-                      .select("from_state", "from_id", "to_state", "to_id",
-                              F.col("_c.a_slot").alias("from_slot"), F.col("_c.b_slot").alias("to_slot"),
-                              F.col("_c.weight").alias("weight")))
+                                   F.col("a_slot").alias("from_slot"), F.col("b_slot").alias("to_slot"),
+                                   "weight"))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -161,9 +231,12 @@ def overlap_weights(packs: DataFrame, migrations: list[tuple[int, int]],
 def both_directions(gains: DataFrame) -> DataFrame:
     """Each unordered pair read in both directions (a generator, no join)."""
     fwd = F.struct(F.col("from_state").alias("fs"), F.col("from_id").alias("fi"),
-                   F.col("to_state").alias("ts"), F.col("to_id").alias("ti"))
+                   F.col("to_state").alias("ts"), F.col("to_id").alias("ti"),
+                   F.col("from_idx").alias("fx"), F.col("to_idx").alias("tx"))
     back = F.struct(F.col("to_state").alias("fs"), F.col("to_id").alias("fi"),
-                    F.col("from_state").alias("ts"), F.col("from_id").alias("ti"))
+                    F.col("from_state").alias("ts"), F.col("from_id").alias("ti"),
+                    F.col("to_idx").alias("fx"), F.col("from_idx").alias("tx"))
     return (gains.select(F.explode(F.array(fwd, back)).alias("_d"), "gain", "cost")
             .select(F.col("_d.fs").alias("from_state"), F.col("_d.fi").alias("from_id"),
-                    F.col("_d.ts").alias("to_state"), F.col("_d.ti").alias("to_id"), "gain", "cost"))
+                    F.col("_d.ts").alias("to_state"), F.col("_d.ti").alias("to_id"), "gain", "cost",
+                    F.col("_d.fx").alias("from_idx"), F.col("_d.tx").alias("to_idx")))

@@ -20,15 +20,15 @@ transitions is absorbing and keeps V = 0.
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.common import DEFAULT_BROADCAST_ROWS, broadcast_if_small, require
-import uuid
-
-from quarry.session import reliable_checkpoint, scratch_table_path
+from quarry.session import scratch_table_path
 
 # Fixed values of the job: discount, sweep cap, stop threshold on the summed
 # absolute change of one sweep, initial value.
@@ -58,11 +58,13 @@ def cost_table(directed_costs: DataFrame, n_buckets: int | None = None) -> DataF
     n = n_buckets or max(1, 2 * spark.sparkContext.defaultParallelism)
     path = scratch_table_path(spark, "cost")
     name = "quarry_cost_" + uuid.uuid4().hex
-    (directed_costs.select("from_state", "from_id", "to_state", "to_id", "cost")
+    (directed_costs.select("from_state", "from_id", "to_state", "to_id", "cost", "from_idx", "to_idx")
      .repartition(n, "from_id")
      .write.partitionBy("from_state").bucketBy(n, "from_id").sortBy("from_id")
      .option("path", path).saveAsTable(name))
-    return spark.table(name)
+    # Cached on top of the files: sweeps scan memory, lost blocks are re-read
+    # from shared storage, and the bucket partitioning is kept.
+    return spark.table(name).persist()
 
 
 def bellman_update(cost: DataFrame, probs: DataFrame, values: DataFrame, gamma: float = GAMMA,
@@ -126,6 +128,73 @@ def _write_values(values: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# V is shipped inside the update plan (as array literals, like a broadcast
+# variable) while the total number of packs stays under this bound; above it,
+# V stays a DataFrame joined by broadcast or shuffle and checkpointed per update.
+DRIVER_VECTOR_MAX = 200_000
+
+
+def _array_literal(values: list[float]) -> Column:
+    """One foldable literal for a whole vector (``repr`` of a float round-trips
+    exactly through JSON), instead of one literal expression per element."""
+    return F.from_json(F.lit(json.dumps(values)), "array<double>")
+
+
+def _vector_sweeps(cost: DataFrame, p_rows: list, packs: DataFrame, states: list[int], active: list[int],
+                   counts: dict[int, int], gamma: float, max_sweeps: int, threshold: float | None,
+                   mode: str, initial: float) -> tuple[DataFrame, list[float]]:
+    """Value iteration with V as per-state vectors indexed by the dense pack index.
+
+    An update of state s is one job: scan the s partition of the bucketed cost
+    table, look up gamma * V[to_state][to_idx] in the shipped arrays, take the min
+    per (pack, target state) and the probability-weighted sum per pack (both
+    grouped on the bucket key, so no exchange), and return one row per pack of s.
+    """
+    spark = cost.sparkSession
+    vec = {s: [float(initial)] * counts[s] for s in states}
+    probs: dict[int, dict[int, float]] = {}
+    for r in p_rows:
+        probs.setdefault(r["from_state"], {})[r["to_state"]] = float(r["p"])
+
+    def update(s: int, values: dict[int, list[float]]) -> list[float]:
+        ts = sorted(probs[s])
+        lookup = None
+        weight = None
+        for t in ts:
+            arr = _array_literal(values[t])
+            v_t = F.element_at(arr, (F.col("to_idx") + 1).cast("int"))
+            lookup = F.when(F.col("to_state") == t, v_t) if lookup is None else lookup.when(F.col("to_state") == t, v_t)
+            weight = F.when(F.col("to_state") == t, F.lit(probs[s][t])) if weight is None \
+                else weight.when(F.col("to_state") == t, F.lit(probs[s][t]))
+        best = (cost.where((F.col("from_state") == s) & F.col("to_state").isin(ts))
+                .groupBy("from_id", "from_idx", "to_state")
+                .agg(F.min(F.col("cost") + F.lit(gamma) * lookup).alias("m")))
+        rows = (best.groupBy("from_id", "from_idx").agg(F.sum(weight * F.col("m")).alias("v"))
+                .select("from_idx", "v").collect())
+        if len(rows) != counts[s]:
+            raise ValueError(f"state {s}: {len(rows)} packs received a value, expected {counts[s]}")
+        new = [0.0] * counts[s]
+        for r in rows:
+            new[r["from_idx"]] = float(r["v"])
+        return new
+
+    diffs: list[float] = []
+    for _ in range(max_sweeps):
+        diff = 0.0
+        frozen = dict(vec)
+        for s in active:
+            new = update(s, vec if mode == "in_order" else frozen)
+            diff += sum(abs(a - b) for a, b in zip(new, vec[s]))
+            vec[s] = new
+        diffs.append(diff)
+        if threshold is not None and diff < threshold:
+            break
+    rows = [(s, i, v) for s in states for i, v in enumerate(vec[s])]
+    vals = spark.createDataFrame(rows, "state INT, idx BIGINT, v DOUBLE")
+    out = packs.select("state", "idx", "pack_id").join(vals, ["state", "idx"]).select("state", "pack_id", "v")
+    return out, diffs
+
+
 def value_iteration(cost: DataFrame, probs: DataFrame, packs: DataFrame, gamma: float = GAMMA,
                     max_sweeps: int = MAX_SWEEPS, threshold: float | None = THRESHOLD,
                     mode: str = "in_order", initial: float = INITIAL_VALUE) -> IterationResult:
@@ -147,6 +216,11 @@ def value_iteration(cost: DataFrame, probs: DataFrame, packs: DataFrame, gamma:
     missing = [s for s in states if s not in counts]
     if missing:
         raise ValueError(f"no packs for states {missing}")
+    active = [s for s in states if s in targets]
+    if sum(counts.values()) <= DRIVER_VECTOR_MAX and "idx" in packs.columns and "to_idx" in cost.columns:
+        values, diffs = _vector_sweeps(cost, p_rows, packs, states, active, counts, gamma,
+                                       max_sweeps, threshold, mode, initial)
+        return IterationResult(values, len(diffs), diffs[-1] if diffs else 0.0, diffs)
     V = {s: _write_values(packs.where(F.col("state") == s)
                           .select("state", "pack_id", F.lit(float(initial)).alias("v")), f"v{s}")
          for s in states}

@@ -63,10 +63,11 @@ class Inputs:
         # Generated ids are dense ranks already.
         self.packs = P.attach_sizes(generated, self.line).withColumn("idx", F.col("pack_id")).cache()
         self.counts = G.pack_counts(self.packs)
+        self.arities = {k: k for k in self.states}  # generated: one run per node
         self.migrations = G.canonical_migrations(self.transitions)
 
     def gains(self) -> DataFrame:
-        return G.pair_gains(self.packs, self.migrations, self.total, self.counts)
+        return G.pair_gains(self.packs, self.migrations, self.total, self.counts, self.arities)
 
 
 def pack_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,7 @@ def pack_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def overlap_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = Inputs(spark, sf_dir)
-    return G.overlap_weights(inp.packs, inp.migrations, inp.counts)
+    return G.overlap_weights(inp.packs, inp.migrations, inp.counts, inp.arities)
 
 
 def pair_id_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

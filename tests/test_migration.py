@@ -188,3 +188,19 @@ def test_update_reads_cost_table_without_exchange(spark):
     zero = spark.createDataFrame([(2, 0, 0.0), (3, 0, 0.0)], "state INT, pack_id BIGINT, v DOUBLE")
     plan = plan_text(VI.bellman_update(cost, probs, zero, from_state=2, value_rows=2))
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_vector_and_dataframe_paths_agree(spark, monkeypatch):
+    line = P.item_line(_sizes(spark, [3, 1, 4, 1, 5, 9, 2]))
+    packs = P.attach_sizes(P.generate_packs(line, [2, 3]), line).withColumn("idx", F.col("pack_id"))
+    cost = VI.cost_table(G.both_directions(G.pair_gains(packs, [(2, 3)], 25.0)))
+    trans = spark.createDataFrame([(2, 3, 2.0), (3, 2, 1.0)], "from_state INT, to_state INT, weight DOUBLE")
+    probs = VI.transition_probs(trans)
+    fast = VI.value_iteration(cost, probs, packs, max_sweeps=4, threshold=None)
+    monkeypatch.setattr(VI, "DRIVER_VECTOR_MAX", 0)
+    slow = VI.value_iteration(cost, probs, packs, max_sweeps=4, threshold=None)
+    a = {(r.state, r.pack_id): r.v for r in fast.values.collect()}
+    b = {(r.state, r.pack_id): r.v for r in slow.values.collect()}
+    assert a.keys() == b.keys() and len(a) == 6 + 15
+    assert all(a[k] == pytest.approx(b[k], rel=1e-12) for k in a)
+    assert fast.diffs == pytest.approx(slow.diffs, rel=1e-12)
