@@ -78,14 +78,14 @@ def generate_packs(line: DataFrame, states: list[int], n_partitions: int | None
     return out
 
 
-def attach_sizes(packs: DataFrame, line: DataFrame) -> DataFrame:
+def attach_sizes(packs: DataFrame, line: DataFrame, n_items: int | None = None) -> DataFrame:
     """``(state, pack_id, runs, ends, cum)``: end positions and cumulative size at each end.
 
     Joins the N+1 prefix sums (a bounded table) by position; runs summing past
     N are an error, runs summing below N leave the tail unused.
     """
     prefix = line.select(F.posexplode("prefix").alias("_pos", "_cum"))
-    n_rows = line.select("n_items").first()[0] + 1
+    n_rows = (n_items if n_items is not None else line.select("n_items").first()[0]) + 1
     prefix = broadcast_if_small(prefix, known_rows=n_rows)
     ends = F.transform("runs", lambda r, i: F.aggregate(F.slice("runs", 1, i + 1), F.lit(0), lambda a, b: a + b))
     slots = packs.select("state", "pack_id", "runs", F.posexplode(ends).alias("_slot", "_end"))

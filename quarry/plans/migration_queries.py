@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -52,19 +53,28 @@ def _states(trans: DataFrame) -> list[int]:
 
 
 class Inputs:
-    """Sizes, transitions and packs with sizes attached, built once per call."""
+    """Sizes, transitions and packs with sizes attached, built once per call.
+
+    Two small jobs reach the driver: the item count and total (one row) and the
+    transition table (one row per migration). Pack counts of generated packs are
+    binomials of the item count, so the pack table is never counted.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.line = P.item_line(sizes(spark, sf_dir)).cache()
-        self.total = self.line.select("total").first()[0]
+        head = self.line.select("n_items", "total").first()
+        self.n_items, self.total = int(head["n_items"]), float(head["total"])
         self.transitions = transitions(spark, sf_dir).cache()
-        self.states = _states(self.transitions)
+        rows = self.transitions.collect()
+        self.states = sorted({r["from_state"] for r in rows} | {r["to_state"] for r in rows})
+        self.migrations = sorted({(min(r["from_state"], r["to_state"]), max(r["from_state"], r["to_state"]))
+                                  for r in rows})
         generated = P.generate_packs(self.line, self.states)
         # Generated ids are dense ranks already.
-        self.packs = P.attach_sizes(generated, self.line).withColumn("idx", F.col("pack_id")).cache()
-        self.counts = G.pack_counts(self.packs)
+        self.packs = (P.attach_sizes(generated, self.line, n_items=self.n_items)
+                      .withColumn("idx", F.col("pack_id")).cache())
+        self.counts = {k: math.comb(self.n_items - 1, k - 1) if self.n_items >= k else 0 for k in self.states}
         self.arities = {k: k for k in self.states}  # generated: one run per node
-        self.migrations = G.canonical_migrations(self.transitions)
 
     def gains(self) -> DataFrame:
         return G.pair_gains(self.packs, self.migrations, self.total, self.counts, self.arities)
