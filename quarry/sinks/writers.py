@@ -25,3 +25,18 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
     """Parquet directories per value of ``partition_cols``, rows sorted inside each file."""
     out = df.sortWithinPartitions(*(partition_cols + (sort_cols or []))) if sort_cols else df
     out.write.mode(mode).partitionBy(*partition_cols).parquet(path)
+
+
+def write_pair_costs(gains: DataFrame, path: str, n_files: int | None = None,
+                     mode: str = "errorifexists") -> None:
+    """Pair gains and costs, one directory per migration (``from_state=a/to_state=b``),
+    each file ordered by ``(from_id, to_id)`` and files in key order (range partitioned)."""
+    keys = ["from_state", "to_state", "from_id", "to_id"]
+    (range_sorted(gains.select(*keys, "gain", "cost"), keys, n_files)
+     .write.mode(mode).partitionBy("from_state", "to_state").parquet(path))
+
+
+def write_state_values(values: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Values per state: one directory per state, rows ordered by ``pack_id``."""
+    (values.select("state", "pack_id", "v").repartition("state").sortWithinPartitions("state", "pack_id")
+     .write.mode(mode).partitionBy("state").parquet(path))
