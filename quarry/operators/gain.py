@@ -4,13 +4,10 @@ gain(a, b) is the maximum-weight matching between the runs of pack ``a`` and
 the runs of pack ``b``, a cell weighing the total size of the items the two
 runs share; cost = total size - gain.
 
-Both packs cut the same line from position 0, so the non-zero cells form a
-monotone staircase along the line, and two cells sharing a run are adjacent on
-it. The matching is then a weighted interval scheduling over the merged cut
-points: walking the cuts left to right, taking the segment that ends at the
-current cut adds its size to the best total that was reached before the
-current run of either pack began. That walk is one ``aggregate`` over at most
-k1 + k2 cut points per pair, evaluated inside Spark; no solver, no UDF.
+Runs of a pack are disjoint intervals in line order, so an optimal matching
+never needs two crossing cells and the gain is a grid recurrence over the
+k1 x k2 cells, unrolled into column arithmetic (``with_grid_gain``); no
+solver, no UDF.
 
 The pair set of two states is, by definition, every pack of one state against
 every pack of the other. Its size n_a * n_b is known from two counts before
@@ -33,41 +30,6 @@ from quarry.operators.ordering import with_position
 ROWS_PER_TASK = 500_000
 
 
-def _marks(a_ends: Column, a_cum: Column, b_ends: Column, b_cum: Column) -> Column:
-    """Cut points of both packs up to the shorter one, sorted: ``struct(pos, cum, side)``."""
-    a = F.transform(a_ends, lambda e, i: F.struct(e.alias("pos"), a_cum[i].alias("cum"), F.lit(0).alias("side")))
-    b = F.transform(b_ends, lambda e, i: F.struct(e.alias("pos"), b_cum[i].alias("cum"), F.lit(1).alias("side")))
-    limit = F.least(F.element_at(a_ends, -1), F.element_at(b_ends, -1))
-    return F.filter(F.array_sort(F.concat(a, b)), lambda m: m["pos"] <= limit)
-
-
-def staircase_gain(a_ends: Column, a_cum: Column, b_ends: Column, b_cum: Column) -> Column:
-    """Maximum-weight matching of shared size between two packs (DOUBLE)."""
-    init = F.struct(F.lit(0).alias("pos"), F.lit(0.0).alias("cum"), F.lit(0.0).alias("ib"),
-                    F.lit(0.0).alias("jb"), F.lit(0.0).alias("best"))
-
-    def step(acc: Column, m: Column) -> Column:
-        new_segment = m["pos"] > acc["pos"]
-        take = m["cum"] - acc["cum"] + F.least(acc["ib"], acc["jb"])
-        best = F.when(new_segment, F.greatest(acc["best"], take)).otherwise(acc["best"])
-        return F.struct(m["pos"].alias("pos"), m["cum"].alias("cum"),
-                        F.when(m["side"] == 0, best).otherwise(acc["ib"]).alias("ib"),
-                        F.when(m["side"] == 1, best).otherwise(acc["jb"]).alias("jb"),
-                        best.alias("best"))
-
-    return F.aggregate(_marks(a_ends, a_cum, b_ends, b_cum), init, step, lambda acc: acc["best"])
-
-
-def overlap_cells(a_ends: Column, a_cum: Column, b_ends: Column, b_cum: Column) -> Column:
-    """``array<struct(a_slot, b_slot, weight)>``: the cells whose item ranges overlap."""
-    marks = _marks(a_ends, a_cum, b_ends, b_cum)
-    points = F.array_distinct(F.transform(marks, lambda m: F.struct(m["pos"].alias("pos"), m["cum"].alias("cum"))))
-    return F.transform(points, lambda p, i: F.struct(
-        F.size(F.filter(a_ends, lambda e: e < p["pos"])).alias("a_slot"),
-        F.size(F.filter(b_ends, lambda e: e < p["pos"])).alias("b_slot"),
-        (p["cum"] - F.when(i == 0, F.lit(0.0)).otherwise(points[i - 1]["cum"])).alias("weight")))
-
-
 def _cell_weight(i: int, j: int) -> tuple[Column, Column]:
     """(overlap?, shared size) of run i of pack a and run j of pack b (0-based).
 
