@@ -33,6 +33,12 @@ JSON_SCHEMA = "created_at STRING, text STRING"
 SLASH_PATTERN = "yyyy/MM/dd HH:mm:ss"
 
 
+def _ntz_literal(t: _dt.datetime):
+    """A wall-clock literal that never passes through the session time zone
+    (``F.lit(datetime)`` would build a zoned timestamp first)."""
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def parse_json_records(lines: DataFrame, value_col: str = "value", honor_offset: bool = False) -> DataFrame:
     """``(epoch, wall, text, valid)`` per line; ``valid`` false for bad JSON, a bad
     time, or an explicit ``"text": null``."""
@@ -63,7 +69,7 @@ def json_time_records(lines: DataFrame, since: _dt.datetime | None = DEFAULT_SIN
     else:
         recs = filter_here(recs, F.col("valid"))
     if since is not None:
-        recs = filter_here(recs, F.col("wall") >= F.lit(since).cast("timestamp_ntz"))
+        recs = filter_here(recs, F.col("wall") >= _ntz_literal(since))
     line = F.concat(F.col("epoch").cast("string"), F.lit("@"), replace_newlines(F.col("text")))
     return recs.select("epoch", "text", line.alias("line"))
 

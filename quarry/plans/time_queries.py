@@ -21,10 +21,16 @@ from quarry.plans.tables import table
 SINCE = _dt.datetime(2024, 1, 15, 0, 0, 0)
 
 
+def _clock(ts: str) -> F.Column:
+    """HH:mm:ss of a wall-clock time, read field by field (no session time zone)."""
+    return F.format_string("%02d:%02d:%02d", F.hour(ts), F.minute(ts), F.second(ts))
+
+
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     offset = F.when(F.col("event_type") == "view", F.lit("-0500")).otherwise(F.lit("+0000"))
-    created = F.concat_ws(" ", F.date_format("ts", "EEE MMM dd HH:mm:ss"), offset, F.date_format("ts", "yyyy"))
+    day = F.date_format(F.col("ts").cast("date"), "EEE MMM dd")
+    created = F.concat_ws(" ", day, _clock("ts"), offset, F.format_string("%04d", F.year("ts")))
     text = F.concat(F.col("event_type"), F.lit("\n"), F.col("props"))
     line = F.when(F.col("event_type") == "error", F.to_json(F.struct(created.alias("created_at")))) \
             .otherwise(F.to_json(F.struct(created.alias("created_at"), text.alias("text"))))
@@ -33,8 +39,9 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    when = F.when(F.col("event_type") == "error", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")) \
-            .otherwise(F.date_format("ts", "yyyy/MM/dd HH:mm:ss"))
+    fields = [F.year("ts"), F.month("ts"), F.dayofmonth("ts"), F.hour("ts"), F.minute("ts"), F.second("ts")]
+    when = F.when(F.col("event_type") == "error", F.format_string("%04d-%02d-%02dT%02d:%02d:%02d", *fields)) \
+            .otherwise(F.format_string("%04d/%02d/%02d %02d:%02d:%02d", *fields))
     return ev.select(F.concat_ws(",", F.col("event_id").cast("string"), when,
                                  F.col("user_id").cast("string"), F.col("event_type")).alias("value"))
 

@@ -86,3 +86,14 @@ def test_global_position_and_ordered_files(spark, tmp_dir):
     for f in sorted(glob.glob(os.path.join(out, "part-*"))):
         lines += open(f).read().split()
     assert lines == sorted(lines) and len(lines) == 5000
+
+
+def test_since_bound_is_zone_free(spark):
+    rows = [_json("Sat Jan 01 00:00:59 +0000 2011", "early"), _json("Sat Jan 01 00:01:00 +0000 2011", "bound")]
+    for tz in ["America/New_York", "Asia/Kolkata"]:
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        try:
+            got = [r.text for r in timesort.json_time_records(_lines(spark, rows)).collect()]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == ["bound"], tz
