@@ -20,14 +20,20 @@ from quarry.operators.common import broadcast_if_small, require
 MAX_ITEMS = 100_000
 
 
-def item_line(sizes: DataFrame) -> DataFrame:
-    """One row: ``n_items``, ``total``, ``prefix`` (N+1 prefix sums, prefix[0] = 0)."""
+def item_line(sizes: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+    """One row: ``n_items``, ``total``, ``prefix`` (N+1 prefix sums, prefix[0] = 0).
+
+    The item count is checked (a distributed count) before anything is
+    collected into the single row.
+    """
+    n = sizes.count()
+    if n > max_items:
+        raise ValueError(f"{n} items: more than {max_items}; pack counts grow as N^(k-1)")
     agg = sizes.agg(F.array_sort(F.collect_list(F.struct("idx", "size"))).alias("_s"),
                     F.count(F.lit(1)).alias("n_items"), F.sum("size").alias("total"),
                     F.min("idx").alias("_lo"), F.max("idx").alias("_hi"))
     agg = require(agg, (F.col("_lo") == 0) & (F.col("_hi") == F.col("n_items") - 1),
                   "item positions must be 0..N-1 without gaps")
-    agg = require(agg, F.col("n_items") <= MAX_ITEMS, f"more than {MAX_ITEMS} items")
     agg = require(agg, F.forall("_s", lambda s: s["size"] >= 0), "item sizes must be non-negative")
     prefix = F.aggregate("_s", F.array(F.lit(0.0)),
                          lambda acc, s: F.concat(acc, F.array(F.element_at(acc, -1) + s["size"])))
