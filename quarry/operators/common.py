@@ -43,7 +43,3 @@ def spread(df: DataFrame) -> DataFrame:
     # the exchange into the single scan task.
     return df.repartition(cores, F.rand(17))
 
-
-def filter_here(df: DataFrame, condition: Column) -> DataFrame:
-    """A filter on a column computed after a ``spread``."""
-    return df.where(condition)

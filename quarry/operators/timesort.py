@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import replace_newlines
 from quarry.functions.timeparse import (epoch_seconds, parse_slash_time, parse_tweet_time,
                                         parse_with_pattern)
-from quarry.operators.common import filter_here, require, spread
+from quarry.operators.common import require, spread
 from quarry.operators.ordering import range_sorted, with_position
 
 # Fixed value: earliest kept tweet time (one minute past midnight, as in the job).
@@ -67,9 +67,9 @@ def json_time_records(lines: DataFrame, since: _dt.datetime | None = DEFAULT_SIN
     if on_error == "fail":
         recs = require(recs, F.col("valid"), "unparsable JSON record, time, or null text")
     else:
-        recs = filter_here(recs, F.col("valid"))
+        recs = recs.where(F.col("valid"))
     if since is not None:
-        recs = filter_here(recs, F.col("wall") >= _ntz_literal(since))
+        recs = recs.where(F.col("wall") >= _ntz_literal(since))
     line = F.concat(F.col("epoch").cast("string"), F.lit("@"), replace_newlines(F.col("text")))
     return recs.select("epoch", "text", line.alias("line"))
 
@@ -97,8 +97,8 @@ def csv_time_sort(lines: DataFrame, field: int = 1, pattern: str = SLASH_PATTERN
     """``(sorted, rejects)``: ``sorted`` = ``(epoch, value[, pos])`` in time order,
     ``rejects`` = ``(value)`` of lines whose time does not parse."""
     recs = csv_time_records(lines, field, pattern)
-    good = filter_here(recs, F.col("epoch").isNotNull())
-    rejects = filter_here(recs, F.col("epoch").isNull()).select("value")
+    good = recs.where(F.col("epoch").isNotNull())
+    rejects = recs.where(F.col("epoch").isNull()).select("value")
     keys = ["epoch", "value"]
     ordered = with_position(good, keys, n_partitions=n_partitions) if with_pos \
         else range_sorted(good, keys, n_partitions)

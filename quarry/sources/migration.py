@@ -54,7 +54,7 @@ def validate_transitions(df: DataFrame) -> DataFrame:
                    "duplicate transition (from_state, to_state)").drop("_dup")
 
 
-def _parse_runs(text_col, state_col):
+def _parse_runs(text_col):
     return F.split(text_col, ",").cast("array<int>")
 
 
@@ -64,7 +64,7 @@ def read_packs(spark: SparkSession, root: str, states: list[int]) -> DataFrame:
         lines = spark.read.text(f"{root.rstrip('/')}/state_{k}").where(F.col("value") != "")
         parts = F.split(F.col("value"), ":")
         frames.append(lines.select(F.lit(k).alias("state"), parts[0].cast("bigint").alias("pack_id"),
-                                   _parse_runs(parts[1], k).alias("runs")))
+                                   _parse_runs(parts[1]).alias("runs")))
     packs = frames[0]
     for f in frames[1:]:
         packs = packs.unionByName(f)
@@ -84,7 +84,7 @@ def read_packs_by_offset(spark: SparkSession, root: str, states: list[int]) -> D
                                   "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text")
         df = spark.createDataFrame(rdd, "pack_id BIGINT, value STRING")
         frames.append(df.select(F.lit(k).alias("state"), "pack_id",
-                                _parse_runs(F.col("value"), k).alias("runs")))
+                                _parse_runs(F.col("value")).alias("runs")))
     packs = frames[0]
     for f in frames[1:]:
         packs = packs.unionByName(f)
