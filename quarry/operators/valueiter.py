@@ -131,7 +131,7 @@ def _write_values(values: DataFrame, name: str) -> DataFrame:
 # V is shipped inside the update plan (as array literals, like a broadcast
 # variable) while the total number of packs stays under this bound; above it,
 # V stays a DataFrame joined by broadcast or shuffle and checkpointed per update.
-DRIVER_VECTOR_MAX = 200_000
+DRIVER_VECTOR_MAX = 50_000  # about 1 MB of literal per task at the bound
 
 
 def _array_literal(values: list[float]) -> Column:
