@@ -196,11 +196,13 @@ def test_vector_and_dataframe_paths_agree(spark, monkeypatch):
     cost = VI.cost_table(G.both_directions(G.pair_gains(packs, [(2, 3)], 25.0)))
     trans = spark.createDataFrame([(2, 3, 2.0), (3, 2, 1.0)], "from_state INT, to_state INT, weight DOUBLE")
     probs = VI.transition_probs(trans)
-    fast = VI.value_iteration(cost, probs, packs, max_sweeps=4, threshold=None)
-    monkeypatch.setattr(VI, "DRIVER_VECTOR_MAX", 0)
-    slow = VI.value_iteration(cost, probs, packs, max_sweeps=4, threshold=None)
-    a = {(r.state, r.pack_id): r.v for r in fast.values.collect()}
-    b = {(r.state, r.pack_id): r.v for r in slow.values.collect()}
-    assert a.keys() == b.keys() and len(a) == 6 + 15
-    assert all(a[k] == pytest.approx(b[k], rel=1e-12) for k in a)
-    assert fast.diffs == pytest.approx(slow.diffs, rel=1e-12)
+    for mode in ["in_order", "synchronous"]:
+        monkeypatch.setattr(VI, "DRIVER_VECTOR_MAX", 50_000)
+        fast = VI.value_iteration(cost, probs, packs, max_sweeps=3, threshold=None, mode=mode)
+        monkeypatch.setattr(VI, "DRIVER_VECTOR_MAX", 0)
+        slow = VI.value_iteration(cost, probs, packs, max_sweeps=3, threshold=None, mode=mode)
+        a = {(r.state, r.pack_id): r.v for r in fast.values.collect()}
+        b = {(r.state, r.pack_id): r.v for r in slow.values.collect()}
+        assert a.keys() == b.keys() and len(a) == 6 + 15
+        assert all(a[k] == pytest.approx(b[k], rel=1e-12) for k in a)
+        assert fast.diffs == pytest.approx(slow.diffs, rel=1e-12)
