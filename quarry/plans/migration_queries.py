@@ -239,7 +239,8 @@ def _ranges_sql() -> str:
     for k in STATES:
         for s in range(1, k + 1):
             start = "0" if s == 1 else f"ends[{s - 1}]"
-            parts.append(f"SELECT state, pack_id, {s - 1} AS slot, {start} AS start, ends[{s}] - 1 AS \"end\", "
+            parts.append(f"SELECT state, pack_id, {s - 1} AS slot, ({start})::INTEGER AS start, "
+                         f"(ends[{s}] - 1)::INTEGER AS \"end\", "
                          f"pre[ends[{s}] + 1] - pre[{start} + 1] AS size FROM packs{k}, prefix")
     return _with() + "\n" + " UNION ALL ".join(parts)
 
