@@ -10,3 +10,13 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_no_python_in_any_query_plan(spark):
+    """Every registered query stays JVM-side: no Python UDF or Arrow evaluation node."""
+    from conftest import plan_text
+    for name, q in E.queries().items():
+        plan = plan_text(q(spark, E.SMOKE_DIR))
+        for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
+                       "MapInPandas", "MapInArrow"):
+            assert marker not in plan, (name, marker)
