@@ -60,25 +60,31 @@ def max_weight_assignment(edges: DataFrame, group: str = "grp", x: str = "x", y:
     # Small-side bit positions: one row per (group, element), at most m per group.
     s_rank = (e.select("g", "s").distinct()
               .withColumn("bit", F.row_number().over(Window.partitionBy("g").orderBy("s")) - 1))
-    # Large-side positions per group, numbered without moving a group into one task.
-    l_pos = with_position(e.select("g", "l").distinct(), ["g", "l"], pos_col="_p")
-    l_first = l_pos.groupBy("g").agg(F.min("_p").alias("_f"))
-    l_rank = l_pos.join(l_first, "g").select("g", "l", (F.col("_p") - F.col("_f")).alias("lr"))
-
     explicit = e.select("g", "s", "l", "w", "m", "n")
     top = Window.partitionBy("g", "s").orderBy(F.desc("w"), F.asc("l"))
     best_explicit = explicit.drop("n").withColumn("_r", F.row_number().over(top)).where(F.col("_r") <= k) \
                             .where(F.col("_r") <= F.col("m")).drop("_r")
     degree = explicit.groupBy("g", "s").agg(F.count(F.lit(1)).alias("d"), F.first("m").alias("m"),
                                             F.first("n").alias("n"))
-    probe = degree.select("g", "s", "m", F.explode(F.sequence(
-        F.lit(0).cast("bigint"), (F.least(F.col("n"), F.col("m") + F.col("d")) - 1).cast("bigint"))).alias("lr"))
-    absent = (probe.join(l_rank, ["g", "lr"])
-              .join(explicit.select("g", "s", "l"), ["g", "s", "l"], "left_anti")
-              .withColumn("_r", F.row_number().over(Window.partitionBy("g", "s").orderBy("lr")))
-              .where((F.col("_r") <= k) & (F.col("_r") <= F.col("m")))
-              .select("g", "s", "l", F.lit(0.0).alias("w"), "m"))
-    cand = (best_explicit.unionByName(absent)
+    # Only elements without an edge to every partner can need an absent (zero)
+    # cell; when there are none (complete grids), the numbering is skipped.
+    deficient = degree.where(F.col("d") < F.col("n"))
+    if deficient.limit(1).count() == 0:
+        absent = None
+    else:
+        # Large-side positions per group, numbered without moving a group into one task.
+        l_pos = with_position(e.select("g", "l").distinct(), ["g", "l"], pos_col="_p")
+        l_first = l_pos.groupBy("g").agg(F.min("_p").alias("_f"))
+        l_rank = l_pos.join(l_first, "g").select("g", "l", (F.col("_p") - F.col("_f")).alias("lr"))
+        probe = deficient.select("g", "s", "m", F.explode(F.sequence(
+            F.lit(0).cast("bigint"), (F.least(F.col("n"), F.col("m") + F.col("d")) - 1).cast("bigint"))).alias("lr"))
+        absent = (probe.join(l_rank, ["g", "lr"])
+                  .join(explicit.select("g", "s", "l"), ["g", "s", "l"], "left_anti")
+                  .withColumn("_r", F.row_number().over(Window.partitionBy("g", "s").orderBy("lr")))
+                  .where((F.col("_r") <= k) & (F.col("_r") <= F.col("m")))
+                  .select("g", "s", "l", F.lit(0.0).alias("w"), "m"))
+    merged = best_explicit if absent is None else best_explicit.unionByName(absent)
+    cand = (merged
             .withColumn("_r", F.row_number().over(top)).where(F.col("_r") <= k)
             .where(F.col("_r") <= F.col("m")).drop("_r"))
     # Candidate partners per group (<= m*m rows per group), one DP round each.
