@@ -172,6 +172,21 @@ def pair_gains(packs: DataFrame, migrations: list[tuple[int, int]], total: float
     return out.withColumn("cost", F.lit(float(total)) - F.col("gain"))
 
 
+def with_pair_positions(gains: DataFrame, migrations: list[tuple[int, int]], counts: dict[int, int],
+                        pos_col: str = "pos") -> DataFrame:
+    """Position of each pair in (from_state, to_state, from_id, to_id) order, computed
+    without sorting: each migration is a full product and the dense pack index
+    follows pack-id order, so pos = offset of the migration + from_idx * n_to + to_idx.
+    Needs the ``from_idx`` / ``to_idx`` columns of ``pair_gains``."""
+    offset, pos = 0, None
+    for lo, hi in sorted(migrations):
+        here = (F.col("from_state") == lo) & (F.col("to_state") == hi)
+        value = F.lit(offset) + F.col("from_idx") * F.lit(counts[hi]) + F.col("to_idx")
+        pos = F.when(here, value) if pos is None else pos.when(here, value)
+        offset += counts[lo] * counts[hi]
+    return gains.withColumn(pos_col, pos.cast("bigint"))
+
+
 def overlap_weights(packs: DataFrame, migrations: list[tuple[int, int]],
                     counts: dict[int, int] | None = None, arities: dict[int, int] | None = None) -> DataFrame:
     """Long form ``(from_state, from_id, to_state, to_id, from_slot, to_slot, weight)``."""

@@ -21,7 +21,6 @@ from quarry.functions.ids import pack_pair_id, pair_id_high, pair_id_low
 from quarry.operators import gain as G
 from quarry.operators import packs as P
 from quarry.operators import valueiter as VI
-from quarry.operators.ordering import with_position
 from quarry.plans.tables import table
 from quarry.sources.migration import sizes_from_table, validate_transitions
 
@@ -106,8 +105,8 @@ def pair_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sorted_pair_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gains = Inputs(spark, sf_dir).gains()
-    return with_position(gains, ["from_state", "to_state", "from_id", "to_id"]).select(
+    inp = Inputs(spark, sf_dir)
+    return G.with_pair_positions(inp.gains(), inp.migrations, inp.counts).select(
         "pos", "from_state", "to_state", "from_id", "to_id", "gain", "cost")
 
 

@@ -206,3 +206,18 @@ def test_vector_and_dataframe_paths_agree(spark, monkeypatch):
         assert a.keys() == b.keys() and len(a) == 6 + 15
         assert all(a[k] == pytest.approx(b[k], rel=1e-12) for k in a)
         assert fast.diffs == pytest.approx(slow.diffs, rel=1e-12)
+
+
+def test_arithmetic_pair_positions_match_sorted_order(spark):
+    from quarry.operators.ordering import with_position
+    line = P.item_line(_sizes(spark, [2, 1, 3, 1, 2]))
+    raw = P.generate_packs(line, [2, 3, 4]).withColumn("pack_id", F.col("pack_id") * 10 + 7)
+    packs = G.dense_index(P.attach_sizes(raw, line))
+    counts = G.pack_counts(packs)
+    migrations = [(2, 3), (2, 4), (3, 4)]
+    gains = G.pair_gains(packs, migrations, 9.0, counts)
+    a = G.with_pair_positions(gains, migrations, counts, "p1")
+    b = with_position(a, ["from_state", "to_state", "from_id", "to_id"], pos_col="p2")
+    rows = b.select("p1", "p2").collect()
+    assert len(rows) == 4 * 6 + 4 * 4 + 6 * 4
+    assert all(r.p1 == r.p2 for r in rows)
