@@ -15,14 +15,18 @@ from pyspark.sql import functions as F
 from quarry.llm.scratch import save
 
 
-def _large(edges: DataFrame) -> DataFrame:
+# The smallest neighbours are written before they are joined: a join straight above an
+# aggregation keeps its partitions, and adaptive execution could not split a hot vertex.
+
+
+def _large(edges: DataFrame, name: str) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = save(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), name)
     return (both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
 
 
-def _small(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+def _small(edges: DataFrame, name: str) -> DataFrame:
+    least = save(edges.groupBy("a").agg(F.min("b").alias("m")), name)
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -38,7 +42,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     now = save(now, f"{name}-edges")
     mark = None
     while True:
-        now = save(_small(_large(now)), f"{name}-edges")
+        now = save(_large(now, f"{name}-least"), f"{name}-edges")
+        now = save(_small(now, f"{name}-least"), f"{name}-edges")
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark or seen[0] == 0:
             break

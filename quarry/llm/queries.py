@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import fertility
+from quarry.llm import fertility, repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,34 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.assess(docs).drop("text")
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs, texts=False, name="op5")
+
+
+#: The words of every document, numbered rows first (an id may occur twice).
+_WORDS = r"""rows AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+words AS (SELECT r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM rows)"""
+
+OP5_SQL = f"""
+WITH {_WORDS},
+starts AS (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS s FROM words WHERE len(ws) >= 35),
+wins AS (SELECT r, s, array_to_string(ws[s:s + 34], ' ') AS k FROM starts),
+again AS (SELECT k FROM wins GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(s, s + 35)) AS p FROM wins JOIN again USING (k)),
+places AS (SELECT r, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM words),
+kept AS (SELECT r, string_agg(w, ' ' ORDER BY p) AS t, count(*) AS n
+         FROM places ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (r)
+"""
+
 QUERIES = {
     "op1_fertility": op1_fertility,
+    "op5_repeats": op5_repeats,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_repeats": OP5_SQL,
+}
