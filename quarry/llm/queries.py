@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import fertility, repeats
+from quarry.llm import fairmix, fertility, oddsketch, packing, repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,11 +40,71 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0)
 FROM words LEFT JOIN kept USING (r)
 """
 
+def op6_fairmix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = fairmix.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), name="op6")
+    return documents.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+OP6_SQL = f"""
+WITH {_WORDS.replace("doc_id, text FROM", "doc_id, source, text FROM").replace("SELECT r, doc_id, coalesce", "SELECT r, doc_id, source, coalesce")},
+sized AS (SELECT r, doc_id, source, len(ws) AS size FROM words),
+sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+src AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS weight,
+        row_number() OVER (ORDER BY encode(source) NULLS LAST) AS position FROM sums),
+ranked AS (SELECT *, 3 * source_size / weight AS ratio FROM src),
+levels AS (SELECT a.position, a.ratio, ((SELECT sum(source_size) FROM src)
+             - coalesce(sum(3 * b.source_size) FILTER (b.ratio < a.ratio), 0))
+             / CAST(sum(b.weight) FILTER (b.ratio >= a.ratio) AS DOUBLE) AS level
+           FROM ranked a, ranked b GROUP BY a.position, a.ratio),
+water AS (SELECT max(level) AS level FROM levels WHERE level > 0),
+targets AS (SELECT src.*, least(level * weight, CAST(3 * source_size AS DOUBLE)) AS target FROM src, water),
+docs AS (SELECT sized.*, source_size, target, position, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+         FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source),
+upto AS (SELECT *, sum(size) OVER (PARTITION BY position ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) AS c FROM docs),
+copies AS (SELECT *, (c - size + e * source_size + size) / target AS finish
+           FROM (SELECT *, unnest([0, 1, 2]) AS e FROM upto) WHERE c - size + e * source_size < target),
+queue AS (SELECT r, sum(size) OVER (ORDER BY finish, position, k, doc_id, e ROWS UNBOUNDED PRECEDING) AS so_far FROM copies),
+got AS (SELECT r, count(*) AS n FROM queue WHERE so_far <= (SELECT sum(target) FROM targets) GROUP BY r)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * coalesce(n, 0) AS BIGINT) AS taken
+FROM docs LEFT JOIN got USING (r)
+"""
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), name="op7")
+
+
+def op8_oddsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oddsketch.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), name="op8")
+
+
+OP8_SQL = r"""
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS r, doc_id,
+  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+words AS (SELECT r, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM rows),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(ws[s:s + 4], ' ') AS k
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 3)) AS s FROM words WHERE len(ws) >= 5)
+  UNION ALL SELECT r, array_to_string(ws, ' ') FROM words WHERE len(ws) BETWEEN 1 AND 4),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+shared AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.k = b.k AND a.r <> b.r GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON a = x.r JOIN sizes y ON b = y.r WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT r, r AS t FROM rows UNION SELECT reach.r, links.b FROM reach JOIN links ON reach.t = links.a),
+least AS (SELECT reach.r, min(rows.doc_id) AS component_id FROM reach JOIN rows ON reach.t = rows.r GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM rows JOIN least USING (r) LEFT JOIN sizes USING (r)
+"""
+
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op5_repeats": op5_repeats,
+    "op6_fairmix": op6_fairmix,
+    "op7_packing": op7_packing,
+    "op8_oddsketch": op8_oddsketch,
 }
 
 ORACLES: dict[str, str] = {
     "op5_repeats": OP5_SQL,
+    "op6_fairmix": OP6_SQL,
+    "op8_oddsketch": OP8_SQL,
 }
