@@ -34,13 +34,14 @@ from quarry.llm.vocab import WordTokens, byte_level_encoder, per_worker, public_
 
 @dataclass(frozen=True)
 class Rule:
-    """``groups`` of large lengths; lengths up to ``capacity // small`` are small."""
+    """Numbers of ``groups`` of large lengths to try (the plan with fewest sequences is used); lengths up
+    to ``capacity // small`` are small."""
 
     capacity: int = 1024
     end_id: int = 2
     vocabulary: str = public_path("byte_bpe_50k.json")
     special: tuple[str, ...] = ("<|endoftext|>",)
-    groups: int = 256
+    groups: tuple[int, ...] = (64, 128, 256, 512)
     small: int = 8
 
 
@@ -133,9 +134,9 @@ def cut_pieces(docs: DataFrame, id_column: str, text: str, rule: Rule) -> DataFr
 class Plan:
     """Runs of pieces of one length, and the sequences (in runs of equal filling) they go to."""
 
-    def __init__(self, counts: dict[int, int], rule: Rule):
+    def __init__(self, counts: dict[int, int], rule: Rule, groups: int):
         self.capacity, self.sequences = rule.capacity, 0
-        self.next = dict.fromkeys(counts, 0)
+        self.next = dict.fromkeys(counts, 0)  # pieces of each length that have a place
         self.runs: list[tuple[int, int, int, int, int, int]] = []  # length, rank, count, sequence, per sequence, offset
         self.gaps: list[tuple[int, int, int]] = []  # free, first sequence, sequences: sorted
         left = dict(counts)
@@ -143,7 +144,7 @@ class Plan:
         if full:
             self._put(self.capacity, full, self._open(full), 1, 0)
         small = {s: n for s, n in left.items() if s <= self.capacity // rule.small}
-        self._large(sorted(((s, n) for s, n in left.items() if s not in small), reverse=True), rule.groups)
+        self._large(sorted(((s, n) for s, n in left.items() if s not in small), reverse=True), groups)
         for size in sorted(small, reverse=True):
             self._best_fit(size, small[size])
 
@@ -268,7 +269,7 @@ def pack(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule: R
     cut = save(cut_pieces(docs, id_column, text, rule), f"{name}-pieces")
     # Bounded by the capacity: one row per length.
     counts = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}
-    plan = Plan(counts, rule)
+    plan = min((Plan(counts, rule, g) for g in rule.groups), key=lambda p: p.sequences)
     lengths = sorted(counts)
     begin = dict(zip(lengths, np.cumsum([0] + [counts[s] for s in lengths[:-1]]).tolist(), strict=True))
     runs = sorted((begin[size] + rank, sequence, each, offset, size)
