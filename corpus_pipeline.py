@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import fertility
+from quarry.llm import fairmix, fertility, oddsketch, packing, repeats
 from quarry.llm.scratch import save
 
 
@@ -13,11 +14,41 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return fertility.assess(docs, only_kept=True)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest id of each group of near duplicates, once (operator 8).
+
+    Documents without an id belong to no group and stay.
+    """
+    kept = oddsketch.near_duplicates(docs, name="stage-near").where("kept and doc_id is not null").select("doc_id")
+    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return one.unionByName(docs.where("doc_id is null"))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take out the passages that repeat in or across documents (operator 5); ``n_chars`` follows the text."""
+    left = repeats.remove_repeats(docs, name="stage-repeats")
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at their target weights: a document is left out, or repeated, as the mix takes it (operator 6)."""
+    return fairmix.take(docs, name="stage-mix")
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack what is left into sequences (operator 7)."""
+    return packing.pack(docs, name="stage-pack")
+
+
 STAGES = [
     ("quality_rules", quality),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("mixing", mixing),
+    ("best_fit_packing", best_fit_packing),
 ]
 
-#: Tokenizer verdicts and sketches have no SQL form; the stages are tested against brute force instead.
+#: Tokenizer verdicts have no SQL form; the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 
