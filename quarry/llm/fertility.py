@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from quarry.llm.scratch import small_batches
-from quarry.llm.textwords import Words, mix, pieces, window_hashes
+from quarry.llm.textwords import Words, among, mix, pieces, window_hashes
 from quarry.llm.vocab import WordTokens, encoder, fallback_ids, per_worker, public_path
 
 SYMBOLS = np.zeros(256, dtype=bool)
@@ -112,10 +112,7 @@ def _repeat_words(words: Words, h: np.ndarray, k: int) -> np.ndarray:
     key = mix(window_hashes(h, k) + doc[:n].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     ordered = np.sort(key[whole])
     twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    again = np.zeros(n, dtype=bool)
-    if len(twice):
-        at = np.minimum(np.searchsorted(twice, key), len(twice) - 1)
-        again = whole & (twice[at] == key)
+    again = whole & among(key, twice)
     covered = np.zeros(len(h), dtype=bool)
     for j in range(k):
         covered[j:j + n] |= again

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from quarry.llm import keycounts
 from quarry.llm.scratch import save
-from quarry.llm.textwords import Words, sliding_min, window_hashes
+from quarry.llm.textwords import Words, among, sliding_min, window_hashes
 
 
 @dataclass(frozen=True)
@@ -79,7 +79,7 @@ def _window_keys(texts: pa.ChunkedArray, shared: list[np.ndarray], rule: Rule):
     parts, places = [], {}
     for i, seq in _sequences(words, h, rule):
         _, least, _ = _windows(seq, rule)
-        at = np.flatnonzero(np.isin(least, shared[i]))
+        at = np.flatnonzero(among(least, shared[i]))
         places[i] = at
         parts.append(window_hashes(seq, rule.window)[at])
     return words, parts, places
@@ -137,7 +137,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", rule: Rule | None = None
         for i, seq in _sequences(words, h, rule):
             grams, _, anchor = _windows(seq, rule)
             found = np.unique(grams[anchor])
-            found = found[np.isin(found, often)]
+            found = found[among(found, often)]
             if len(found):
                 shared[i] = found.tobytes()
         classes = [hashlib.sha256(_joined(words, i)).digest() for i in range(words.n_texts)]
@@ -175,7 +175,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", rule: Rule | None = None
         ids = rows.column("_class").to_pylist()
         for (i, at), hashes in zip(places.items(), parts, strict=True):
             n = int(words.counts[i])
-            spans = [(0, n)] if copies[i] > 1 else _spans(at[np.isin(hashes, often)], rule.window)
+            spans = [(0, n)] if copies[i] > 1 else _spans(at[among(hashes, often)], rule.window)
             if spans:
                 keep = np.ones(n, dtype=bool)
                 for a, m in spans:

@@ -134,6 +134,13 @@ def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which ``values`` are in ``known``, which is sorted."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     """Minimum of each ``w`` consecutive values."""
     n, size = len(x) - w + 1, 1
