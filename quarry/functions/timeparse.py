@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 # The tweet time format "EEE MMM dd HH:mm:ss Z yyyy" with English
 # names, e.g. "Mon Jun 16 10:00:00 +0000 2014" (30 characters), and the record
 # time format "yyyy/MM/dd HH:mm:ss", e.g. "2024/01/02 03:04:05" (19 characters).
+# (\z, not $: that would also match before a trailing line end.)
 WEEKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 TWEET_TIME_PATTERN = (r"^(" + "|".join(WEEKDAYS) + r") (" + "|".join(MONTHS) + r") "
-                      r"[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2} [+-][0-9]{4} [0-9]{4}$")
-SLASH_TIME_PATTERN = r"^[0-9]{4}/[0-9]{2}/[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+                      r"[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2} [+-][0-9]{4} [0-9]{4}\z")
+SLASH_TIME_PATTERN = r"^[0-9]{4}/[0-9]{2}/[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 
 
 def _field(c: Column, pos: int, length: int) -> Column:

@@ -4,133 +4,144 @@ Per group, every element of the smaller side is matched to a distinct element
 of the larger side (also at weight <= 0), maximising the total; an absent cell
 weighs 0. Only totals are unique: tied matchings may come out either way.
 
-Exact and relational, no solver:
-
-1. Candidate pruning (exact). With m elements on the small side, an optimal
+1. Candidates (exact, relational). With m elements on the small side, an optimal
    matching never needs a partner outside an element's m best cells: if it
    used one, one of those m cells would be free (only m-1 other elements) and
-   at least as heavy. The m best explicit cells per element come from a
-   ``row_number <= k`` filter, which Spark evaluates as a partial window-group
-   limit before the shuffle, so a huge row is cut down map-side. Absent
-   cells are found among the first m + degree partners of the group (at least m
-   of those are absent when the group is large enough), so the candidate rows
-   stay linear in the input.
-2. Subset dynamic programme. The group's candidate partners (at most m*m) are
-   taken one per round; a state is (group, mask of matched small-side
-   elements) with its best total, and a round either skips the partner or
-   gives it to a free element. States are hash-distributed by (group, mask)
-   and reduced with ``max_by``; the number of rounds is bounded by m*m, and
-   each group has at most 2^m states, whatever its input size.
+   at least as heavy. ``rank <= m`` per element leaves at most m*m cells of a
+   group, however long its large side is; Spark evaluates the rank as a
+   partial limit before its shuffle. Absent cells are looked for among the first
+   m + degree partners of the group, of which at least m are absent if so many exist.
+2. Matching. The candidates of one group, a square of the smaller side, are
+   solved by shortest augmenting paths (successive rows, reduced costs). Groups run
+   in parallel; a group's memory is m*m numbers, whatever the size of the input.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators.common import require
 from quarry.operators.ordering import with_position
-from quarry.session import reliable_checkpoint
-
-MAX_SMALL_SIDE = 16
-CHECKPOINT_EVERY = 4
+from quarry.session import scratch_copy
 
 
-def _oriented(edges: DataFrame, group: str, x: str, y: str, w: str) -> DataFrame:
+def _checked(edges: DataFrame, group: str, x: str, y: str, w: str) -> DataFrame:
     e = edges.select(F.col(group).alias("g"), F.col(x).alias("x"), F.col(y).alias("y"),
                      F.col(w).cast("double").alias("w"))
-    nx = e.select("g", "x").distinct().groupBy("g").agg(F.count(F.lit(1)).alias("nx"))
-    ny = e.select("g", "y").distinct().groupBy("g").agg(F.count(F.lit(1)).alias("ny"))
-    sizes = nx.join(ny, "g").withColumn("swap", F.col("nx") > F.col("ny"))
-    sizes = require(sizes, F.least("nx", "ny") <= MAX_SMALL_SIDE,
-                    f"smaller side of a group exceeds {MAX_SMALL_SIDE} elements")
-    e = e.join(sizes, "g")
-    return e.select("g", F.when(F.col("swap"), F.col("y")).otherwise(F.col("x")).alias("s"),
-                    F.when(F.col("swap"), F.col("x")).otherwise(F.col("y")).alias("l"), "w", "swap",
-                    F.least("nx", "ny").alias("m"), F.greatest("nx", "ny").alias("n"))
+    e = require(e, F.col("x").isNotNull() & F.col("y").isNotNull(), "an edge needs both ends")
+    e = require(e, F.col("w").isNotNull() & ~F.isnan("w"), "an edge needs a weight")
+    cells = e.groupBy("g", "x", "y").agg(F.max("w").alias("w"), F.count(F.lit(1)).alias("copies"))
+    return require(cells, F.col("copies") == 1, "duplicate edge (group, x, y)").drop("copies")
+
+
+def _numbered(side: DataFrame) -> DataFrame:
+    """``(g, e, k)``: the distinct elements of a side, numbered 0.. within their group."""
+    ranked = with_position(side.distinct(), ["g", "e"], pos_col="_p")
+    first = scratch_copy(ranked.groupBy("g").agg(F.min("_p").alias("_f")), "first")
+    return ranked.alias("r").join(first.alias("f"), F.expr("r.g <=> f.g")).select(
+        "r.g", "r.e", (F.col("_p") - F.col("_f")).alias("k"))
+
+
+def max_total(weights: np.ndarray) -> list[int]:
+    """Column of every row in a maximum-weight matching of all rows (rows <= columns).
+
+    Rows enter one at a time; each takes the shortest augmenting path under reduced costs.
+    """
+    n, m = weights.shape
+    cost = weights.max() - weights if weights.size else weights
+    of_row, of_col = np.zeros(n), np.zeros(m + 1)
+    holder = np.full(m + 1, -1)  # the row of each column; column m is where a path starts
+    for row in range(n):
+        holder[m] = row
+        reach = np.full(m, np.inf)
+        before = np.full(m, m)
+        done = np.zeros(m + 1, dtype=bool)
+        col = m
+        while holder[col] >= 0:
+            done[col] = True
+            here = holder[col]
+            free = ~done[:m]
+            step = cost[here] - of_row[here] - of_col[:m]
+            better = free & (step < reach)
+            reach[better], before[better] = step[better], col
+            nearest = int(np.where(free, reach, np.inf).argmin())
+            gap = reach[nearest]
+            of_row[holder[done]] += gap
+            of_col[done] -= gap
+            reach[free] -= gap
+            col = nearest
+        while col != m:
+            holder[col] = holder[before[col]]
+            col = before[col]
+    out = [0] * n
+    for col in range(m):
+        if holder[col] >= 0:
+            out[holder[col]] = col
+    return out
+
+
+def _solve(cells: pd.DataFrame) -> pd.DataFrame:
+    """Matched cells of one group's candidates ``g, s, l, w, m``; ``s`` and ``l`` are numbers.
+
+    A group whose candidates leave fewer columns than rows cannot occur: every row has its m best cells.
+    """
+    rows, row_at = np.unique(cells["s"], return_inverse=True)
+    columns, col_at = np.unique(cells["l"], return_inverse=True)
+    w = np.full((len(rows), len(columns)), -np.inf)
+    w[row_at, col_at] = cells["w"]
+    # A cell that is no candidate is worse than any whole matching of candidates.
+    known = np.isfinite(w)
+    span = max(1.0, float(np.abs(w[known]).max()))
+    w[~known] = -4.0 * span * (len(rows) + 1)
+    matched = max_total(w)
+    return pd.DataFrame({"g": [cells["g"].iloc[0]] * len(rows), "s": rows, "l": columns[matched],
+                         "w": w[np.arange(len(rows)), matched]})
 
 
 def max_weight_assignment(edges: DataFrame, group: str = "grp", x: str = "x", y: str = "y",
                           weight: str = "weight") -> tuple[DataFrame, DataFrame]:
     """Returns ``(pairs, totals)``: ``pairs`` = (group, x, y, weight) of the matching,
-    ``totals`` = (group, total, n_pairs)."""
-    spark = edges.sparkSession
-    e = _oriented(edges, group, x, y, weight).cache()
-    k = MAX_SMALL_SIDE
-    # Small-side bit positions: one row per (group, element), at most m per group.
-    s_rank = (e.select("g", "s").distinct()
-              .withColumn("bit", F.row_number().over(Window.partitionBy("g").orderBy("s")) - 1))
-    explicit = e.select("g", "s", "l", "w", "m", "n")
-    top = Window.partitionBy("g", "s").orderBy(F.desc("w"), F.asc("l"))
-    best_explicit = explicit.drop("n").withColumn("_r", F.row_number().over(top)).where(F.col("_r") <= k) \
-                            .where(F.col("_r") <= F.col("m")).drop("_r")
-    degree = explicit.groupBy("g", "s").agg(F.count(F.lit(1)).alias("d"), F.first("m").alias("m"),
-                                            F.first("n").alias("n"))
-    # Only elements without an edge to every partner can need an absent (zero)
-    # cell; when there are none (complete grids), the numbering is skipped.
-    deficient = degree.where(F.col("d") < F.col("n"))
-    if deficient.limit(1).count() == 0:
-        absent = None
-    else:
-        # Large-side positions per group, numbered without moving a group into one task.
-        l_pos = with_position(e.select("g", "l").distinct(), ["g", "l"], pos_col="_p")
-        l_first = l_pos.groupBy("g").agg(F.min("_p").alias("_f"))
-        l_rank = l_pos.join(l_first, "g").select("g", "l", (F.col("_p") - F.col("_f")).alias("lr"))
-        probe = deficient.select("g", "s", "m", F.explode(F.sequence(
-            F.lit(0).cast("bigint"), (F.least(F.col("n"), F.col("m") + F.col("d")) - 1).cast("bigint"))).alias("lr"))
-        absent = (probe.join(l_rank, ["g", "lr"])
-                  .join(explicit.select("g", "s", "l"), ["g", "s", "l"], "left_anti")
-                  .withColumn("_r", F.row_number().over(Window.partitionBy("g", "s").orderBy("lr")))
-                  .where((F.col("_r") <= k) & (F.col("_r") <= F.col("m")))
-                  .select("g", "s", "l", F.lit(0.0).alias("w"), "m"))
-    merged = best_explicit if absent is None else best_explicit.unionByName(absent)
-    cand = (merged
-            .withColumn("_r", F.row_number().over(top)).where(F.col("_r") <= k)
-            .where(F.col("_r") <= F.col("m")).drop("_r"))
-    # Candidate partners per group (<= m*m rows per group), one DP round each.
-    partners = cand.select("g", "l").distinct()
-    partners = partners.withColumn("round", F.row_number().over(Window.partitionBy("g").orderBy("l")) - 1)
-    cells = (cand.join(partners, ["g", "l"]).join(s_rank, ["g", "s"])
-             .select("g", "round", "s", "l", "w", "bit", "m"))
-    cells = reliable_checkpoint(cells)
-    rounds_per_group = partners.groupBy("g").agg(F.count(F.lit(1)).alias("nr"))
-    meta = (rounds_per_group.join(e.select("g", "m", "swap").distinct(), "g")).cache()
-    max_rounds = meta.agg(F.max("nr")).first()[0] or 0
-
-    chosen_t = "array<struct<s:string,l:string,w:double>>"
-    states = meta.select("g", F.lit(0).cast("bigint").alias("mask"), F.lit(0.0).alias("total"),
-                         F.array().cast(chosen_t).alias("chosen"))
-    nr = meta.select("g", "m", "nr")
-    for r in range(max_rounds):
-        rc = cells.where(F.col("round") == r).select("g", "bit", "s", "l", "w")
-        bit = F.expr("shiftleft(1L, bit)")
-        free = F.col("bit").isNotNull() & (F.col("mask").bitwiseAND(bit) == 0)
-        skip = F.struct(F.col("mask").alias("mask"), F.col("total").alias("total"), F.col("chosen").alias("chosen"))
-        take = F.when(free, F.struct(
-            F.col("mask").bitwiseOR(bit).alias("mask"), (F.col("total") + F.col("w")).alias("total"),
-            F.concat("chosen", F.array(F.struct(F.col("s").cast("string").alias("s"),
-                                                F.col("l").cast("string").alias("l"),
-                                                F.col("w").alias("w")))).alias("chosen")))
-        # Each state meets the (at most m) cells of this round's partner once;
-        # skipping the partner or giving it to a free element are the options.
-        options = (states.join(rc, "g", "left").join(nr, "g")
-                   .select("g", "m", "nr", F.explode(F.array(skip, take)).alias("_o"))
-                   .where(F.col("_o").isNotNull())
-                   .select("g", "m", "nr", "_o.mask", "_o.total", "_o.chosen"))
-        # A state that can no longer match every small-side element is dropped.
-        remaining = F.greatest(F.col("nr") - r - 1, F.lit(0))
-        options = options.where(F.bit_count("mask") + remaining >= F.col("m"))
-        states = (options.groupBy("g", "mask")
-                  .agg(F.max_by(F.struct("total", "chosen"), "total").alias("_b"))
-                  .select("g", "mask", F.col("_b.total").alias("total"), F.col("_b.chosen").alias("chosen")))
-        if (r + 1) % CHECKPOINT_EVERY == 0:
-            states = reliable_checkpoint(states)
-    full = states.join(meta, "g").where(F.col("mask") == F.expr("shiftleft(1L, CAST(m AS INT))") - 1)
-    full = reliable_checkpoint(full)
-    totals = full.select(F.col("g").alias(group), F.col("total"), F.size("chosen").cast("bigint").alias("n_pairs"))
-    pairs = full.select("g", "swap", F.explode("chosen").alias("_c")).select(
-        F.col("g").alias(group),
-        F.when(F.col("swap"), F.col("_c.l")).otherwise(F.col("_c.s")).alias(x),
-        F.when(F.col("swap"), F.col("_c.s")).otherwise(F.col("_c.l")).alias(y),
-        F.col("_c.w").alias(weight))
+    ``totals`` = (group, total, n_pairs).
+
+    Any size of either side. A null end, a null or NaN weight, or a repeated (group, x, y) is an
+    error. ``x`` and ``y`` keep their types; a null group is a group of its own.
+    """
+    e = scratch_copy(_checked(edges, group, x, y, weight), "edges")
+    xs = scratch_copy(_numbered(e.select("g", F.col("x").alias("e"))), "xs")
+    ys = scratch_copy(_numbered(e.select("g", F.col("y").alias("e"))), "ys")
+
+    def size(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy("g").agg(F.count(F.lit(1)).alias(name)).withColumnRenamed("g", f"_{name}")
+
+    sizes = scratch_copy(size(xs, "nx").join(size(ys, "ny"), F.expr("_nx <=> _ny")).select(
+        F.col("_nx").alias("_g"), (F.col("nx") > F.col("ny")).alias("swap"), F.least("nx", "ny").alias("m"),
+        F.greatest("nx", "ny").alias("n")), "sizes")
+    numbers = (e.alias("e").join(xs.alias("a"), F.expr("e.g <=> a.g AND e.x = a.e"))
+               .join(ys.alias("b"), F.expr("e.g <=> b.g AND e.y = b.e"))
+               .join(sizes, F.expr("e.g <=> _g"))
+               .select(F.col("e.g").alias("g"), F.when(F.col("swap"), F.col("b.k")).otherwise(F.col("a.k")).alias("s"),
+                       F.when(F.col("swap"), F.col("a.k")).otherwise(F.col("b.k")).alias("l"), "w", "m", "n"))
+    cells = scratch_copy(numbers, "cells")
+    # Only an element without an edge to every partner can need an absent (zero) cell.
+    short = cells.groupBy("g", "s").agg(F.count(F.lit(1)).alias("d"), F.first("m").alias("m"),
+                                        F.first("n").alias("n")).where("d < n")
+    probe = short.select("g", "s", "m", F.explode(F.sequence(F.lit(0).cast("bigint"), F.least(
+        F.col("n"), F.col("m") + F.col("d")) - 1)).alias("l"))
+    absent = probe.alias("p").join(cells.alias("c"), F.expr("p.g <=> c.g AND p.s = c.s AND p.l = c.l"), "left_anti")
+    every = cells.drop("n").unionByName(absent.withColumn("w", F.lit(0.0)))
+    best = Window.partitionBy("g", "s").orderBy(F.desc("w"), F.asc("l"))
+    candidates = every.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= F.col("m")).drop("_r", "m")
+    schema = T.StructType([e.schema["g"], *T._parse_datatype_string("s bigint, l bigint, w double").fields])
+    matched = scratch_copy(candidates.groupBy("g").applyInPandas(_solve, schema), "matched")
+    sided = matched.join(sizes, F.expr("g <=> _g")).select(
+        "g", F.when(F.col("swap"), F.col("l")).otherwise(F.col("s")).alias("xk"),
+        F.when(F.col("swap"), F.col("s")).otherwise(F.col("l")).alias("yk"), "w")
+    pairs = (sided.alias("m").join(xs.alias("a"), F.expr("m.g <=> a.g AND xk = a.k"))
+             .join(ys.alias("b"), F.expr("m.g <=> b.g AND yk = b.k"))
+             .select(F.col("m.g").alias(group), F.col("a.e").alias(x), F.col("b.e").alias(y), F.col("w").alias(weight)))
+    totals = matched.groupBy(F.col("g").alias(group)).agg(F.sum("w").alias("total"), F.count(F.lit(1)).alias("n_pairs"))
     return pairs, totals

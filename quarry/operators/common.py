@@ -5,41 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast a side only when its row count is known to be below this bound;
-# beyond it the join is left to a shuffle (sort-merge or shuffled hash).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       known_rows: int | None = None) -> DataFrame:
-    """Hint a broadcast only after checking the row count (one cheap job)."""
-    rows = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if rows <= max_rows else df
-
 
 def require(df: DataFrame, condition: Column, message: str) -> DataFrame:
     """Keep every row, raising ``message`` on the first row where ``condition`` is not true.
 
     Written as a predicate: a check in a column nobody reads is pruned away.
-    The predicate is made non-deterministic (an always-false ``rand`` term) so
-    the optimizer neither merges later filters into it nor propagates their
-    constants into ``condition``: every row reaching this point is checked as
-    written, whatever is filtered afterwards.
+    The predicate is made non-deterministic (a never-true term on the row's number,
+    which the optimizer cannot fold away) so it is neither moved below an earlier
+    filter or join nor merged with a later one: exactly the rows that reach this
+    point are checked, as written.
     """
-    ok = F.coalesce(condition, F.lit(False)) | (F.rand(0) < F.lit(0.0))
+    ok = F.coalesce(condition, F.lit(False)) | (F.monotonically_increasing_id() < 0)
     return df.where(F.assert_true(ok, F.lit(message)).isNull())
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that arrives in fewer partitions than the cluster has
-    cores (e.g. one large file), before CPU-heavy per-row work. A no-op on
-    inputs that are already split; no key, so no skew."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    # Hash on a seeded random number: as even as round-robin, reproducible on a
-    # retry of the same input split, and, being non-deterministic, it keeps
-    # Catalyst from pushing later filters (e.g. on a parsed column) back below
-    # the exchange into the single scan task.
-    return df.repartition(cores, F.rand(17))
-

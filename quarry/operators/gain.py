@@ -5,16 +5,15 @@ the runs of pack ``b``, a cell weighing the total size of the items the two
 runs share; cost = total size - gain.
 
 Runs of a pack are disjoint intervals in line order, so an optimal matching
-never needs two crossing cells and the gain is a grid recurrence over the
-k1 x k2 cells, unrolled into column arithmetic (``with_grid_gain``); no
-solver, no UDF.
+never needs two crossing cells and the gain is one fold along the staircase of
+overlapping cells (``with_gain``), the same plan for every arity; no solver, no UDF.
 
 The pair set of two states is, by definition, every pack of one state against
 every pack of the other. Its size n_a * n_b is known from two counts before
 anything runs, so the pair index space is generated by ``spark.range`` in
 equal slices (no key, hence no skew) and each index is resolved to its two
-packs with equi-joins on a dense pack index; the pack tables are broadcast only
-after their row counts are checked, otherwise the joins shuffle.
+packs with equi-joins on a dense pack index; Spark's byte threshold decides whether
+a pack table is broadcast.
 """
 
 from __future__ import annotations
@@ -24,83 +23,64 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.common import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from quarry.operators.ordering import with_position
 
 ROWS_PER_TASK = 500_000
 
 
-def _cell_weight(i: int, j: int) -> tuple[Column, Column]:
-    """(overlap?, shared size) of run i of pack a and run j of pack b (0-based).
+def with_gain(pairs: DataFrame, out: str = "gain") -> DataFrame:
+    """Add the maximum-weight matching of shared size of each pair of packs, of any arity.
 
-    Uses only the two packs' end positions and cumulative sizes: the shared
-    range is [max(starts), min(ends)), and the cumulative size at either bound
-    is read from whichever pack owns that bound.
+    Walking both packs from the left, the overlapping cells form a staircase: each step ends
+    a run of a, of b, or of both. A cell may join the best matching of the cells before
+    both its row and its column began, and that best never falls, so with ``row`` and ``col``
+    the best totals before the current run of a and of b began, every step is
+    best = max(best, min(row, col) + w). One fold over arity(a) + arity(b) steps.
     """
-    ea, eb = F.col("a_ends")[i], F.col("b_ends")[j]
-    sa = F.col("a_ends")[i - 1] if i > 0 else F.lit(0)
-    sb = F.col("b_ends")[j - 1] if j > 0 else F.lit(0)
-    ca_prev = F.col("a_cum")[i - 1] if i > 0 else F.lit(0.0)
-    cb_prev = F.col("b_cum")[j - 1] if j > 0 else F.lit(0.0)
-    hi = F.when(ea <= eb, F.col("a_cum")[i]).otherwise(F.col("b_cum")[j])
-    lo = F.when(sa >= sb, ca_prev).otherwise(cb_prev)
-    overlaps = F.least(ea, eb) > F.greatest(sa, sb)
-    return overlaps, F.when(overlaps, hi - lo).otherwise(F.lit(0.0))
-
-
-def with_grid_gain(pairs: DataFrame, ka: int, kb: int, out: str = "gain") -> DataFrame:
-    """Add the maximum-weight matching of shared size for packs of arity ka and kb.
-
-    A crossing pair of cells, (i1, j2) and (i2, j1) with i1 < i2 and j1 < j2,
-    cannot both be non-zero: runs are disjoint intervals in line order. So
-    some optimal matching is non-crossing, and the gain is the grid recurrence
-    best(i, j) = max(best(i-1, j), best(i, j-1), best(i-1, j-1) + w(i, j)).
-    The grid has a fixed shape per state pair, so it is unrolled into plain
-    column arithmetic, one projection per anti-diagonal (each cell computed
-    once, all inside whole-stage code generation).
-    """
-    keep = pairs.columns
-    weights = [_cell_weight(i, j)[1].alias(f"_w{i}_{j}") for i in range(ka) for j in range(kb)]
-    df = pairs.select(*keep, *weights)
-
-    def best(i: int, j: int) -> Column:
-        return F.col(f"_b{i}_{j}") if i >= 0 and j >= 0 else F.lit(0.0)
-
-    done: list[tuple[int, int]] = []
-    for d in range(ka + kb - 1):
-        diagonal = [(i, d - i) for i in range(max(0, d - kb + 1), min(ka, d + 1))]
-        cells = [F.greatest(best(i - 1, j), best(i, j - 1), best(i - 1, j - 1) + F.col(f"_w{i}_{j}"))
-                 .alias(f"_b{i}_{j}") for i, j in diagonal]
-        # Carry only what later diagonals read: unused weights and the last two diagonals.
-        live_w = [f"_w{i}_{j}" for i in range(ka) for j in range(kb) if i + j > d]
-        live_b = [(i, j) for i, j in done if i + j >= d - 1]
-        df = df.select(*keep, *live_w, *[f"_b{i}_{j}" for i, j in live_b], *cells)
-        done = live_b + diagonal
-    return df.select(*keep, F.col(f"_b{ka - 1}_{kb - 1}").alias(out))
-
-
-def grid_overlaps(pairs: DataFrame, ka: int, kb: int) -> DataFrame:
+    ea, eb = F.col("a_ends"), F.col("b_ends")
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0.0).alias("at"), F.lit(0.0).alias("row"),
+                     F.lit(0.0).alias("col"), F.lit(0.0).alias("best"))
+
+    def step(s: Column, _: Column) -> Column:
+        a, b = F.get(ea, s["i"]), F.get(eb, s["j"])
+        here = F.when(a <= b, F.get(F.col("a_cum"), s["i"])).otherwise(F.get(F.col("b_cum"), s["j"]))
+        best = F.greatest(s["best"], F.least(s["row"], s["col"]) + here - s["at"])
+        moved = F.struct(
+            (s["i"] + F.when(a <= b, 1).otherwise(0)).alias("i"), (s["j"] + F.when(b <= a, 1).otherwise(0)).alias("j"),
+            here.alias("at"), F.when(a <= b, best).otherwise(s["row"]).alias("row"),
+            F.when(b <= a, best).otherwise(s["col"]).alias("col"), best.alias("best"))
+        return F.when(a.isNull() | b.isNull(), s).otherwise(moved)
+
+    steps = F.sequence(F.lit(1), F.size(ea) + F.size(eb))
+    return pairs.select(*pairs.columns, F.aggregate(steps, start, step, lambda s: s["best"]).alias(out))
+
+
+def grid_overlaps(pairs: DataFrame) -> DataFrame:
     """One row per overlapping cell: ``pairs`` columns + ``a_slot, b_slot, weight``."""
-    cells = []
-    for i in range(ka):
-        for j in range(kb):
-            ok, w = _cell_weight(i, j)
-            cells.append(F.struct(F.lit(i).alias("a_slot"), F.lit(j).alias("b_slot"),
-                                  w.alias("weight"), ok.alias("ok")))
-    return (pairs.select(*pairs.columns, F.explode(F.array(*cells)).alias("_c"))
-            .where(F.col("_c.ok"))
-            .select(*pairs.columns, "_c.a_slot", "_c.b_slot", "_c.weight"))
+    def begin(ends: str, slot: str) -> Column:
+        return F.when(F.col(slot) > 0, F.get(F.col(ends), F.col(slot) - 1)).otherwise(0)
+
+    def before(cum: str, slot: str) -> Column:
+        return F.when(F.col(slot) > 0, F.get(F.col(cum), F.col(slot) - 1)).otherwise(0.0)
+
+    slots = (pairs.withColumn("a_slot", F.explode(F.sequence(F.lit(0), F.size("a_ends") - 1)))
+             .withColumn("b_slot", F.explode(F.sequence(F.lit(0), F.size("b_ends") - 1))))
+    ea, eb = F.get("a_ends", "a_slot"), F.get("b_ends", "b_slot")
+    sa, sb = begin("a_ends", "a_slot"), begin("b_ends", "b_slot")
+    high = F.when(ea <= eb, F.get("a_cum", "a_slot")).otherwise(F.get("b_cum", "b_slot"))
+    low = F.when(sa >= sb, before("a_cum", "a_slot")).otherwise(before("b_cum", "b_slot"))
+    return slots.where(F.least(ea, eb) > F.greatest(sa, sb)).withColumn("weight", high - low)
 
 
 def dense_index(packs: DataFrame) -> DataFrame:
     """Add ``idx`` = 0..n-1 per state in ``pack_id`` order (for packs read from files).
 
     Uses the distributed global position, then subtracts each state's first
-    position (one row per state, broadcast).
+    position (one row per state).
     """
     ranked = with_position(packs, ["state", "pack_id"], pos_col="_pos")
     first = ranked.groupBy("state").agg(F.min("_pos").alias("_first"))
-    return (ranked.join(F.broadcast(first), "state")
+    return (ranked.join(first, "state")
             .withColumn("idx", F.col("_pos") - F.col("_first")).drop("_pos", "_first"))
 
 
@@ -109,26 +89,14 @@ def pack_counts(packs: DataFrame) -> dict[int, int]:
     return {r["state"]: r["n"] for r in packs.groupBy("state").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def pack_arities(packs: DataFrame) -> dict[int, int]:
-    """Runs per pack for each state (one row per state reaches the driver);
-    all packs of a state must have the same arity."""
-    rows = packs.groupBy("state").agg(F.min(F.size("ends")).alias("lo"), F.max(F.size("ends")).alias("hi")).collect()
-    bad = [r["state"] for r in rows if r["lo"] != r["hi"]]
-    if bad:
-        raise ValueError(f"packs of states {bad} differ in arity")
-    return {r["state"]: r["hi"] for r in rows}
-
-
-def _side(packs: DataFrame, state: int, prefix: str, rows: int, max_rows: int) -> DataFrame:
-    side = packs.where(F.col("state") == state).select(
+def _side(packs: DataFrame, state: int, prefix: str) -> DataFrame:
+    return packs.where(F.col("state") == state).select(
         F.col("idx").alias(f"{prefix}_idx"), F.col("state").alias(f"{prefix}_state"),
         F.col("pack_id").alias(f"{prefix}_id"), F.col("ends").alias(f"{prefix}_ends"),
         F.col("cum").alias(f"{prefix}_cum"))
-    return broadcast_if_small(side, max_rows, known_rows=rows)
 
 
-def pack_pairs(packs: DataFrame, a_state: int, b_state: int, counts: dict[int, int],
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def pack_pairs(packs: DataFrame, a_state: int, b_state: int, counts: dict[int, int]) -> DataFrame:
     """Every (pack of ``a_state``, pack of ``b_state``), columns prefixed ``a_`` / ``b_``.
 
     ``packs`` needs ``state, pack_id, idx, ends, cum`` with ``idx`` dense per state.
@@ -140,9 +108,7 @@ def pack_pairs(packs: DataFrame, a_state: int, b_state: int, counts: dict[int, i
     index = spark.range(0, total, numPartitions=tasks).select(
         (F.col("id") / F.lit(max(n_b, 1))).cast("bigint").alias("a_idx"),
         (F.col("id") % F.lit(max(n_b, 1))).alias("b_idx"))
-    a = _side(packs, a_state, "a", n_a, max_broadcast_rows)
-    b = _side(packs, b_state, "b", n_b, max_broadcast_rows)
-    return index.join(a, "a_idx").join(b, "b_idx")
+    return index.join(_side(packs, a_state, "a"), "a_idx").join(_side(packs, b_state, "b"), "b_idx")
 
 
 def canonical_migrations(transitions: DataFrame) -> list[tuple[int, int]]:
@@ -153,16 +119,15 @@ def canonical_migrations(transitions: DataFrame) -> list[tuple[int, int]]:
 
 
 def pair_gains(packs: DataFrame, migrations: list[tuple[int, int]], total: float,
-               counts: dict[int, int] | None = None, arities: dict[int, int] | None = None) -> DataFrame:
+               counts: dict[int, int] | None = None) -> DataFrame:
     """``(from_state, from_id, to_state, to_id, gain, cost)`` for each unordered
     migration (from_state < to_state); each pair is computed once."""
     counts = counts if counts is not None else pack_counts(packs)
-    arity = arities if arities is not None else pack_arities(packs)
     frames = []
     for lo, hi in migrations:
         if lo == hi:
             raise ValueError(f"a state cannot migrate to itself: {lo}")
-        pairs = with_grid_gain(pack_pairs(packs, lo, hi, counts), arity[lo], arity[hi])
+        pairs = with_gain(pack_pairs(packs, lo, hi, counts))
         frames.append(pairs.select(F.col("a_state").alias("from_state"), F.col("a_id").alias("from_id"),
                                    F.col("b_state").alias("to_state"), F.col("b_id").alias("to_id"),
                                    "gain", F.col("a_idx").alias("from_idx"), F.col("b_idx").alias("to_idx")))
@@ -188,13 +153,12 @@ def with_pair_positions(gains: DataFrame, migrations: list[tuple[int, int]], cou
 
 
 def overlap_weights(packs: DataFrame, migrations: list[tuple[int, int]],
-                    counts: dict[int, int] | None = None, arities: dict[int, int] | None = None) -> DataFrame:
+                    counts: dict[int, int] | None = None) -> DataFrame:
     """Long form ``(from_state, from_id, to_state, to_id, from_slot, to_slot, weight)``."""
     counts = counts if counts is not None else pack_counts(packs)
-    arity = arities if arities is not None else pack_arities(packs)
     frames = []
     for lo, hi in migrations:
-        cells = grid_overlaps(pack_pairs(packs, lo, hi, counts), arity[lo], arity[hi])
+        cells = grid_overlaps(pack_pairs(packs, lo, hi, counts))
         frames.append(cells.select(F.col("a_state").alias("from_state"), F.col("a_id").alias("from_id"),
                                    F.col("b_state").alias("to_state"), F.col("b_id").alias("to_id"),
                                    F.col("a_slot").alias("from_slot"), F.col("b_slot").alias("to_slot"),

@@ -26,9 +26,14 @@ def _partitions(df: DataFrame, n_partitions: int | None) -> int:
 
 
 def range_sorted(df: DataFrame, keys: list[str | Column], n_partitions: int | None = None) -> DataFrame:
-    """Partition ``i`` holds only keys <= those of partition ``i+1``, each sorted."""
+    """Partition ``i`` holds only keys <= those of partition ``i+1``, each sorted.
+
+    Rows with equal keys are told apart by where they come from, so that range bounds
+    can split a key that very many rows share.
+    """
     n = _partitions(df, n_partitions)
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    return tied.repartitionByRange(n, *keys, "_tie").sortWithinPartitions(*keys).drop("_tie")
 
 
 def with_position(df: DataFrame, keys: list[str | Column], pos_col: str = "pos",

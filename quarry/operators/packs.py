@@ -9,35 +9,44 @@ need these two arrays, so no per-item table is ever joined pair by pair.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.common import broadcast_if_small, require
+from quarry.operators.common import require
+from quarry.operators.ordering import with_position
+from quarry.session import scratch_copy
 
-# The item line is collapsed into one row (prefix sums); pack counts grow as
-# N^(k-1), so N itself stays small. The cap guards that row.
-MAX_ITEMS = 100_000
+ITEMS_PER_BLOCK = 100_000  # items whose running sum one task takes
 
 
-def item_line(sizes: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
-    """One row: ``n_items``, ``total``, ``prefix`` (N+1 prefix sums, prefix[0] = 0).
+@dataclass
+class ItemLine:
+    """``prefix`` has a row per cut position: ``pos`` 0..N and ``cum``, the size of the items before it."""
 
-    The item count is checked (a distributed count) before anything is
-    collected into the single row.
-    """
-    n = sizes.count()
-    if n > max_items:
-        raise ValueError(f"{n} items: more than {max_items}; pack counts grow as N^(k-1)")
-    agg = sizes.agg(F.array_sort(F.collect_list(F.struct("idx", "size"))).alias("_s"),
-                    F.count(F.lit(1)).alias("n_items"), F.sum("size").alias("total"),
-                    F.min("idx").alias("_lo"), F.max("idx").alias("_hi"))
-    agg = require(agg, (F.col("_lo") == 0) & (F.col("_hi") == F.col("n_items") - 1),
-                  "item positions must be 0..N-1 without gaps")
-    agg = require(agg, F.forall("_s", lambda s: s["size"] >= 0), "item sizes must be non-negative")
-    prefix = F.aggregate("_s", F.array(F.lit(0.0)),
-                         lambda acc, s: F.concat(acc, F.array(F.element_at(acc, -1) + s["size"])))
-    return agg.select(F.col("n_items").cast("int").alias("n_items"), F.col("total"), prefix.alias("prefix"))
+    prefix: DataFrame
+    n_items: int
+    total: float
+
+
+def item_line(sizes: DataFrame) -> ItemLine:
+    """Prefix sums of ``(idx, size)`` rows with idx 0..N-1, by partition totals of their range-sorted order."""
+    sizes = sizes.select(F.col("idx").cast("bigint").alias("idx"), F.col("size").cast("double").alias("size"))
+    ranked = with_position(sizes, ["idx"], pos_col="_p")
+    ranked = require(ranked, F.col("idx") == F.col("_p"), "item positions must be 0..N-1 without gaps")
+    ranked = require(ranked, F.col("size") >= 0, "item sizes must be non-negative")
+    ranked = scratch_copy(ranked.withColumn("_block", F.floor(F.col("_p") / F.lit(ITEMS_PER_BLOCK))), "items")
+    blocks = ranked.groupBy("_block").agg(F.sum("size").alias("_sum"))
+    # One row per block of items.
+    before = blocks.select("_block", (F.sum("_sum").over(Window.orderBy("_block")) - F.col("_sum")).alias("_before"))
+    within = F.sum("size").over(Window.partitionBy("_block").orderBy("idx"))
+    ends = (ranked.select("idx", "_block", within.alias("_within")).join(before, "_block")
+            .select((F.col("idx") + 1).cast("int").alias("pos"), (F.col("_before") + F.col("_within")).alias("cum")))
+    zero = sizes.sparkSession.createDataFrame([(0, 0.0)], "pos INT, cum DOUBLE")
+    prefix = scratch_copy(zero.unionByName(ends), "prefix")
+    head = prefix.agg(F.max("pos").alias("n"), F.max("cum").alias("total")).first()
+    return ItemLine(prefix, int(head["n"]), float(head["total"]))
 
 
 def _binomial(e: Column, i: int) -> Column:
@@ -48,7 +57,7 @@ def _binomial(e: Column, i: int) -> Column:
     return prod / F.lit(math.factorial(i))
 
 
-def generate_packs(line: DataFrame, states: list[int], n_partitions: int | None = None) -> DataFrame:
+def generate_packs(line: ItemLine, states: list[int], n_partitions: int | None = None) -> DataFrame:
     """Every composition of N into k positive runs, for each k in ``states``.
 
     ``pack_id`` is the colexicographic rank of the cut set, so ids are dense
@@ -56,12 +65,12 @@ def generate_packs(line: DataFrame, states: list[int], n_partitions: int | None
     Cut points are produced level by level with ``explode(sequence)``; rows are
     spread over tasks before the last level, which produces most of them.
     """
-    spark = line.sparkSession
+    spark = line.prefix.sparkSession
     parts = n_partitions or spark.sparkContext.defaultParallelism
     frames = []
     for k in states:
-        rows = line.select(F.lit(k).alias("state"), "n_items",
-                           F.array().cast("array<int>").alias("cuts"), F.lit(0).alias("_last"))
+        rows = spark.range(1).select(F.lit(k).alias("state"), F.lit(line.n_items).alias("n_items"),
+                                     F.array().cast("array<int>").alias("cuts"), F.lit(0).alias("_last"))
         for level in range(1, k):
             lo, hi = F.col("_last") + 1, F.col("n_items") - (k - level)
             if level == k - 1 and k > 2:
@@ -84,22 +93,21 @@ def generate_packs(line: DataFrame, states: list[int], n_partitions: int | None
     return out
 
 
-def attach_sizes(packs: DataFrame, line: DataFrame, n_items: int | None = None) -> DataFrame:
+def attach_sizes(packs: DataFrame, line: ItemLine) -> DataFrame:
     """``(state, pack_id, runs, ends, cum)``: end positions and cumulative size at each end.
 
-    Joins the N+1 prefix sums (a bounded table) by position; runs summing past
-    N are an error, runs summing below N leave the tail unused.
+    Joins the prefix sums by position; runs summing past N are an error, runs summing
+    below N leave the tail unused, and a repeated (state, pack_id) is an error.
     """
-    prefix = line.select(F.posexplode("prefix").alias("_pos", "_cum"))
-    n_rows = (n_items if n_items is not None else line.select("n_items").first()[0]) + 1
-    prefix = broadcast_if_small(prefix, known_rows=n_rows)
+    prefix = line.prefix.select(F.col("pos").alias("_pos"), F.col("cum").alias("_cum"))
     ends = F.transform("runs", lambda r, i: F.aggregate(F.slice("runs", 1, i + 1), F.lit(0), lambda a, b: a + b))
     slots = packs.select("state", "pack_id", "runs", F.posexplode(ends).alias("_slot", "_end"))
     joined = slots.join(prefix, slots["_end"] == prefix["_pos"], "left")
     joined = require(joined, F.col("_cum").isNotNull(), "pack runs sum past the number of items")
     grouped = joined.groupBy("state", "pack_id").agg(
-        F.first("runs").alias("runs"),
+        F.first("runs").alias("runs"), F.count(F.lit(1)).alias("_n"),
         F.array_sort(F.collect_list(F.struct("_slot", "_end", "_cum"))).alias("_e"))
+    grouped = require(grouped, F.col("_n") == F.size("runs"), "duplicate pack (state, pack_id)")
     return grouped.select("state", "pack_id", "runs",
                           F.transform("_e", lambda e: e["_end"]).alias("ends"),
                           F.transform("_e", lambda e: e["_cum"]).alias("cum"))

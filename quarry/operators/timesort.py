@@ -18,14 +18,15 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.functions.text import replace_newlines
 from quarry.functions.timeparse import (epoch_seconds, parse_slash_time, parse_tweet_time,
                                         parse_with_pattern)
-from quarry.operators.common import require, spread
+from quarry.operators.common import require
 from quarry.operators.ordering import range_sorted, with_position
+from quarry.session import scratch_copy
 
 # Fixed value: earliest kept tweet time (one minute past midnight, as in the job).
 DEFAULT_SINCE = _dt.datetime(2011, 1, 1, 0, 1, 0)
@@ -43,11 +44,15 @@ def parse_json_records(lines: DataFrame, value_col: str = "value", honor_offset:
     """``(epoch, wall, text, valid)`` per line; ``valid`` false for bad JSON, a bad
     time, or an explicit ``"text": null``."""
     value = F.col(value_col)
-    parsed = spread(lines.select(value.alias("_line"))).select("_line", F.from_json("_line", JSON_SCHEMA).alias("_r"))
+    parsed = lines.select(value.alias("_line")).select(
+        "_line", F.from_json("_line", JSON_SCHEMA).alias("_r"),
+        F.schema_of_variant(F.try_variant_get(F.try_parse_json("_line"), "$.text", "variant")).alias("_kind"))
     when = parse_tweet_time(F.col("_r.created_at"))
     # A key that is present with a null value is an error; only a missing key defaults to ''.
     text_key_present = F.array_contains(F.json_object_keys(F.col("_line")), "text")
-    text = F.when(F.col("_r.text").isNotNull(), F.col("_r.text")) \
+    # A text that is a number, a boolean or a structure is an error too.
+    is_string = F.coalesce(F.col("_kind") == "STRING", F.lit(True))
+    text = F.when(F.col("_r.text").isNotNull() & is_string, F.col("_r.text")) \
             .when(~F.coalesce(text_key_present, F.lit(False)), F.lit(""))
     wall = when["wall"]
     epoch = epoch_seconds(wall)
@@ -88,15 +93,23 @@ def csv_time_records(lines: DataFrame, field: int = 1, pattern: str = SLASH_PATT
     """``(value, epoch)``; ``epoch`` NULL for a line whose time field does not parse."""
     raw = F.get(F.split(F.col("value"), ","), field)
     wall = parse_slash_time(raw) if pattern == SLASH_PATTERN else parse_with_pattern(raw, pattern)
-    return spread(lines.select(F.col(value_col).alias("value"))).select("value", epoch_seconds(wall).alias("epoch"))
+    return lines.select(F.col(value_col).alias("value")).select("value", epoch_seconds(wall).alias("epoch"))
 
 
 def csv_time_sort(lines: DataFrame, field: int = 1, pattern: str = SLASH_PATTERN,
-                  n_partitions: int | None = None, with_pos: bool = False
-                  ) -> tuple[DataFrame, DataFrame]:
+                  n_partitions: int | None = None, with_pos: bool = False,
+                  counts: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """``(sorted, rejects)``: ``sorted`` = ``(epoch, value[, pos])`` in time order,
-    ``rejects`` = ``(value)`` of lines whose time does not parse."""
+    ``rejects`` = ``(value)`` of lines whose time does not parse.
+
+    The lines are parsed once, into a scratch table that the sort, its sampling and the
+    rejects read. ``counts``, if given, has ``kept`` and ``rejected`` after that pass.
+    """
     recs = csv_time_records(lines, field, pattern)
+    if counts is not None:
+        recs = recs.observe(counts, F.count("epoch").alias("kept"),
+                            F.count_if(F.col("epoch").isNull()).alias("rejected"))
+    recs = scratch_copy(recs, "csv-records")
     good = recs.where(F.col("epoch").isNotNull())
     rejects = recs.where(F.col("epoch").isNull()).select("value")
     keys = ["epoch", "value"]

@@ -2,14 +2,15 @@
 
 V_s(i) = sum_t p(s->t) * min_j (cost(i, j) + gamma * V_t(j))
 
-The cost table holds both directions of every migration, hash-partitioned by
-(from_state, from_id) and checkpointed once; both aggregations of an update
-(min per target state, then the probability-weighted sum) group by supersets
-of that key, so an update scans the table once with no shuffle. V has one row
-per pack and is joined broadcast when its row count allows, by shuffle
-otherwise. Each state's new V is checkpointed to the shared checkpoint
-directory (lineage stays one update deep) and the L1 change is collected in
-the same job through an ``Observation``: only that scalar reaches the driver.
+One path for every size: the cost table holds each unordered migration once, is
+written to the shared checkpoint directory, and an update of state s reads the
+slices that touch s, the ones stored the other way round with their ends swapped.
+V has one row per pack and is joined by whatever join Spark's own size estimates
+choose. The minimum per (pack, target) is a partial aggregate, so each task
+sends one row per pack and target, however many partners it has seen. The new
+values of an update are written to shared storage (lineage stays one update deep);
+the change and the row count are observed in the same job. Only those scalars, and the
+transition table's few rows, reach the driver.
 
 In-order sweeps (the default) refresh states in ascending order, each seeing
 values already refreshed in the same sweep; ``mode='synchronous'`` updates
@@ -20,15 +21,13 @@ transitions is absorbing and keeps V = 0.
 
 from __future__ import annotations
 
-import json
-import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.common import DEFAULT_BROADCAST_ROWS, broadcast_if_small, require
-from quarry.session import scratch_table_path
+from quarry.session import drop_scratch, scratch_table_path
 
 # Fixed values of the job: discount, sweep cap, stop threshold on the summed
 # absolute change of one sweep, initial value.
@@ -44,45 +43,54 @@ def transition_probs(transitions: DataFrame) -> DataFrame:
     return transitions.withColumn("p", F.col("weight") / total)
 
 
-def cost_table(directed_costs: DataFrame, n_buckets: int | None = None) -> DataFrame:
-    """Write the directed cost table once to the shared checkpoint directory,
-    partitioned by ``from_state`` and bucketed by ``from_id``, and read it back.
+@dataclass
+class CostTable:
+    """Costs of unordered migrations (``from_state < to_state``), one directory per pair of states."""
+
+    path: str
+    stored: DataFrame
+
+    def leaving(self, states: list[int] | None = None) -> DataFrame:
+        """``from_state, from_id, to_state, to_id, cost`` in both directions, of the given from-states."""
+        columns = ["from_state", "from_id", "to_state", "to_id", "cost"]
+        swapped = self.stored.select(F.col("to_state").alias("from_state"), F.col("to_id").alias("from_id"),
+                                     F.col("from_state").alias("to_state"), F.col("from_id").alias("to_id"), "cost")
+        if states is None:
+            return self.stored.select(*columns).unionByName(swapped)
+        return (self.stored.where(F.col("from_state").isin(states)).select(*columns)
+                .unionByName(swapped.where(F.col("from_state").isin(states))))
+
+    def drop(self) -> None:
+        drop_scratch(self.stored.sparkSession, self.path)
 
-    An update of state s then reads only the ``from_state = s`` directory, and
-    both of its aggregations (keys contain ``from_id``) run on the bucketed
-    layout without an exchange. Files on shared storage survive executor loss.
+
+def cost_table(costs: DataFrame) -> CostTable:
+    """Write the costs of unordered migrations once to the shared checkpoint directory.
+
+    Files on shared storage survive executor loss; an update prunes to the directories
+    of its state. ``drop()`` removes them.
     """
-    spark = directed_costs.sparkSession
-    # The table's size depends on the pack counts, not on the input volume:
-    # two buckets per core keep every core busy without a flood of tiny files.
-    n = n_buckets or max(1, 2 * spark.sparkContext.defaultParallelism)
+    spark = costs.sparkSession
     path = scratch_table_path(spark, "cost")
-    name = "quarry_cost_" + uuid.uuid4().hex
-    (directed_costs.select("from_state", "from_id", "to_state", "to_id", "cost", "from_idx", "to_idx")
-     .repartition(n, "from_id")
-     .write.partitionBy("from_state").bucketBy(n, "from_id").sortBy("from_id")
-     .option("path", path).saveAsTable(name))
-    # Cached on top of the files: sweeps scan memory, lost blocks are re-read
-    # from shared storage, and the bucket partitioning is kept.
-    return spark.table(name).persist()
-
-
-def bellman_update(cost: DataFrame, probs: DataFrame, values: DataFrame, gamma: float = GAMMA,
-                   from_state: int | None = None, value_rows: int | None = None,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    (costs.select("from_state", "from_id", "to_state", "to_id", "cost")
+     .write.partitionBy("from_state", "to_state").parquet(path))
+    schema = "from_id BIGINT, to_id BIGINT, cost DOUBLE, from_state INT, to_state INT"
+    return CostTable(path, spark.read.schema(schema).parquet(path))
+
+
+def bellman_update(cost: CostTable, probs: DataFrame, values: DataFrame, gamma: float = GAMMA,
+                   from_state: int | None = None) -> DataFrame:
     """``(state, pack_id, v)`` after one update of ``from_state`` (or of every state
     with outgoing transitions when None), reading target values from ``values``."""
-    c = cost if from_state is None else cost.where(F.col("from_state") == from_state)
+    c = cost.leaving(None if from_state is None else [from_state])
     v = values.select(F.col("state").alias("to_state"), F.col("pack_id").alias("to_id"), F.col("v"))
-    if value_rows is not None:
-        v = broadcast_if_small(v, max_broadcast_rows, value_rows)
     p = probs.select("from_state", "to_state", "p")
     if from_state is not None:
         p = p.where(F.col("from_state") == from_state)
     best = (c.join(v, ["to_state", "to_id"])
             .groupBy("from_state", "from_id", "to_state")
             .agg(F.min(F.col("cost") + F.lit(gamma) * F.col("v")).alias("m")))
-    return (best.join(F.broadcast(p), ["from_state", "to_state"])
+    return (best.join(p, ["from_state", "to_state"])
             .groupBy("from_state", "from_id")
             .agg(F.sum(F.col("p") * F.col("m")).alias("v"))
             .select(F.col("from_state").alias("state"), F.col("from_id").alias("pack_id"), "v"))
@@ -90,10 +98,13 @@ def bellman_update(cost: DataFrame, probs: DataFrame, values: DataFrame, gamma:
 
 @dataclass
 class IterationResult:
+    """``converged`` is false if the sweeps ran out before the change fell below the threshold."""
+
     values: DataFrame
     sweeps: int
     last_diff: float
-    diffs: list[float]
+    diffs: list[float] = field(default_factory=list)
+    converged: bool = False
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -103,148 +114,98 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _with_change(new: DataFrame, values: DataFrame) -> tuple[DataFrame, Observation]:
-    """Attach the previous value (same broadcast V as the update reads, so the
-    exchange is reused) and observe the L1 change and the row count."""
-    old = values.select("state", "pack_id", F.col("v").alias("_old"))
-    joined = new.join(old, ["state", "pack_id"])
-    obs = Observation()
-    return (joined.observe(obs, F.sum(F.abs(F.col("v") - F.col("_old"))).alias("diff"),
-                           F.count(F.lit(1)).alias("rows")).drop("_old"), obs)
-
-
-def _check_rows(obs: Observation, expected: int, what: str) -> float:
-    got = obs.get
-    if got["rows"] != expected:
-        raise ValueError(f"{what}: {got['rows']} packs received a value, expected {expected}")
-    return float(got["diff"] or 0.0)
-
+def _check_costs(cost: CostTable, transitions: list[tuple[int, int]], counts: dict[int, int]) -> None:
+    """Every transition needs a cost for every pack against every pack of its target."""
+    rows = cost.stored.groupBy("from_state", "to_state").agg(
+        F.count(F.lit(1)).alias("n"), F.count("cost").alias("costs")).collect()
+    have = {(r["from_state"], r["to_state"]): min(r["n"], r["costs"]) for r in rows}
+    for a, b in transitions:
+        got, want = have.get((min(a, b), max(a, b)), 0), counts[a] * counts[b]
+        if got != want:
+            raise ValueError(f"migration {a} -> {b}: {got} costs, expected {want}")
 
-def _write_values(values: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write V (one row per pack) to the shared checkpoint directory."""
-    spark = values.sparkSession
-    path = scratch_table_path(spark, name)
-    values.coalesce(max(1, spark.sparkContext.defaultParallelism // 2)).write.parquet(path)
-    return spark.read.parquet(path)
 
+class _Values:
+    """V per state in scratch tables; a state's table is dropped when a newer one has been read past."""
 
-# V is shipped inside the update plan (as array literals, like a broadcast
-# variable) while the total number of packs stays under this bound; above it,
-# V stays a DataFrame joined by broadcast or shuffle and checkpointed per update.
-DRIVER_VECTOR_MAX = 50_000  # about 1 MB of literal per task at the bound
+    def __init__(self, packs: DataFrame, states: list[int], initial: float):
+        self.spark = packs.sparkSession
+        self.paths: dict[int, str] = {}
+        self.of: dict[int, DataFrame] = {}
+        start = packs.select("state", "pack_id", F.lit(float(initial)).alias("v"))
+        for s in states:
+            self.put(s, start.where(F.col("state") == s))
 
+    def put(self, state: int, values: DataFrame) -> None:
+        path = scratch_table_path(self.spark, f"v{state}")
+        values.select(F.col("state").cast("int"), "pack_id", "v").write.parquet(path)
+        old = self.paths.get(state)
+        self.paths[state] = path
+        self.of[state] = self.spark.read.schema("state INT, pack_id BIGINT, v DOUBLE").parquet(path)
+        if old:
+            drop_scratch(self.spark, old)
 
-def _array_literal(values: list[float]) -> Column:
-    """One foldable literal for a whole vector (``repr`` of a float round-trips
-    exactly through JSON), instead of one literal expression per element."""
-    return F.from_json(F.lit(json.dumps(values)), "array<double>")
+    def all(self) -> DataFrame:
+        return _union([self.of[s] for s in sorted(self.of)])
 
 
-def _vector_sweeps(cost: DataFrame, p_rows: list, packs: DataFrame, states: list[int], active: list[int],
-                   counts: dict[int, int], gamma: float, max_sweeps: int, threshold: float | None,
-                   mode: str, initial: float) -> tuple[DataFrame, list[float]]:
-    """Value iteration with V as per-state vectors indexed by the dense pack index.
+def _observed(new: DataFrame, values: DataFrame) -> tuple[DataFrame, Observation]:
+    """Attach the previous value and observe the L1 change and the row count of a write."""
+    old = values.select("state", "pack_id", F.col("v").alias("_old"))
+    obs = Observation()
+    return (new.join(old, ["state", "pack_id"])
+            .observe(obs, F.sum(F.abs(F.col("v") - F.col("_old"))).alias("diff"), F.count(F.lit(1)).alias("rows"))
+            .drop("_old"), obs)
 
-    An update of state s is one job: scan the s partition of the bucketed cost
-    table, look up gamma * V[to_state][to_idx] in the shipped arrays, take the min
-    per (pack, target state) and the probability-weighted sum per pack (both
-    grouped on the bucket key, so no exchange), and return one row per pack of s.
-    """
-    spark = cost.sparkSession
-    vec = {s: [float(initial)] * counts[s] for s in states}
-    probs: dict[int, dict[int, float]] = {}
-    for r in p_rows:
-        probs.setdefault(r["from_state"], {})[r["to_state"]] = float(r["p"])
-
-    def update(s: int, values: dict[int, list[float]]) -> list[float]:
-        ts = sorted(probs[s])
-        lookup = None
-        weight = None
-        for t in ts:
-            arr = _array_literal(values[t])
-            v_t = F.element_at(arr, (F.col("to_idx") + 1).cast("int"))
-            lookup = F.when(F.col("to_state") == t, v_t) if lookup is None else lookup.when(F.col("to_state") == t, v_t)
-            weight = F.when(F.col("to_state") == t, F.lit(probs[s][t])) if weight is None \
-                else weight.when(F.col("to_state") == t, F.lit(probs[s][t]))
-        best = (cost.where((F.col("from_state") == s) & F.col("to_state").isin(ts))
-                .groupBy("from_id", "from_idx", "to_state")
-                .agg(F.min(F.col("cost") + F.lit(gamma) * lookup).alias("m")))
-        rows = (best.groupBy("from_id", "from_idx").agg(F.sum(weight * F.col("m")).alias("v"))
-                .select("from_idx", "v").collect())
-        if len(rows) != counts[s]:
-            raise ValueError(f"state {s}: {len(rows)} packs received a value, expected {counts[s]}")
-        new = [0.0] * counts[s]
-        for r in rows:
-            new[r["from_idx"]] = float(r["v"])
-        return new
 
-    diffs: list[float] = []
-    for _ in range(max_sweeps):
-        diff = 0.0
-        frozen = dict(vec)
-        for s in active:
-            new = update(s, vec if mode == "in_order" else frozen)
-            diff += sum(abs(a - b) for a, b in zip(new, vec[s]))
-            vec[s] = new
-        diffs.append(diff)
-        if threshold is not None and diff < threshold:
-            break
-    rows = [(s, i, v) for s in states for i, v in enumerate(vec[s])]
-    vals = spark.createDataFrame(rows, "state INT, idx BIGINT, v DOUBLE")
-    out = packs.select("state", "idx", "pack_id").join(vals, ["state", "idx"]).select("state", "pack_id", "v")
-    return out, diffs
+def _change(obs: Observation, expected: int, what: str) -> float:
+    got = obs.get
+    if got["rows"] != expected:
+        raise ValueError(f"{what}: {got['rows']} packs received a value, expected {expected}")
+    return float(got["diff"] or 0.0)
 
 
-def value_iteration(cost: DataFrame, probs: DataFrame, packs: DataFrame, gamma: float = GAMMA,
+def value_iteration(cost: CostTable, probs: DataFrame, packs: DataFrame, gamma: float = GAMMA,
                     max_sweeps: int = MAX_SWEEPS, threshold: float | None = THRESHOLD,
                     mode: str = "in_order", initial: float = INITIAL_VALUE) -> IterationResult:
     """Iterate until a sweep changes V by less than ``threshold`` in total (checked
     after the sweep) or ``max_sweeps`` sweeps ran; ``threshold=None`` runs all."""
     if mode not in ("in_order", "synchronous"):
         raise ValueError("mode must be 'in_order' or 'synchronous'")
-    spark = cost.sparkSession
-    # One row per transition (a handful): kept as a literal frame so an update
-    # does not recompute the normalisation.
+    spark = packs.sparkSession
+    # One row per transition and per state, the size of the cluster being planned.
     p_rows = probs.select("from_state", "to_state", "p").collect()
     probs = spark.createDataFrame([(r["from_state"], r["to_state"], float(r["p"])) for r in p_rows],
                                   "from_state INT, to_state INT, p DOUBLE")
-    targets: dict[int, list[int]] = {}
-    for r in p_rows:
-        targets.setdefault(r["from_state"], []).append(r["to_state"])
+    moves = [(r["from_state"], r["to_state"]) for r in p_rows]
     counts = {r["state"]: r["n"] for r in packs.groupBy("state").agg(F.count(F.lit(1)).alias("n")).collect()}
-    states = sorted(set(counts) | {s for ts in targets.values() for s in ts} | set(targets))
+    states = sorted(set(counts) | {s for move in moves for s in move})
     missing = [s for s in states if s not in counts]
     if missing:
         raise ValueError(f"no packs for states {missing}")
-    active = [s for s in states if s in targets]
-    if sum(counts.values()) <= DRIVER_VECTOR_MAX and "idx" in packs.columns and "to_idx" in cost.columns:
-        values, diffs = _vector_sweeps(cost, p_rows, packs, states, active, counts, gamma,
-                                       max_sweeps, threshold, mode, initial)
-        return IterationResult(values, len(diffs), diffs[-1] if diffs else 0.0, diffs)
-    V = {s: _write_values(packs.where(F.col("state") == s)
-                          .select("state", "pack_id", F.lit(float(initial)).alias("v")), f"v{s}")
-         for s in states}
-    active = [s for s in states if s in targets]
-    total_rows = sum(counts.values())
+    _check_costs(cost, moves, counts)
+    active = sorted({a for a, _ in moves})
+    values = _Values(packs, states, initial)
     diffs: list[float] = []
-    for sweep in range(max_sweeps):
+    converged = False
+    cost.stored.persist(StorageLevel.MEMORY_AND_DISK)  # on top of the files; lost blocks are read again
+    while len(diffs) < max_sweeps and not converged:
         diff = 0.0
         if mode == "in_order":
             for s in active:
-                allv = broadcast_if_small(_union([V[t] for t in states]), known_rows=total_rows)
-                new = bellman_update(cost, probs, allv, gamma, from_state=s, value_rows=total_rows)
-                new, obs = _with_change(new, allv)
-                V[s] = _write_values(new, f"v{s}")
-                diff += _check_rows(obs, counts[s], f"state {s}")
+                new, obs = _observed(bellman_update(cost, probs, values.all(), gamma, from_state=s), values.of[s])
+                values.put(s, new)
+                diff += _change(obs, counts[s], f"state {s}")
         else:
-            allv = broadcast_if_small(_union([V[s] for s in states]), known_rows=total_rows)
-            new = bellman_update(cost, probs, allv, gamma, value_rows=total_rows)
-            new, obs = _with_change(new, allv)
-            new = _write_values(new, "v")
-            diff = _check_rows(obs, sum(counts[s] for s in active), "sweep")
+            new, obs = _observed(bellman_update(cost, probs, values.all(), gamma), values.all())
+            path = scratch_table_path(spark, "v")
+            new.write.parquet(path)
+            diff = _change(obs, sum(counts[s] for s in active), "sweep")
+            new = spark.read.schema("state INT, pack_id BIGINT, v DOUBLE").parquet(path)
             for s in active:
-                V[s] = new.where(F.col("state") == s)
+                values.put(s, new.where(F.col("state") == s))
+            drop_scratch(spark, path)
         diffs.append(diff)
-        if threshold is not None and diff < threshold:
-            break
-    return IterationResult(_union([V[s] for s in states]), len(diffs), diffs[-1] if diffs else 0.0, diffs)
+        converged = threshold is not None and diff < threshold
+    cost.stored.unpersist()
+    return IterationResult(values.all(), len(diffs), diffs[-1] if diffs else 0.0, diffs, converged)

@@ -14,18 +14,22 @@ import itertools
 import math
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.ids import pack_pair_id, pair_id_high, pair_id_low
 from quarry.operators import gain as G
 from quarry.operators import packs as P
 from quarry.operators import valueiter as VI
+from quarry.operators.ordering import with_position
 from quarry.plans.tables import table
+from quarry.session import scratch_copy
 from quarry.sources.migration import sizes_from_table, validate_transitions
 
 ROUND = 6
 ORACLE_SWEEPS = 5
+LOW_GAMMA = 0.5  # converges within few sweeps
+THRESHOLD_SWEEPS = 16
 
 
 def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,47 +40,48 @@ def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = (table(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts").alias("hour"))
               .agg(F.count(F.lit(1)).alias("n")))
-    # One row per hour of data: ordering windows here are bounded by the time span.
-    tier = hourly.select("hour", (F.ntile(3).over(Window.orderBy("n", "hour")) + 1).alias("state"))
-    steps = tier.select(F.lag("state").over(Window.orderBy("hour")).alias("from_state"),
-                        F.col("state").alias("to_state"))
-    moves = (steps.where(F.col("from_state").isNotNull() & (F.col("from_state") != F.col("to_state")))
+    # Terciles and neighbours by distributed position: no window over all hours in one task.
+    ranked = with_position(hourly, ["n", "hour"], pos_col="rank")
+    hours = ranked.count()
+    small, longer = hours // 3, hours % 3  # the first tiles take one more row each
+    cut = longer * (small + 1)
+    tile = F.when(F.col("rank") < cut, F.floor(F.col("rank") / (small + 1))).otherwise(
+        longer + F.floor((F.col("rank") - cut) / max(small, 1)))
+    tier = with_position(ranked.select("hour", (tile + 2).cast("int").alias("state")), ["hour"], pos_col="at")
+    steps = (tier.select("at", F.col("state").alias("to_state"))
+             .join(tier.select((F.col("at") + 1).alias("at"), F.col("state").alias("from_state")), "at"))
+    moves = (steps.where(F.col("from_state") != F.col("to_state"))
              .groupBy("from_state", "to_state").agg(F.count(F.lit(1)).cast("double").alias("weight")))
     return validate_transitions(moves.select(F.col("from_state").cast("int"), F.col("to_state").cast("int"),
                                              "weight"))
 
 
-def _states(trans: DataFrame) -> list[int]:
-    rows = trans.select(F.explode(F.array("from_state", "to_state")).alias("s")).distinct().collect()
-    return sorted(r["s"] for r in rows)
-
-
 class Inputs:
-    """Sizes, transitions and packs with sizes attached, built once per call.
+    """Sizes, transitions and packs with sizes attached, written once per call.
 
-    Two small jobs reach the driver: the item count and total (one row) and the
+    Two small results reach the driver: the item count and total (one row) and the
     transition table (one row per migration). Pack counts of generated packs are
     binomials of the item count, so the pack table is never counted.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.line = P.item_line(sizes(spark, sf_dir)).cache()
-        head = self.line.select("n_items", "total").first()
-        self.n_items, self.total = int(head["n_items"]), float(head["total"])
-        self.transitions = transitions(spark, sf_dir).cache()
+    def __init__(self, spark: SparkSession, sf_dir: str, states: list[int] | None = None):
+        self.line = P.item_line(sizes(spark, sf_dir))
+        self.n_items, self.total = self.line.n_items, self.line.total
+        moves = transitions(spark, sf_dir)
+        if states:  # a smaller cluster: the migrations among these states alone
+            moves = moves.where(F.col("from_state").isin(states) & F.col("to_state").isin(states))
+        self.transitions = scratch_copy(moves, "transitions")
         rows = self.transitions.collect()
         self.states = sorted({r["from_state"] for r in rows} | {r["to_state"] for r in rows})
         self.migrations = sorted({(min(r["from_state"], r["to_state"]), max(r["from_state"], r["to_state"]))
                                   for r in rows})
         generated = P.generate_packs(self.line, self.states)
         # Generated ids are dense ranks already.
-        self.packs = (P.attach_sizes(generated, self.line, n_items=self.n_items)
-                      .withColumn("idx", F.col("pack_id")).cache())
+        self.packs = scratch_copy(P.attach_sizes(generated, self.line).withColumn("idx", F.col("pack_id")), "packs")
         self.counts = {k: math.comb(self.n_items - 1, k - 1) if self.n_items >= k else 0 for k in self.states}
-        self.arities = {k: k for k in self.states}  # generated: one run per node
 
     def gains(self) -> DataFrame:
-        return G.pair_gains(self.packs, self.migrations, self.total, self.counts, self.arities)
+        return G.pair_gains(self.packs, self.migrations, self.total, self.counts)
 
 
 def pack_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +90,7 @@ def pack_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def overlap_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = Inputs(spark, sf_dir)
-    return G.overlap_weights(inp.packs, inp.migrations, inp.counts, inp.arities)
+    return G.overlap_weights(inp.packs, inp.migrations, inp.counts)
 
 
 def pair_id_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,8 +120,8 @@ def transition_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "from_state", "to_state", "weight", F.round("p", ROUND).alias("p"))
 
 
-def _cost_and_probs(inp: Inputs) -> tuple[DataFrame, DataFrame]:
-    cost = VI.cost_table(G.both_directions(inp.gains()))
+def _cost_and_probs(inp: Inputs) -> tuple[VI.CostTable, DataFrame]:
+    cost = VI.cost_table(inp.gains())
     return cost, VI.transition_probs(inp.transitions)
 
 
@@ -125,7 +130,7 @@ def bellman_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = Inputs(spark, sf_dir)
     cost, probs = _cost_and_probs(inp)
     zero = inp.packs.select("state", "pack_id", F.lit(0.0).alias("v"))
-    new = VI.bellman_update(cost, probs, zero, value_rows=sum(inp.counts.values()))
+    new = VI.bellman_update(cost, probs, zero)
     return new.select("state", "pack_id", F.round("v", ROUND).alias("v"))
 
 
@@ -137,7 +142,18 @@ def value_iteration_5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return res.values.select("state", "pack_id", F.round("v", ROUND).alias("v"))
 
 
+def value_iteration_to_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States 2 and 3 until a sweep changes less than the threshold, with sweeps and convergence."""
+    inp = Inputs(spark, sf_dir, states=[2, 3])
+    cost, probs = _cost_and_probs(inp)
+    res = VI.value_iteration(cost, probs, inp.packs, gamma=LOW_GAMMA)
+    cost.drop()
+    return res.values.select("state", "pack_id", F.round("v", ROUND).alias("v"), F.lit(res.sweeps).alias("sweeps"),
+                             F.lit(res.converged).alias("converged"))
+
+
 QUERIES = {
+    "value_iteration_to_threshold": value_iteration_to_threshold,
     "pack_ranges": pack_ranges,
     "overlap_weights": overlap_weights,
     "pair_id_pack": pair_id_pack,
@@ -292,6 +308,25 @@ def _value_iteration_sql(sweeps: int) -> str:
     return _with(*ctes) + "\n" + final
 
 
+def _threshold_sql() -> str:
+    """States 2 and 3 with p = 1 each way, swept in order; the first sweep that changes less than the threshold ends it."""
+    ctes = [_gains_sql(), _directed_cost_cte(),
+            "v2_0 AS (SELECT pack_id, 0.0::DOUBLE AS v FROM packs2)", "v3_0 AS (SELECT pack_id, 0.0::DOUBLE AS v FROM packs3)"]
+    diffs = []
+    for n in range(1, THRESHOLD_SWEEPS + 1):
+        for s, t, source in ((2, 3, f"v3_{n - 1}"), (3, 2, f"v2_{n}")):
+            ctes.append(f"v{s}_{n} AS MATERIALIZED (SELECT c.from_id AS pack_id, min(c.cost + {LOW_GAMMA} * x.v) AS v "
+                        f"FROM dcost c JOIN {source} x ON c.to_state = {t} AND c.to_id = x.pack_id "
+                        f"WHERE c.from_state = {s} GROUP BY c.from_id)")
+        change = " + ".join(f"(SELECT sum(abs(a.v - b.v)) FROM v{s}_{n} a JOIN v{s}_{n - 1} b USING (pack_id))" for s in (2, 3))
+        diffs.append(f"SELECT {n} AS n, {change} AS diff")
+    ctes.append(f"diffs AS ({' UNION ALL '.join(diffs)})")
+    ctes.append(f"stop AS (SELECT min(n)::INTEGER AS n FROM diffs WHERE diff < {VI.THRESHOLD})")
+    parts = [f"SELECT {s} AS state, pack_id, round(v, {ROUND}) AS v, stop.n AS sweeps, TRUE AS converged "
+             f"FROM v{s}_{n}, stop WHERE stop.n = {n}" for s in (2, 3) for n in range(1, THRESHOLD_SWEEPS + 1)]
+    return _with(*ctes) + "\n" + " UNION ALL ".join(parts)
+
+
 def _bellman_sql() -> str:
     ctes = [_gains_sql(), _directed_cost_cte()]
     parts = []
@@ -303,6 +338,25 @@ def _bellman_sql() -> str:
     return _with(*ctes) + "\n" + " UNION ALL ".join(parts)
 
 
+def transitions_sql() -> str:
+    return _with() + "\nSELECT from_state, to_state, weight FROM trans"
+
+
+def packs_with_runs_sql() -> str:
+    """A CTE ``with_runs (state, pack_id, runs)``, runs as comma-separated text."""
+    parts = []
+    for k in STATES:
+        runs = " || ',' || ".join(f"CAST(ends[{s}] - {'0' if s == 1 else f'ends[{s - 1}]'} AS VARCHAR)" for s in range(1, k + 1))
+        parts.append(f"SELECT state, pack_id, {runs} AS runs FROM packs{k}")
+    return _with(f"with_runs AS ({' UNION ALL '.join(parts)})")
+
+
+def pair_cost_sums_sql() -> str:
+    return _with(_gains_sql()) + (
+        "\nSELECT from_state, to_state, from_id, count(*) AS n, min(cost) AS cheapest, max(gain) AS best, "
+        f"round(sum(cost), {ROUND}) AS total FROM gains GROUP BY from_state, to_state, from_id")
+
+
 def oracle() -> dict[str, str]:
     return {
         "pack_ranges": _ranges_sql(),
@@ -316,6 +370,7 @@ def oracle() -> dict[str, str]:
             "\nSELECT row_number() OVER (ORDER BY from_state, to_state, from_id, to_id) - 1 AS pos, "
             "from_state, to_state, from_id, to_id, gain, cost FROM gains"),
         "transition_probs": _with() + f"\nSELECT from_state, to_state, weight, round(p, {ROUND}) AS p FROM probs",
+        "value_iteration_to_threshold": _threshold_sql(),
         "bellman_step": _bellman_sql(),
         "value_iteration_5": _value_iteration_sql(ORACLE_SWEEPS),
     }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarry.plans import assignment_queries, migration_queries, text_queries, time_queries
+from quarry.plans import assignment_queries, io_queries, migration_queries, text_queries, time_queries
 
-_MODULES = [text_queries, time_queries, migration_queries, assignment_queries]
+_MODULES = [text_queries, time_queries, migration_queries, assignment_queries, io_queries]
 
 QUERIES = {}
 for _m in _MODULES:

@@ -24,14 +24,11 @@ def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_stop_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stop = default_stop_words()
-    return words.remove_stop_words(words.tokenize(_lines(spark, sf_dir)), _stop(spark),
-                                   stop_rows=len(stop))
+    return words.remove_stop_words(words.tokenize(_lines(spark, sf_dir)), _stop(spark))
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words.count_words(_lines(spark, sf_dir), _stop(spark),
-                             stop_rows=len(default_stop_words()))
+    return words.count_words(_lines(spark, sf_dir), _stop(spark))
 
 
 def word_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,6 +96,11 @@ parsed AS (
 )"""
 
 
+def csv_lines_sql() -> str:
+    """A CTE ``lines (value)``."""
+    return _CSV_LINES
+
+
 def oracle() -> dict[str, str]:
     since = SINCE.strftime("%Y-%m-%d %H:%M:%S")
     return {

@@ -65,6 +65,20 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return out
 
 
+def scratch_copy(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared checkpoint directory and read back: lineage is cut,
+    and a lost executor costs a re-read."""
+    path = scratch_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing reads any more (through Hadoop's file system, so on any store)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint directory for an intermediate table."""
     root = checkpoint_dir(spark)

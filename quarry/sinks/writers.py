@@ -37,6 +37,7 @@ def write_pair_costs(gains: DataFrame, path: str, n_files: int | None = None,
 
 
 def write_state_values(values: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Values per state: one directory per state, rows ordered by ``pack_id``."""
-    (values.select("state", "pack_id", "v").repartition("state").sortWithinPartitions("state", "pack_id")
+    """Values per state: one directory per state, files and rows ordered by ``pack_id``; a state
+    with many packs is spread over as many files as its range of ids needs."""
+    (range_sorted(values.select("state", "pack_id", "v"), ["state", "pack_id"])
      .write.mode(mode).partitionBy("state").parquet(path))

@@ -12,20 +12,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import jvm_trim
 from quarry.operators.common import require
+from quarry.operators.ordering import with_position
+from quarry.sources.text import ordered_lines, with_offsets
+
+FILE_STRIDE = 1 << 40  # ids by offset: room for one file
+
+
+def _integer(text: Column) -> Column:
+    """A whole number without spaces, as a bigint; anything else is NULL."""
+    return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("bigint"))
 
 
 def read_sizes(spark: SparkSession, path: str) -> DataFrame:
-    # The item list is a line of N sizes, small by nature (packs grow as N^(k-1)),
-    # so the file is read whole to number its non-blank lines.
-    whole = spark.read.text(path, wholetext=True)
-    lines = F.filter(F.transform(F.split(F.col("value"), "\n"), lambda s: jvm_trim(s)), lambda s: s != "")
-    return (whole.select(F.posexplode(lines).alias("idx", "raw"))
-            .select(F.col("idx").cast("int"), F.col("raw").cast("double").alias("size")))
+    lines = ordered_lines(spark, path).withColumn("raw", jvm_trim(F.col("value"))).where(F.col("raw") != "")
+    placed = with_position(lines, ["file", "block", "line"], pos_col="idx")
+    return placed.select(F.col("idx").cast("int"), F.col("raw").cast("double").alias("size"))
 
 
 def sizes_from_table(df: DataFrame, idx_col: str, size_col: str) -> DataFrame:
@@ -36,6 +42,8 @@ def parse_transitions(lines: DataFrame, value_col: str = "value") -> DataFrame:
     parts = F.split(F.col(value_col), ":")
     df = lines.select(parts.alias("_p"))
     df = require(df, F.size("_p") >= 3, "transition line must be from:to:weight")
+    df = require(df, _integer(F.col("_p")[0]).isNotNull() & _integer(F.col("_p")[1]).isNotNull(),
+                 "states must be whole numbers without spaces")
     return validate_transitions(df.select(F.col("_p")[0].cast("int").alias("from_state"),
                                           F.col("_p")[1].cast("int").alias("to_state"),
                                           F.col("_p")[2].cast("double").alias("weight")))
@@ -54,8 +62,8 @@ def validate_transitions(df: DataFrame) -> DataFrame:
                    "duplicate transition (from_state, to_state)").drop("_dup")
 
 
-def _parse_runs(text_col):
-    return F.split(text_col, ",").cast("array<int>")
+def _parse_runs(text: Column) -> Column:
+    return F.transform(F.split(text, ","), lambda t: _integer(t).cast("int"))
 
 
 def read_packs(spark: SparkSession, root: str, states: list[int]) -> DataFrame:
@@ -63,7 +71,7 @@ def read_packs(spark: SparkSession, root: str, states: list[int]) -> DataFrame:
     for k in states:
         lines = spark.read.text(f"{root.rstrip('/')}/state_{k}").where(F.col("value") != "")
         parts = F.split(F.col("value"), ":")
-        frames.append(lines.select(F.lit(k).alias("state"), parts[0].cast("bigint").alias("pack_id"),
+        frames.append(lines.select(F.lit(k).alias("state"), _integer(parts[0]).alias("pack_id"),
                                    _parse_runs(parts[1]).alias("runs")))
     packs = frames[0]
     for f in frames[1:]:
@@ -74,17 +82,18 @@ def read_packs(spark: SparkSession, root: str, states: list[int]) -> DataFrame:
 def read_packs_by_offset(spark: SparkSession, root: str, states: list[int]) -> DataFrame:
     """Id-less pack files: the byte offset of each line in its file is the pack id.
 
-    Byte offsets are only exposed by the Hadoop text input format, hence the RDD read.
+    A state folder may hold several files: file number n (in path order, from 0) adds
+    n * 2**40, so ids stay unique and a single file's are its offsets.
     """
-    sc = spark.sparkContext
     frames = []
     for k in states:
-        rdd = sc.newAPIHadoopFile(f"{root.rstrip('/')}/state_{k}",
-                                  "org.apache.hadoop.mapreduce.lib.input.TextInputFormat",
-                                  "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text")
-        df = spark.createDataFrame(rdd, "pack_id BIGINT, value STRING")
-        frames.append(df.select(F.lit(k).alias("state"), "pack_id",
-                                _parse_runs(F.col("value")).alias("runs")))
+        lines = with_offsets(ordered_lines(spark, f"{root.rstrip('/')}/state_{k}"))
+        # One row per file.
+        files = lines.select("file").distinct().select(
+            "file", (F.row_number().over(Window.orderBy("file")) - 1).alias("number"))
+        frames.append(lines.join(files, "file").where(F.col("value") != "").select(
+            F.lit(k).alias("state"), (F.col("number").cast("bigint") * FILE_STRIDE + F.col("offset")).alias("pack_id"),
+            _parse_runs(F.col("value")).alias("runs")))
     packs = frames[0]
     for f in frames[1:]:
         packs = packs.unionByName(f)
@@ -92,6 +101,10 @@ def read_packs_by_offset(spark: SparkSession, root: str, states: list[int]) -> D
 
 
 def validate_packs(packs: DataFrame) -> DataFrame:
-    """Arity must equal the state; every run must hold at least one item."""
+    """Arity must equal the state, every run hold at least one item, every (state, pack_id) occur once."""
+    packs = require(packs, F.col("pack_id").isNotNull(), "pack ids must be whole numbers without spaces")
     packs = require(packs, F.size("runs") == F.col("state"), "pack arity must equal its state")
-    return require(packs, F.forall("runs", lambda r: r >= 1), "every run of a pack needs length >= 1")
+    packs = require(packs, F.forall("runs", lambda r: r.isNotNull() & (r >= 1)), "every run of a pack needs length >= 1")
+    copies = F.count(F.lit(1)).over(Window.partitionBy("state", "pack_id"))
+    return require(packs.withColumn("_copies", copies), F.col("_copies") == 1,
+                   "duplicate pack (state, pack_id)").drop("_copies")

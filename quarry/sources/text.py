@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import resources
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -12,12 +12,36 @@ def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None
     """One row per line (``value STRING``); directories, globs and compressed files work.
 
     Split size follows ``spark.sql.files.maxPartitionBytes``; ``min_partitions``
-    only raises the task count (round-robin, no key skew possible).
+    deals the lines out evenly to that many tasks (no key, so no skew).
     """
     df = spark.read.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return df.repartition(min_partitions) if min_partitions else df
+
+
+def ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value`` with its place: ``file``, ``block`` (where its input split begins) and ``line`` (its order
+    within the split). The three in this order are the order of the lines in their files.
+
+    Lines end at ``\\n`` alone, so a carriage return stays part of its line and byte counts are exact.
+    """
+    return spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"))
+
+
+def with_offsets(lines: DataFrame) -> DataFrame:
+    """``ordered_lines`` plus ``offset``: the bytes of its file before the line.
+
+    Summed within each input split, plus the splits before it: a task holds one split at most.
+    """
+    size = F.octet_length("value") + 1
+    split = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    within = lines.withColumn("_within", F.coalesce(F.sum(size).over(split), F.lit(0)))
+    sums = lines.groupBy("file", "block").agg(F.sum(size).alias("_sum"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("file", "block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    return within.join(before, ["file", "block"]).withColumn("offset", F.col("_before") + F.col("_within")).drop(
+        "_before", "_within")
 
 
 def text_column(df: DataFrame, column: str) -> DataFrame:

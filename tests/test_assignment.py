@@ -1,9 +1,10 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
-from quarry.operators.assignment import max_weight_assignment
+from quarry.operators.assignment import max_total, max_weight_assignment
 
 
 def _edges(spark, cells):
@@ -46,3 +47,43 @@ def test_random_groups_against_brute_force(spark):
     got = {r.grp: r.total for r in totals.collect()}
     for g in {c[0] for c in cells}:
         assert got[g] == pytest.approx(_brute([c for c in cells if c[0] == g])), g
+
+
+def test_duplicates_and_nulls_are_errors(spark):
+    for cells in ([(0, "a", "b", 1.0), (0, "a", "b", 1.0)], [(0, "a", "b", None)], [(0, None, "b", 1.0)],
+                  [(0, "a", "b", float("nan"))]):
+        df = spark.createDataFrame(cells, "grp INT, x STRING, y STRING, weight DOUBLE")
+        with pytest.raises(Exception):
+            max_weight_assignment(df)[1].collect()
+
+
+def test_types_are_kept_and_may_differ(spark):
+    df = spark.createDataFrame([(None, 1, "p", 3.0), (None, 2, "p", 5.0), (7, 1, "q", -1.0)],
+                               "grp INT, x INT, y STRING, weight DOUBLE")
+    pairs, totals = max_weight_assignment(df)
+    assert dict(pairs.dtypes) == {"grp": "int", "x": "int", "y": "string", "weight": "double"}
+    assert sorted(map(tuple, pairs.collect()), key=str) == [(7, 1, "q", -1.0), (None, 2, "p", 5.0)]
+    assert {r.grp: (r.total, r.n_pairs) for r in totals.collect()} == {None: (5.0, 1), 7: (-1.0, 1)}
+
+
+def test_large_sides(spark):
+    """Weights a_x * b_y: the best matching pairs both sides in rank order."""
+    rnd = random.Random(4)
+    a = [rnd.randint(1, 50) for _ in range(40)]
+    b = [rnd.randint(1, 50) for _ in range(55)]
+    cells = [(0, x, y, a[x] * b[y]) for x in range(40) for y in range(55)]
+    pairs, totals = max_weight_assignment(_edges(spark, cells))
+    best = sum(u * v for u, v in zip(sorted(a, reverse=True), sorted(b, reverse=True)))
+    assert totals.first().total == best
+    rows = pairs.collect()
+    assert len({r.x for r in rows}) == 40 and len({r.y for r in rows}) == 40
+
+
+def test_solver_against_permutations():
+    rnd = random.Random(6)
+    for _ in range(200):
+        n, m = sorted((rnd.randint(1, 5), rnd.randint(1, 6)))
+        w = np.array([[rnd.randint(-9, 9) for _ in range(m)] for _ in range(n)], float)
+        got = max_total(w)
+        assert len(set(got)) == n
+        assert w[range(n), got].sum() == max(w[range(n), list(p)].sum() for p in itertools.permutations(range(m), n))

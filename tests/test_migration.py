@@ -153,7 +153,7 @@ def test_pair_id_round_trip(spark):
 def _toy(spark, transitions):
     line = P.item_line(_sizes(spark, [5, 1, 2, 4]))
     packs = _packs(spark, line, [(2, 0, [2, 2]), (3, 0, [1, 1, 2])])
-    cost = VI.cost_table(G.both_directions(G.pair_gains(packs, [(2, 3)], 12.0)))
+    cost = VI.cost_table(G.pair_gains(packs, [(2, 3)], 12.0))
     trans = spark.createDataFrame(transitions, "from_state INT, to_state INT, weight DOUBLE")
     return cost, VI.transition_probs(trans), packs
 
@@ -182,30 +182,82 @@ def test_absorbing_state_and_convergence(spark):
     assert a.sweeps <= b.sweeps
 
 
-def test_update_reads_cost_table_without_exchange(spark):
-    cost, _, packs = _toy(spark, [(2, 3, 1.0), (3, 2, 1.0)])
+def test_update_reads_only_its_state_and_sends_one_row_per_pack_and_target(spark):
+    cost, _, _ = _toy(spark, [(2, 3, 1.0), (3, 2, 1.0)])
     probs = spark.createDataFrame([(2, 3, 1.0), (3, 2, 1.0)], "from_state INT, to_state INT, p DOUBLE")
-    zero = spark.createDataFrame([(2, 0, 0.0), (3, 0, 0.0)], "state INT, pack_id BIGINT, v DOUBLE")
-    plan = plan_text(VI.bellman_update(cost, probs, zero, from_state=2, value_rows=2))
-    assert "Exchange hashpartitioning" not in plan
+    zero = spark.createDataFrame([(2, 0, 0.5), (3, 0, 2.0)], "state INT, pack_id BIGINT, v DOUBLE")
+    new = VI.bellman_update(cost, probs, zero, from_state=2)
+    assert [tuple(r) for r in new.collect()] == [(2, 0, pytest.approx(1.0 + 0.9 * 2.0))]
+    plan = plan_text(new)
+    assert "partial_min" in plan and "from_state#" in plan and "PartitionFilters: [isnotnull(from_state" in plan
 
 
-def test_vector_and_dataframe_paths_agree(spark, monkeypatch):
+def test_missing_costs_are_an_error(spark):
+    line = P.item_line(_sizes(spark, [5, 1, 2, 4]))
+    packs = _packs(spark, line, [(2, 0, [2, 2]), (3, 0, [1, 1, 2]), (4, 0, [1, 1, 1, 1])])
+    trans = spark.createDataFrame([(2, 3, 1.0), (2, 4, 1.0)], "from_state INT, to_state INT, weight DOUBLE")
+    cost = VI.cost_table(G.pair_gains(packs, [(2, 3)], 12.0))
+    with pytest.raises(ValueError, match="2 -> 4"):
+        VI.value_iteration(cost, VI.transition_probs(trans), packs)
+
+
+def test_both_modes_against_a_plain_loop(spark):
     line = P.item_line(_sizes(spark, [3, 1, 4, 1, 5, 9, 2]))
     packs = P.attach_sizes(P.generate_packs(line, [2, 3]), line).withColumn("idx", F.col("pack_id"))
-    cost = VI.cost_table(G.both_directions(G.pair_gains(packs, [(2, 3)], 25.0)))
+    gains = G.pair_gains(packs, [(2, 3)], 25.0)
+    costs = {(r.from_id, r.to_id): r.cost for r in gains.collect()}
+    cost = VI.cost_table(gains)
     trans = spark.createDataFrame([(2, 3, 2.0), (3, 2, 1.0)], "from_state INT, to_state INT, weight DOUBLE")
     probs = VI.transition_probs(trans)
     for mode in ["in_order", "synchronous"]:
-        monkeypatch.setattr(VI, "DRIVER_VECTOR_MAX", 50_000)
-        fast = VI.value_iteration(cost, probs, packs, max_sweeps=3, threshold=None, mode=mode)
-        monkeypatch.setattr(VI, "DRIVER_VECTOR_MAX", 0)
-        slow = VI.value_iteration(cost, probs, packs, max_sweeps=3, threshold=None, mode=mode)
-        a = {(r.state, r.pack_id): r.v for r in fast.values.collect()}
-        b = {(r.state, r.pack_id): r.v for r in slow.values.collect()}
-        assert a.keys() == b.keys() and len(a) == 6 + 15
-        assert all(a[k] == pytest.approx(b[k], rel=1e-12) for k in a)
-        assert fast.diffs == pytest.approx(slow.diffs, rel=1e-12)
+        v2, v3, diffs = [0.0] * 6, [0.0] * 15, []
+        for _ in range(3):
+            n2 = [min(costs[i, j] + 0.9 * v3[j] for j in range(15)) for i in range(6)]
+            seen = n2 if mode == "in_order" else v2
+            n3 = [min(costs[i, j] + 0.9 * seen[i] for i in range(6)) for j in range(15)]
+            diffs.append(sum(abs(a - b) for a, b in zip(n2 + n3, v2 + v3, strict=True)))
+            v2, v3 = n2, n3
+        res = VI.value_iteration(cost, probs, packs, max_sweeps=3, threshold=None, mode=mode)
+        got = {(r.state, r.pack_id): r.v for r in res.values.collect()}
+        assert got == pytest.approx({(2, i): v for i, v in enumerate(v2)} | {(3, j): v for j, v in enumerate(v3)})
+        assert res.diffs == pytest.approx(diffs) and not res.converged
+    assert VI.value_iteration(cost, probs, packs, gamma=0.1, threshold=1.0).converged
+    cost.drop()
+
+
+def test_duplicate_pack_ids_are_an_error(spark):
+    line = P.item_line(_sizes(spark, [1, 1, 1, 1, 1]))
+    twice = spark.createDataFrame([(2, 0, [1, 4]), (2, 0, [2, 3])], "state INT, pack_id BIGINT, runs ARRAY<INT>")
+    with pytest.raises(ERRORS):
+        P.attach_sizes(twice, line).collect()
+
+
+def test_item_line_checks_positions_and_sizes(spark):
+    line = P.item_line(_sizes(spark, [5, 1, 2]))
+    assert [tuple(r) for r in line.prefix.orderBy("pos").collect()] == [(0, 0.0), (1, 5.0), (2, 6.0), (3, 8.0)]
+    for rows in ([(0, 1.0), (2, 1.0)], [(0, 1.0), (0, 1.0)], [(0, -1.0)]):
+        with pytest.raises(ERRORS):
+            P.item_line(spark.createDataFrame(rows, "idx INT, size DOUBLE"))
+
+
+def test_gain_of_many_runs(spark):
+    rnd = random.Random(1)
+    n = 60
+    sizes = [float(rnd.randint(0, 9)) for _ in range(n)]
+    line = P.item_line(_sizes(spark, sizes))
+    rows = []
+    for k in (16, 17):
+        ends = sorted(rnd.sample(range(1, n), k - 1)) + [n]
+        rows.append((k, 0, [e - s for s, e in zip([0] + ends[:-1], ends)]))
+    got = G.pair_gains(_packs(spark, line, rows), [(16, 17)], sum(sizes)).first().gain
+    pre = [0] + list(itertools.accumulate(sizes))
+    a, b = ([0] + list(itertools.accumulate(r[2])) for r in rows)
+    best = [[0.0] * 18 for _ in range(17)]
+    for i in range(16):
+        for j in range(17):
+            lo, hi = max(a[i], b[j]), min(a[i + 1], b[j + 1])
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + (pre[hi] - pre[lo] if hi > lo else 0))
+    assert got == pytest.approx(best[16][17])
 
 
 def test_arithmetic_pair_positions_match_sorted_order(spark):
