@@ -42,6 +42,7 @@ class Rule:
     sample_rows: int = 2000
     most_languages: int = 1000
     epochs: int = 12
+    least_steps: int = 1500
     batch: int = 16
     rate: float = 0.2
     held_back: float = 0.2
@@ -170,8 +171,10 @@ def train(sample: list[tuple[str, np.ndarray, np.ndarray]], rule: Rule) -> Model
     order = rng.permutation(len(rows))
     cut = int(len(rows) * rule.held_back)
     back, learn = [rows[i] for i in order[:cut]], [rows[i] for i in order[cut:]]
-    steps, step = max(1, rule.epochs * -(-len(learn) // rule.batch)), 0
-    for _ in range(rule.epochs):
+    per_epoch = max(1, -(-len(learn) // rule.batch))
+    epochs = max(rule.epochs, -(-rule.least_steps // per_epoch))
+    steps, step = epochs * per_epoch, 0
+    for _ in range(epochs):
         turn = rng.permutation(len(learn))
         for at in range(0, len(learn), rule.batch):
             part = [learn[i] for i in turn[at:at + rule.batch]]

@@ -271,7 +271,9 @@ def pack(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule: R
     counts = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}
     plan = min((Plan(counts, rule, g) for g in rule.groups), key=lambda p: p.sequences)
     lengths = sorted(counts)
-    begin = dict(zip(lengths, np.cumsum([0] + [counts[s] for s in lengths[:-1]]).tolist(), strict=True))
+    begin, at = {}, 0
+    for s in lengths:
+        begin[s], at = at, at + counts[s]
     runs = sorted((begin[size] + rank, sequence, each, offset, size)
                   for size, rank, _, sequence, each, offset in plan.runs)
     first, sequence, each, offset, size = (np.array(c, np.int64) for c in zip(*runs, strict=True)) if runs else (
