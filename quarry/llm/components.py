@@ -31,6 +31,11 @@ def _small(edges: DataFrame, name: str) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """Count and hash sum of the edges."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """``(a, b)`` long edges to ``(node, component)``: the smallest node each one reaches.
 
@@ -40,13 +45,13 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     low, high = F.least("a", "b"), F.greatest("a", "b")
     now = (edges.where("a <> b").select(high.alias("a"), low.alias("b")).distinct())
     now = save(now, f"{name}-edges")
-    mark = None
-    while True:
+    mark = _mark(now)
+    while mark[0]:
         now = save(_large(now, f"{name}-least"), f"{name}-edges")
         now = save(_small(now, f"{name}-least"), f"{name}-edges")
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark or seen[0] == 0:
+        seen = _mark(now)
+        if seen == mark:  # an edge table that a round leaves as it is consists of stars
             break
-        mark = tuple(seen)
+        mark = seen
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b"), F.col("b")).distinct())

@@ -9,9 +9,9 @@ there, so most false candidates go before any text is read. What is left is
 confirmed on the full sets.
 
 Only components are wanted, so a bucket's classes are first held against one of
-them (its star), which is linear in the bucket. The few that star rounds leave in
-different components are then compared block by block, by bitmap first. No bucket
-is cut short, and no task holds more than two blocks.
+them (its star), which is linear in the bucket. Those that the stars leave apart are
+then compared block by block inside tasks, by bitmap and then by full sets; only links that
+join something leave a task. No bucket is cut short, and no task holds more than two blocks.
 
 A pair of similarity s is missed with probability (1 - s**rows) ** (k / rows): at
 the threshold of 0.75 with the defaults, 5 in a million; at 0.8, 5 in a hundred million.
@@ -45,8 +45,7 @@ class Rule:
     rows: int = 4
     bits: int = 512
     floor: float = 0.5
-    star_rounds: int = 2
-    block: int = 256
+    block: int = 1024
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -162,37 +161,58 @@ def _near(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     return both.where(differing <= _most_bits(rule)).select("a", "b")
 
 
-def _blockwise(buckets: DataFrame, rule: Rule) -> DataFrame:
-    """Candidate pairs of different components within each bucket, by bitmap, block against block.
+def _blockwise(buckets: DataFrame, rule: Rule, name: str) -> DataFrame:
+    """Links between different components within each bucket, block against block.
 
-    ``buckets`` has ``_key, node, _component, _sketch``. A bucket of n rows is dealt into blocks, each pair
-    of blocks is a group of its own, and only near pairs leave it.
+    ``buckets`` has ``_key, node, _component, _sketch, _bands, text``. A bucket of n rows is dealt into blocks and
+    each pair of blocks is a group of its own. Within it a pair is looked at in the first band it agrees on,
+    by bitmap, then by full sets; only links that join two components leave the task, so neither a
+    crowd of similar texts nor one of almost similar texts makes more rows than it has texts.
     """
-    sizes = save(buckets.groupBy("_key").agg(F.ceil(F.count("*") / rule.block).alias("_blocks")), "near-sizes")
+    sizes = save(buckets.groupBy("_key").agg(F.ceil(F.count("*") / rule.block).alias("_blocks")), f"{name}-sizes")
     own = buckets.join(sizes, "_key").withColumn("_own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("_blocks")))
     dealt = own.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
         "_key", F.least("_own", "_with").alias("_i"), F.greatest("_own", "_with").alias("_j"), "_own", "node",
-        "_component", "_sketch")
+        "_component", "_sketch", "_bands", "text")
     most = _most_bits(rule)
 
     def compare(group: pa.Table) -> pa.Table:
-        own, node, comp = (group.column(c).to_numpy() for c in ("_own", "node", "_component"))
+        own, node, mark = (group.column(c).to_numpy() for c in ("_own", "node", "_component"))
+        key, i, j = (group.column(c)[0].as_py() for c in ("_key", "_i", "_j"))
         bits = np.array(group.column("_sketch").to_pylist(), np.int64).view(np.uint64)
-        i, j = group.column("_i")[0].as_py(), group.column("_j")[0].as_py()
+        bands = np.array(group.column("_bands").to_pylist(), np.int64)
+        sets = shingle_sets(group.column("text"), rule.shingle)
+        sizes = np.array([len(s) for s in sets])
+        mark = mark.copy()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found = []
+        found: list[dict] = []
+        ends = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        if not len(left) or not len(right):  # the hash may leave a block without rows
+            return pa.Table.from_pylist(found, schema=ends)
+        # The shingles of the right block in order, each with its text.
+        held = np.concatenate([sets[q] for q in right])
+        whose = np.repeat(np.arange(len(right)), sizes[right])
+        order = np.argsort(held, kind="stable")
+        held, whose = held[order], whose[order]
         for p in left.tolist():
-            q = right[(comp[right] != comp[p]) & ((node[right] > node[p]) | (i != j))]
-            near = q[np.bitwise_count(bits[q] ^ bits[p]).sum(axis=1) <= most]
-            found += [(min(node[p], n), max(node[p], n)) for n in node[near]]
-        return pa.Table.from_pylist([{"a": int(a), "b": int(b)} for a, b in found],
-                                    schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-
-    return dealt.groupBy("_key", "_i", "_j").applyInArrow(compare, "a long, b long")
-
-
-def _label(nodes: DataFrame, found: DataFrame) -> DataFrame:
-    return nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            at = np.flatnonzero((mark[right] != mark[p]) & ((node[right] > node[p]) | (i != j)))
+            at = at[np.bitwise_count(bits[right[at]] ^ bits[p]).sum(axis=1) <= most]
+            if not len(at):
+                continue
+            at = at[bands[p][(bands[right[at]] == bands[p]).argmax(axis=1)] == key]
+            if not len(at):
+                continue
+            low, high = np.searchsorted(held, sets[p], "left"), np.searchsorted(held, sets[p], "right")
+            some = high - low
+            place = np.arange(some.sum()) + np.repeat(low - (np.cumsum(some) - some), some)
+            both = np.bincount(whose[place], minlength=len(right))[at]
+            for q in right[at[100 * both >= rule.threshold * (sizes[p] + sizes[right[at]] - both)]].tolist():
+                if mark[q] != mark[p]:
+                    found.append({"a": int(min(node[p], node[q])), "b": int(max(node[p], node[q]))})
+                    mark[mark == mark[q]] = mark[p]
+        return pa.Table.from_pylist(found, schema=ends)
+
+    return save(dealt.groupBy("_key", "_i", "_j").applyInArrow(compare, "a long, b long"), f"{name}-blockwise")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule: Rule | None = None,
@@ -224,31 +244,19 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     links = _confirm(_near(buckets.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")),
                            classes, rule), texts, rule, f"{name}-links")
-    found = components(links, name)
-    for turn in range(rule.star_rounds + 1):
-        # Buckets that still hold several components.
-        now = save(_label(buckets.select("_key", "node"), found), f"{name}-now")
-        split = now.groupBy("_key").agg(
-            F.min("component").alias("_low"), F.max("component").alias("_high"),
-            F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("lead")).where("_low <> _high")
-        split = save(split.select("_key", "lead"), f"{name}-split")
-        left = now.join(split, "_key")
-        if left.isEmpty():
-            break
-        if turn < rule.star_rounds:
-            lead = found.select(F.col("node").alias("lead"), F.col("component").alias("_lead_component"))
-            pairs = (left.join(lead, "lead", "left")
-                     .where(F.col("component") != F.coalesce("_lead_component", "lead"))
-                     .select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")))
-        else:
-            pairs = _blockwise(left.join(classes.select("node", "_sketch"), "node").select(
-                "_key", "node", F.col("component").alias("_component"), "_sketch"), rule)
-        more = _confirm(_near(pairs, classes, rule), texts, rule, f"{name}-links")
-        links = links.union(more)
-        found = components(links, name)
+    # Texts with one mark are certainly in one component: the smallest text they are linked to, or themselves.
+    linked = save(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("_low")), f"{name}-linked")
+    now = save(buckets.select("_key", "node").join(linked, "node", "left").select(
+        "_key", "node", F.coalesce("_low", "node").alias("_component")), f"{name}-now")
+    split = save(now.groupBy("_key").agg(F.min("_component").alias("_low"), F.max("_component").alias("_high"))
+                 .where("_low <> _high").select("_key"), f"{name}-split")
+    left = (now.join(split, "_key", "left_semi").join(classes.select("node", "_sketch", "_bands"), "node")
+            .join(texts, "node"))
+    found = components(links.union(_blockwise(left, rule, name)), name)
 
     # Back to documents: a class's component, then the smallest id of each.
-    classes = save(_label(classes.select("_class", "node"), found).select("_class", "component"), f"{name}-found")
+    classes = save(classes.select("_class", "node").join(found, "node", "left").select(
+        "_class", F.coalesce("component", "node").alias("component")), f"{name}-found")
     whole = sig.select("doc", "n_shingles", "_class").join(classes, "_class", "left")
     own = F.coalesce("component", "doc")
     return whole.select(F.col("doc").alias(id_column), "n_shingles", own.alias("component_id"),
