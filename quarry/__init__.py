@@ -1,8 +1,8 @@
 """quarry: batch text, time-ordering and data-migration jobs on Spark DataFrames.
 
 Every operator is a function from DataFrames to DataFrames built from Spark SQL
-expressions; nothing is computed on the driver except scalars (counts, a
-convergence figure) and the broadcast of tables whose size is checked first.
+expressions; the driver sees counts, a convergence figure, and one row per state
+and transition of the migration model.
 """
 
 __version__ = "0.1.0"

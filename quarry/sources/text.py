@@ -65,4 +65,6 @@ def default_stop_words() -> list[str]:
 
 def stop_words_frame(spark: SparkSession, words: list[str] | None = None) -> DataFrame:
     words = default_stop_words() if words is None else words
-    return spark.createDataFrame([(w,) for w in sorted(set(words))], "word STRING")
+    # One literal, so that Spark knows the list is small and broadcasts it.
+    listed = F.explode(F.split(F.lit("\n".join(sorted(set(words)))), "\n"))
+    return spark.range(1).select(listed.alias("word")).where(F.col("word") != "")

@@ -20,7 +20,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="quarry-test-")
-
-
-def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

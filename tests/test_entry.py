@@ -15,7 +15,7 @@ def test_every_query_has_an_oracle():
 
 def test_no_python_in_any_query_plan(spark):
     """Every query of the core library stays JVM-side: no Python UDF or Arrow evaluation node."""
-    from conftest import plan_text
+    from plans import plan_text
     for name, q in registry.QUERIES.items():
         plan = plan_text(q(spark, E.SMOKE_DIR))
         for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",

@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from plans import plan_text
 from quarry.functions.ids import pack_pair_id, pair_id_high, pair_id_low
 from quarry.operators import gain as G
 from quarry.operators import packs as P

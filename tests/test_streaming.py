@@ -12,7 +12,7 @@ def test_streaming_word_count_matches_batch(spark, tmp_dir):
     with open(os.path.join(src, "b.txt"), "w") as f:
         f.write("cat and dog\n")
     counts = streaming_word_counts(spark, src, stop_words_frame(spark), max_files_per_trigger=1)
-    q = start_word_count(counts, "wc_test", available_now=True)
+    q = start_word_count(counts, "wc_test", "memory", available_now=True)
     q.awaitTermination(120)
     got = {r.word: r.n for r in spark.sql("SELECT * FROM wc_test").collect()}
     assert got == {"cat": 3, "hat": 1, "dog": 1}

@@ -97,3 +97,29 @@ def test_since_bound_is_zone_free(spark):
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
         assert got == ["bound"], tz
+
+
+def test_text_must_be_a_json_string(spark):
+    for value in (5, True, 1.5, {"a": 1}, ["x"], None):
+        row = _json("Mon Jun 16 10:00:00 +0000 2014", value)
+        assert timesort.json_time_records(_lines(spark, [row]), on_error="drop").count() == 0, value
+        with pytest.raises((Py4JJavaError, PySparkException)):
+            timesort.json_time_records(_lines(spark, [row])).collect()
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        timesort.json_time_records(_lines(spark, [_json("Mon Jun 16 10:00:00 +0000 2014\n", "x")])).collect()
+
+
+def test_rejects_are_counted_in_the_one_parse(spark):
+    from pyspark.sql import Observation
+    seen = Observation()
+    lines = _lines(spark, ["1,2024/01/02 03:04:05,x", "bad", "2,2024/01/02 03:04:05\n", "3,2024/01/01 00:00:00"])
+    ordered, rejects = timesort.csv_time_sort(lines, with_pos=True, counts=seen)
+    assert seen.get == {"kept": 2, "rejected": 2}
+    assert [r.value[0] for r in ordered.orderBy("pos").collect()] == ["3", "1"] and rejects.count() == 2
+
+
+def test_equal_lines_are_split_over_partitions(spark):
+    from quarry.operators.ordering import range_sorted
+    same = _lines(spark, ["1,2024/01/02 03:04:05,x"] * 4000).repartition(8)
+    sizes = range_sorted(same, ["value"], 8).rdd.glom().map(len).collect()
+    assert sum(sizes) == 4000 and max(sizes) < 1500

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from plans import plan_text
 from quarry.operators import words
 from quarry.sources.text import stop_words_frame
 
