@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import keycounts
+from quarry.llm.keycounts import Space
 from quarry.llm.scratch import small_batches
-from quarry.llm.textwords import Words, pieces, window_hashes
+from quarry.llm.textwords import Words, pieces, sums, window_hashes
 
 
 @dataclass(frozen=True)
@@ -42,30 +43,67 @@ def _total_words(docs: DataFrame, text: str) -> int:
     return docs.select(text).mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def _grams(texts: pa.ChunkedArray, order: int) -> list[list[np.ndarray]]:
-    """Per text, the hashes of its 1-grams, 2-grams, and so on."""
-    words = Words(texts)
-    h = words.hashes()
-    return [[window_hashes(h[a:b], k) for k in range(1, order + 1)]
-            for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)]
-
-
-def _score(grams: list[np.ndarray], counts: list[np.ndarray], others: int, rule: Rule) -> tuple:
-    """``(words, words known at each order, log score)`` of a text; ``counts`` are those of the other texts."""
-    n = len(grams[0])
-    level = np.zeros(n, np.int64)
-    value = np.full(n, 1.0 / max(others, 1))
-    for k in range(1, rule.order + 1):
-        c = counts[k - 1]  # of the grams that end at k - 1, k, ...
-        seen = c > 0
-        at = np.flatnonzero(seen) + k - 1
-        below = counts[k - 2][:len(c)][seen] if k > 1 else max(others, 1)
-        level[at] = k
-        value[at] = c[seen] / below
-    longest = np.minimum(np.arange(1, n + 1), rule.order)
-    logs = np.log(value) + (longest - level) * math.log(rule.discount)
-    hits = np.bincount(level, minlength=rule.order + 1)
-    return n, [int(x) for x in hits], math.fsum(logs.tolist())
+class _Chunk:
+    """A chunk's n-grams, and what has been learnt about their counts in other texts.
+
+    Words and pairs are asked for first. A longer gram can occur elsewhere only if both grams one word
+    shorter do, so only those are asked for, one length at a time; all others count 0.
+
+    ``known[k]`` has, for every word, the count elsewhere of the ``k``-gram that begins there.
+    """
+
+    def __init__(self, rows: pa.Table, rule: Rule, space: Space, totals: list[np.ndarray]):
+        self.rule, self.space = rule, space
+        self.words = Words(rows.column("text"))
+        self.hashes = self.words.hashes()
+        self.text = self.words.text_of_word()
+        self.known = {0: None}
+        self.keys, self.counts = self._ask(0)
+        for phase, found in enumerate(totals):
+            self._learn(found)
+            if phase + 1 < max(1, rule.order - 1):
+                self.keys, self.counts = self._ask(phase + 1)
+
+    def _ask(self, phase: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct keys of this phase's grams and their counts; notes where each gram begins."""
+        self.asked: list[tuple[int, np.ndarray]] = []
+        parts = [np.zeros(0, np.uint64)]
+        for k in [k for k in ((1, 2) if phase == 0 else (phase + 2,)) if k <= self.rule.order]:
+            n = max(0, len(self.hashes) - k + 1)
+            maybe = self.text[:n] == self.text[k - 1:k - 1 + n]
+            if k > 2:
+                shorter = self.known[k - 1] > 0
+                maybe &= shorter[:n] & shorter[1:n + 1]
+            at = np.flatnonzero(maybe)
+            self.asked.append((k, at))
+            parts.append(self.space.cut(window_hashes(self.hashes, k)[at]))
+        keys, self.back, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        return keys, counts
+
+    def _learn(self, totals: np.ndarray) -> None:
+        end = 0
+        for k, at in self.asked:
+            key = self.back[end:end + len(at)]
+            end += len(at)
+            # What the text itself has of the gram does not count.
+            _, mine, own = np.unique(self.text[at] * len(self.keys) + key, return_inverse=True, return_counts=True)
+            self.known[k] = np.zeros(len(self.hashes), np.int64)
+            self.known[k][at] = totals[key].astype(np.int64) - own[mine]
+
+    def scores(self, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per text: words, words by the longest gram known (a row of ``order + 1``), log score."""
+        n, order = self.words.counts, self.rule.order
+        others = np.maximum(total - n, 1)[self.text]
+        level, value = np.zeros(len(self.text), np.int64), 1.0 / others
+        for k in range(1, order + 1):
+            at = np.flatnonzero(self.known[k] > 0)
+            below = self.known[k - 1][at] if k > 1 else others[at]
+            level[at + k - 1] = k
+            value[at + k - 1] = self.known[k][at] / below
+        longest = np.minimum(np.arange(len(self.text)) - self.words.first[self.text] + 1, order)
+        logs = np.log(value) + (longest - level) * math.log(self.rule.discount)
+        hits = np.bincount(self.text * (order + 1) + level, minlength=len(n) * (order + 1))
+        return n, hits.reshape(len(n), order + 1), sums(logs, self.words.first)
 
 
 def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule: Rule | None = None) -> DataFrame:
@@ -80,29 +118,23 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule:
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     total = _total_words(docs, "text")
-    chunks, buckets = keycounts.with_chunks(docs, "text", ["id", "text"])
+    chunks, space = keycounts.with_chunks(docs, "text", ["id", "text"])
     known = [f"n_known_{k}" for k in range(1, rule.order + 1)]
     schema = T.StructType([T.StructField(id_column, docs.schema["id"].dataType), *T._parse_datatype_string(
         "n_words long, n_unseen long, " + ", ".join(f"{c} long" for c in known) + ", log_score double, per_word double").fields])
 
-    def keys_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        parts = [g for grams in _grams(rows.column("text"), rule.order) for g in grams]
-        return np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64),) * 2
-
-    def finish(rows: pa.Table, totals: np.ndarray) -> pa.Table:
-        grams = _grams(rows.column("text"), rule.order)
-        keys = np.unique(np.concatenate([g for x in grams for g in x])) if grams else np.zeros(0, np.uint64)
-        out = []
-        for text_grams in grams:
-            counts = []
-            for g in text_grams:
-                distinct, back, own = np.unique(g, return_inverse=True, return_counts=True)
-                counts.append((totals[np.searchsorted(keys, distinct)].astype(np.int64) - own)[back])
-            n, hits, logs = _score(text_grams, counts, total - len(text_grams[0]), rule)
-            out.append((n, *hits, logs, logs / n if n else None))
-        columns = zip(*out, strict=True) if out else [[]] * (rule.order + 4)
-        kinds = [pa.int64()] * (rule.order + 2) + [pa.float64()] * 2
-        return pa.table([rows.column("id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                        names=[f.name for f in schema.fields])
-
-    return keycounts.counted(chunks, buckets, keys_of, finish, schema)
+    def question(rows: pa.Table, totals: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        chunk = _Chunk(rows, rule, space, totals or [])
+        return chunk.keys, chunk.counts
+
+    answers = None
+    for _ in range(max(1, rule.order - 1)):
+        answers = keycounts.ask(chunks, space, question, answers)
+
+    def finish(rows: pa.Table, totals: list[np.ndarray]) -> pa.Table:
+        n, hits, logs = _Chunk(rows, rule, space, totals).scores(total)
+        mean = pa.array(logs / np.maximum(n, 1), mask=n == 0)
+        return pa.table([rows.column("id"), pa.array(n), *(pa.array(hits[:, k]) for k in range(rule.order + 1)),
+                         pa.array(logs), mean], names=[f.name for f in schema.fields])
+
+    return keycounts.finish(chunks, answers, finish, schema)

@@ -14,7 +14,8 @@ the texts are shuffled once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,17 +43,33 @@ def from_planes(block: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def with_chunks(docs: DataFrame, text: str, key: list[str]) -> tuple[DataFrame, int]:
-    """``docs`` plus ``_chunk`` (a hash of ``key``), and how many buckets its words' keys need."""
+@dataclass(frozen=True)
+class Space:
+    """``buckets`` the keys are dealt to by their highest bits, and the ``bits`` of a key that are sent:
+    as many as leave a key a chance of at most 2**-30 to meet another's (all 64 from 2**34 keys on)."""
+
+    buckets: int
+    bits: int
+
+    @staticmethod
+    def of(keys: float) -> Space:
+        return Space(1 << max(3, int(np.ceil(np.log2(max(1, keys / BUCKET_KEYS))))),
+                     min(64, 30 + int(np.ceil(np.log2(max(2, keys))))))
+
+    def cut(self, keys: np.ndarray) -> np.ndarray:
+        return keys >> np.uint64(64 - self.bits)
+
+
+def with_chunks(docs: DataFrame, text: str, key: list[str]) -> tuple[DataFrame, Space]:
+    """``docs`` plus ``_chunk`` (a hash of ``key``), and the key space that its words need."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks = max(1, -(-size // CHUNK_BYTES))
-    buckets = 1 << max(3, int(np.ceil(np.log2(max(1, size / 5 / BUCKET_KEYS)))))
-    return docs.withColumn("_chunk", F.pmod(F.xxhash64(*key), F.lit(chunks))), buckets
+    return docs.withColumn("_chunk", F.pmod(F.xxhash64(*key), F.lit(chunks))), Space.of(size / 5)
 
 
-def blocks_of(chunk: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Table:
-    """One row per bucket that has keys; ``keys`` are sorted and distinct."""
-    shift = np.uint64(64 - (buckets.bit_length() - 1))
+def blocks_of(chunk: int, keys: np.ndarray, counts: np.ndarray, space: Space) -> pa.Table:
+    """One row per bucket that has keys; ``keys`` are sorted, distinct and cut to the space's bits."""
+    shift = np.uint64(space.bits - (space.buckets.bit_length() - 1))
     bucket = (keys >> shift).astype(np.int32)
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else np.zeros(0, int)
     ends = np.concatenate([cuts[1:], [len(keys)]]) if len(keys) else cuts
@@ -78,29 +95,54 @@ def _answer(group: pa.Table) -> pa.Table:
                                          pa.binary())})
 
 
-def counted(chunks: DataFrame, buckets: int, keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]],
-            finish: Callable[[pa.Table, np.ndarray], Iterator[pa.Table] | pa.Table], schema) -> DataFrame:
-    """Run ``finish(rows, totals)`` on every chunk of ``chunks`` (which has ``_chunk``).
+def ask(chunks: DataFrame, space: Space, keys_of: Callable, answers: DataFrame | None = None) -> DataFrame:
+    """Count keys of ``chunks`` (which has ``_chunk``) over the corpus: a row of totals per chunk and bucket.
 
-    ``keys_of(rows)`` gives the chunk's sorted distinct keys and their counts there;
-    ``totals`` are the counts of the same keys over all chunks, in the same order.
+    ``keys_of(rows)`` gives a chunk's sorted distinct keys (cut by ``space``) and their counts there. With the ``answers`` of
+    earlier questions it is ``keys_of(rows, totals)``, a list of their totals; this one's are added to them.
     """
-    def send(rows: pa.Table) -> pa.Table:
-        keys, counts = keys_of(rows)
-        return blocks_of(rows.column("_chunk")[0].as_py(), keys, counts, buckets)
+    phase = 0 if answers is None else answers.schema["_phase"].metadata["last"] + 1
+
+    def send(rows: pa.Table, earlier: pa.Table | None = None) -> pa.Table:
+        if not rows.num_rows:
+            return blocks_of(0, np.zeros(0, np.uint64), np.zeros(0, np.int64), space)
+        keys, counts = keys_of(rows) if earlier is None else keys_of(rows, _totals(earlier, phase))
+        return blocks_of(rows.column("_chunk")[0].as_py(), keys, counts, space)
 
-    def receive(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    grouped = chunks.groupBy("_chunk")
+    sent = grouped.applyInArrow(lambda rows: send(rows), BLOCKS) if answers is None else \
+        grouped.cogroup(answers.groupBy("_chunk")).applyInArrow(lambda rows, earlier: send(rows, earlier), BLOCKS)
+    found = sent.groupBy("_bucket").applyInArrow(_answer, ANSWERS).withColumn("_phase", F.lit(phase))
+    both = found if answers is None else answers.unionByName(found)
+    return both.withMetadata("_phase", {"last": phase})
+
+
+def _totals(answers: pa.Table, phases: int) -> list[np.ndarray]:
+    """Per question, the totals of a chunk's keys in their order."""
+    answers = answers.sort_by([("_phase", "ascending"), ("_bucket", "ascending")])
+    parts: list[list[np.ndarray]] = [[] for _ in range(phases)]
+    for phase, block in zip(answers.column("_phase").to_pylist(), answers.column("_totals"), strict=True):
+        parts[phase].append(from_planes(block.as_buffer(), np.uint64))
+    return [np.concatenate(p) if p else np.zeros(0, np.uint64) for p in parts]
+
+
+def finish(chunks: DataFrame, answers: DataFrame, last: Callable, schema) -> DataFrame:
+    """``last(rows, totals)`` on every chunk, ``totals`` a list of arrays as in ``ask``."""
+    phases = answers.schema["_phase"].metadata["last"] + 1
+
+    def receive(rows: pa.Table, own: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return pa.Table.from_pylist([], schema=_arrow(schema))
-        answers = answers.sort_by("_bucket")
-        parts = [from_planes(t.as_buffer(), np.uint64) for t in answers.column("_totals")]
-        return finish(rows, np.concatenate(parts) if parts else np.zeros(0, np.uint64))
+        return last(rows, _totals(own, phases))
 
-    answers = (chunks.groupBy("_chunk").applyInArrow(send, BLOCKS)
-               .groupBy("_bucket").applyInArrow(_answer, ANSWERS))
     return chunks.groupBy("_chunk").cogroup(answers.groupBy("_chunk")).applyInArrow(receive, schema)
 
 
+def counted(chunks: DataFrame, space: Space, keys_of: Callable, last: Callable, schema) -> DataFrame:
+    """One question: ``last(rows, totals)`` with the totals of ``keys_of(rows)``."""
+    return finish(chunks, ask(chunks, space, keys_of), lambda rows, totals: last(rows, totals[0]), schema)
+
+
 def _arrow(schema) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     return to_arrow_schema(schema)

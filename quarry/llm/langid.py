@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.scratch import small_batches
-from quarry.llm.textwords import Words, mix, pieces
+from quarry.llm.textwords import Words, mix, pieces, sums
 
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -97,22 +97,13 @@ def _subwords(words: Words, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndar
     return np.concatenate(found)[order], np.searchsorted(owners[order], np.arange(len(where) + 1)), back
 
 
-def _sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """Sums of consecutive rows of ``values``; empty stretches give zeros."""
-    out = np.zeros((len(cuts) - 1, *values.shape[1:]), values.dtype)
-    some = np.flatnonzero(np.diff(cuts) > 0)
-    if len(some):
-        out[some] = np.add.reduceat(values, cuts[:-1][some], axis=0)
-    return out
-
-
 def _averages(texts: pa.Array, model: Model, rule: Rule) -> np.ndarray:
     words = Words(texts, lower=True)
     buckets, cuts, back = _subwords(words, rule)
-    per_word = _sums(model.embed[buckets], cuts)
+    per_word = sums(model.embed[buckets], cuts)
     counts = np.diff(cuts)
-    total = _sums(counts[back], words.first)
-    return _sums(per_word[back], words.first) / np.maximum(total, 1)[:, None]
+    total = sums(counts[back], words.first)
+    return sums(per_word[back], words.first) / np.maximum(total, 1)[:, None]
 
 
 def _has_letter(texts: pa.Array) -> np.ndarray:

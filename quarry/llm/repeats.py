@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import keycounts
+from quarry.llm.keycounts import Space
 from quarry.llm.scratch import save
 from quarry.llm.textwords import Words, among, sliding_min, window_hashes
 
@@ -40,9 +41,9 @@ class Rule:
     gram: int = 8
 
 
-def _windows(h: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(h: np.ndarray, rule: Rule, space: Space) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Gram hashes, each window's smallest one, and which grams are the smallest of some window."""
-    grams = window_hashes(h, rule.gram)
+    grams = space.cut(window_hashes(h, rule.gram))
     span = rule.window - rule.gram + 1
     least = sliding_min(grams, span)
     # A gram is an anchor if the largest of its windows' minima is the gram itself.
@@ -62,26 +63,26 @@ def _count(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(parts), return_counts=True)
 
 
-def _anchor_keys(texts: pa.ChunkedArray, rule: Rule):
+def _anchor_keys(texts: pa.ChunkedArray, rule: Rule, space: Space):
     words = Words(texts)
     h = words.hashes()
     parts = []
     for _, seq in _sequences(words, h, rule):
-        grams, _, anchor = _windows(seq, rule)
+        grams, _, anchor = _windows(seq, rule, space)
         parts.append(grams[anchor])
     return words, h, _count(parts)
 
 
-def _window_keys(texts: pa.ChunkedArray, shared: list[np.ndarray], rule: Rule):
+def _window_keys(texts: pa.ChunkedArray, shared: list[np.ndarray], rule: Rule, space: Space):
     """Hashes of the windows whose anchor is shared; per text their places too."""
     words = Words(texts)
     h = words.hashes()
     parts, places = [], {}
     for i, seq in _sequences(words, h, rule):
-        _, least, _ = _windows(seq, rule)
+        _, least, _ = _windows(seq, rule, space)
         at = np.flatnonzero(among(least, shared[i]))
         places[i] = at
-        parts.append(window_hashes(seq, rule.window)[at])
+        parts.append(space.cut(window_hashes(seq, rule.window)[at]))
     return words, parts, places
 
 
@@ -124,18 +125,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", rule: Rule | None = None
     carried = [f for f in docs.schema.fields if f.name not in added and not f.name.startswith("_")]
     docs = docs.select(*[f.name for f in carried])
     others = [f for f in carried if f.name != text]
-    chunks, buckets = keycounts.with_chunks(docs, text, [f.name for f in carried if f.name in ("doc_id", text)])
+    chunks, space = keycounts.with_chunks(docs, text, [f.name for f in carried if f.name in ("doc_id", text)])
 
     seeded = T.StructType(others + [
         T.StructField(text, T.StringType()), T.StructField("n_words", T.LongType()),
         T.StructField("_class", T.BinaryType()), T.StructField("_shared", T.BinaryType())])
 
     def seed(rows: pa.Table, totals: np.ndarray) -> pa.Table:
-        words, h, (keys, _) = _anchor_keys(rows.column(text), rule)
+        words, h, (keys, _) = _anchor_keys(rows.column(text), rule, space)
         often = keys[totals > 1]
         shared: list[bytes | None] = [None] * words.n_texts
         for i, seq in _sequences(words, h, rule):
-            grams, _, anchor = _windows(seq, rule)
+            grams, _, anchor = _windows(seq, rule, space)
             found = np.unique(grams[anchor])
             found = found[among(found, often)]
             if len(found):
@@ -148,7 +149,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", rule: Rule | None = None
                          pa.array(classes, pa.binary()), pa.array(shared, pa.binary())],
                         names=[f.name for f in seeded.fields])
 
-    seeds = save(keycounts.counted(chunks, buckets, lambda rows: _anchor_keys(rows.column(text), rule)[2],
+    seeds = save(keycounts.counted(chunks, space, lambda rows: _anchor_keys(rows.column(text), rule, space)[2],
                                    seed, seeded), f"{name}-seeds")
 
     # One row per class, and one text to stand for it. A class is met in a partial count only.
@@ -167,7 +168,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", rule: Rule | None = None
         return [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("_shared")]
 
     def extend(rows: pa.Table, totals: np.ndarray) -> pa.Table:
-        words, parts, places = _window_keys(rows.column(text), shared_of(rows), rule)
+        words, parts, places = _window_keys(rows.column(text), shared_of(rows), rule, space)
         keys, _ = _count(parts)
         often = keys[totals > 1]
         copies = rows.column("_copies").to_pylist()
@@ -189,8 +190,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", rule: Rule | None = None
                         names=[f.name for f in removed.fields])
 
     removed = T._parse_datatype_string("_class binary, _removed long, _sha string, _left string")
-    cut = save(keycounts.counted(stands, buckets, lambda rows: _count(
-        _window_keys(rows.column(text), shared_of(rows), rule)[1]), extend, removed).dropDuplicates(["_class"]),
+    cut = save(keycounts.counted(stands, space, lambda rows: _count(
+        _window_keys(rows.column(text), shared_of(rows), rule, space)[1]), extend, removed).dropDuplicates(["_class"]),
         f"{name}-cut")
 
     left = F.coalesce("_left", text).alias(text) if texts else None

@@ -153,6 +153,15 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(out[:n], out[w - size:w - size + n])
 
 
+def sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive rows of ``values``; empty stretches give zeros."""
+    out = np.zeros((len(cuts) - 1, *values.shape[1:]), values.dtype)
+    some = np.flatnonzero(np.diff(cuts) > 0)
+    if len(some):
+        out[some] = np.add.reduceat(values, cuts[:-1][some], axis=0)
+    return out
+
+
 def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut or join batches so that each holds about ``most`` bytes of ``column`` (one row at least)."""
     held: list[pa.RecordBatch] = []

@@ -55,8 +55,15 @@ def test_pieces_keep_all_rows_in_order():
 
 def test_blocks_round_trip():
     keys = np.unique(np.random.default_rng(3).integers(0, 2**63, 1000).astype(np.uint64) * np.uint64(2))
-    table = keycounts.blocks_of(5, keys, np.arange(len(keys)), 16)
+    space = keycounts.Space(16, 64)
+    table = keycounts.blocks_of(5, keys, np.arange(len(keys)), space)
     back = [np.cumsum(keycounts.from_planes(k.as_buffer(), np.uint64), dtype=np.uint64) for k in table["_keys"]]
     assert np.concatenate(back).tolist() == keys.tolist()
     assert [b for b, p in zip(table["_bucket"].to_pylist(), back, strict=True) for _ in p] == (keys >> np.uint64(60)).tolist()
     assert np.concatenate([keycounts.from_planes(c.as_buffer(), np.uint32) for c in table["_counts"]]).tolist() == list(range(len(keys)))
+
+
+def test_key_space():
+    assert keycounts.Space.of(0).buckets == 8 and keycounts.Space.of(2**40).bits == 64 and keycounts.Space.of(2**20).bits == 50
+    keys = np.array([1 << 63, (1 << 63) + 1, 5], np.uint64)
+    assert keycounts.Space(8, 32).cut(keys).tolist() == [1 << 31, 1 << 31, 0]
