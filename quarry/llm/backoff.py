@@ -28,6 +28,9 @@ from quarry.llm.keycounts import Space
 from quarry.llm.scratch import small_batches
 from quarry.llm.textwords import Words, pieces, sums, window_hashes
 
+#: Larger chunks have fewer distinct n-grams a word: less to send.
+CHUNK_BYTES = 8 << 20
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -118,7 +121,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule:
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     total = _total_words(docs, "text")
-    chunks, space = keycounts.with_chunks(docs, "text", ["id", "text"])
+    chunks, space = keycounts.with_chunks(docs, "text", ["id", "text"], CHUNK_BYTES)
     known = [f"n_known_{k}" for k in range(1, rule.order + 1)]
     schema = T.StructType([T.StructField(id_column, docs.schema["id"].dataType), *T._parse_datatype_string(
         "n_words long, n_unseen long, " + ", ".join(f"{c} long" for c in known) + ", log_score double, per_word double").fields])

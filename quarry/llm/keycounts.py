@@ -28,7 +28,7 @@ CHUNK_BYTES = 2 << 20
 BUCKET_KEYS = 1 << 20
 
 BLOCKS = "_chunk long, _bucket int, _keys binary, _counts binary"
-ANSWERS = "_chunk long, _bucket int, _totals binary"
+ANSWERS = "_chunk long, _bucket int, _totals binary, _phase int"
 
 
 def to_planes(values: np.ndarray) -> bytes:
@@ -60,10 +60,10 @@ class Space:
         return keys >> np.uint64(64 - self.bits)
 
 
-def with_chunks(docs: DataFrame, text: str, key: list[str]) -> tuple[DataFrame, Space]:
+def with_chunks(docs: DataFrame, text: str, key: list[str], chunk: int = CHUNK_BYTES) -> tuple[DataFrame, Space]:
     """``docs`` plus ``_chunk`` (a hash of ``key``), and the key space that its words need."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    chunks = max(1, -(-size // CHUNK_BYTES))
+    chunks = max(1, -(-size // chunk))
     return docs.withColumn("_chunk", F.pmod(F.xxhash64(*key), F.lit(chunks))), Space.of(size / 5)
 
 
@@ -84,7 +84,7 @@ def blocks_of(chunk: int, keys: np.ndarray, counts: np.ndarray, space: Space) ->
                      "_counts": pa.array([r[3] for r in rows], pa.binary())})
 
 
-def _answer(group: pa.Table) -> pa.Table:
+def _answer(group: pa.Table, phase: int) -> pa.Table:
     keys = [np.cumsum(from_planes(k.as_buffer(), np.uint64), dtype=np.uint64) for k in group.column("_keys")]
     counts = np.concatenate([from_planes(c.as_buffer(), np.uint32) for c in group.column("_counts")])
     _, back = np.unique(np.concatenate(keys), return_inverse=True)
@@ -92,7 +92,8 @@ def _answer(group: pa.Table) -> pa.Table:
     ends = np.cumsum([len(k) for k in keys])
     return pa.table({"_chunk": group.column("_chunk"), "_bucket": group.column("_bucket"),
                      "_totals": pa.array([to_planes(totals[e - len(k):e]) for k, e in zip(keys, ends, strict=True)],
-                                         pa.binary())})
+                                         pa.binary()),
+                     "_phase": pa.array([phase] * len(keys), pa.int32())})
 
 
 def ask(chunks: DataFrame, space: Space, keys_of: Callable, answers: DataFrame | None = None) -> DataFrame:
@@ -112,7 +113,9 @@ def ask(chunks: DataFrame, space: Space, keys_of: Callable, answers: DataFrame |
     grouped = chunks.groupBy("_chunk")
     sent = grouped.applyInArrow(lambda rows: send(rows), BLOCKS) if answers is None else \
         grouped.cogroup(answers.groupBy("_chunk")).applyInArrow(lambda rows, earlier: send(rows, earlier), BLOCKS)
-    found = sent.groupBy("_bucket").applyInArrow(_answer, ANSWERS).withColumn("_phase", F.lit(phase))
+    # Dealt by chunk here and now: the next question and the end then read this one exchange, and a union
+    # of such answers needs no other.
+    found = sent.groupBy("_bucket").applyInArrow(lambda group: _answer(group, phase), ANSWERS).repartition("_chunk")
     both = found if answers is None else answers.unionByName(found)
     return both.withMetadata("_phase", {"last": phase})
 
