@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.components import components
-from quarry.llm.scratch import save, small_batches
+from quarry.llm.scratch import drop, save, small_batches
 from quarry.llm.textwords import Words, mix, pieces, window_hashes
 
 
@@ -255,8 +255,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     found = components(links.union(_blockwise(left, rule, name)), name)
 
     # Back to documents: a class's component, then the smallest id of each.
+    signed = classes
     classes = save(classes.select("_class", "node").join(found, "node", "left").select(
         "_class", F.coalesce("component", "node").alias("component")), f"{name}-found")
+    drop(texts, buckets, signed)
     whole = sig.select("doc", "n_shingles", "_class").join(classes, "_class", "left")
     own = F.coalesce("component", "doc")
     return whole.select(F.col("doc").alias(id_column), "n_shingles", own.alias("component_id"),

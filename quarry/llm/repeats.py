@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from quarry.llm import keycounts
 from quarry.llm.keycounts import Space
-from quarry.llm.scratch import save
+from quarry.llm.scratch import drop, save
 from quarry.llm.textwords import Words, among, sliding_min, window_hashes
 
 
@@ -194,6 +194,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", rule: Rule | None = None
         _window_keys(rows.column(text), shared_of(rows), rule, space)[1]), extend, removed).dropDuplicates(["_class"]),
         f"{name}-cut")
 
+    drop(stands)
     left = F.coalesce("_left", text).alias(text) if texts else None
     return seeds.join(cut, "_class", "left").select(
         *[left if f.name == text else F.col(f.name) for f in carried if texts or f.name != text], "n_words",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.session import scratch_table_path
+from quarry.session import drop_scratch, scratch_table_path
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
@@ -16,7 +16,15 @@ def save(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_table_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove saved tables that nothing will read again."""
+    for table in tables:
+        drop_scratch(table.sparkSession, table._scratch_path)
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
