@@ -29,17 +29,19 @@ from pyspark.sql import types as T
 from quarry.llm.running import running_total
 from quarry.llm.scratch import save, small_batches
 from quarry.llm.textwords import Words, pieces
-from quarry.llm.vocab import WordTokens, byte_level_encoder, per_worker, public_path
+from quarry.llm.vocab import WordTokens, byte_level_encoder, per_worker, public_path, rank_encoder
 
 
 @dataclass(frozen=True)
 class Rule:
     """Numbers of ``groups`` of large lengths to try (the plan with fewest sequences is used); lengths up
-    to ``capacity // small`` are small."""
+    to ``capacity // small`` are small. ``ranks`` is the vocabulary's rank file, if it has one: plain units
+    get the same ids from it, faster."""
 
     capacity: int = 1024
     end_id: int = 2
     vocabulary: str = public_path("byte_bpe_50k.json")
+    ranks: str | None = public_path("byte_bpe_50k.tiktoken")
     special: tuple[str, ...] = ("<|endoftext|>",)
     groups: tuple[int, ...] = (64, 128, 256, 512)
     small: int = 8
@@ -71,7 +73,7 @@ def token_ids(texts: pa.Array, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """
     words = Words(texts)
     encode = per_worker(f"encode:{rule.vocabulary}", lambda: byte_level_encoder(rule.vocabulary))
-    units = per_worker(f"units:{rule.vocabulary}", lambda: WordTokens([encode]))
+    units = per_worker(f"units:{rule.vocabulary}", lambda: WordTokens([rank_encoder(rule.ranks) if rule.ranks else encode]))
     # Units: white space and a word; at the end of a text, white space alone.
     before = np.concatenate([[0], words.end[:-1]]) if len(words.end) else words.end
     firsts = words.first[:-1][words.counts > 0]
