@@ -2,8 +2,10 @@
 
 Every word is spelled by public vocabularies as if a space preceded it. Per text
 and vocabulary this gives characters per token, the share of byte-fallback tokens
-and the entropy (bits) of the text's token distribution. A text is rejected where
-a figure leaves the band of its script. Base rules on words and repeats come first.
+and the entropy (bits) of the text's token distribution. A text is rejected where a
+figure leaves the band of its script under every vocabulary: one that does not know
+a language's letters spells clean text finely and has no veto. Base rules on words
+and repeats come first.
 
 One pass over the rows, no shuffle: distinct words are encoded once per worker, so
 the cost per text is a few vectorised passes over its UTF-8 bytes.
@@ -12,7 +14,7 @@ the cost per text is a few vectorised passes over its UTF-8 bytes.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,9 @@ from quarry.llm.vocab import WordTokens, encoder, fallback_ids, per_worker, publ
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 
+PUNCTUATION = np.zeros(256, dtype=bool)
+PUNCTUATION[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
+
 #: Script of a character, by the first code point of each block that matters here.
 #: (start, script); characters before the first entry and unlisted blocks are "common".
 SCRIPTS = [
@@ -39,18 +44,33 @@ SCRIPTS = [
 
 @dataclass(frozen=True)
 class Band:
-    """Texts below ``min_chars_per_token``, above ``max_fallback`` or outside the entropy band are rejected."""
+    """Texts below ``min_chars_per_token``, above ``max_fallback`` or outside the entropy band are rejected.
+
+    The least characters per token fall with the share of characters outside ASCII (by
+    ``accent_slope``) and of ASCII punctuation (``punctuation_slope``), down to
+    ``floor_chars_per_token``. With the share outside ASCII, the fallback allowed rises by
+    ``fallback_slope`` and the entropy floor falls by ``entropy_slope`` (letters spelt by bytes
+    or combining marks repeat few tokens).
+    """
 
     min_chars_per_token: float
     max_chars_per_token: float
     max_fallback: float
     min_entropy: float
+    accent_slope: float = 0.0
+    punctuation_slope: float = 0.0
+    floor_chars_per_token: float = 0.0
+    fallback_slope: float = 0.0
+    entropy_slope: float = 0.0
 
 
-#: Bands per script, wide enough for prose: below about one character a token in an alphabet
-#: that the vocabulary knows, text is random characters; far above, it is one repeated long piece.
+#: Bands per script, or per vocabulary and script ("piece:latin"), wide enough for prose: below about
+#: one character a token in an alphabet that the vocabulary knows, text is random characters; far above,
+#: it is one repeated long piece. Random Latin letters give 1.49 (multi) and 1.59 (piece) characters a
+#: token in plain ASCII, 1.26 and 1.26 with a fifth of Vietnamese letters, 0.90 and 0.82 with three quarters.
 DEFAULT_BANDS = {
-    "latin": Band(1.55, 8.0, 0.15, 5.0),
+    "latin": Band(1.55, 8.0, 0.15, 5.0, 1.0, 0.7, 1.12, 1.0, 4.0),
+    "piece:latin": Band(1.65, 8.0, 0.15, 5.0, 1.1, 0.85, 1.12, 1.0, 4.0),
     "greek": Band(0.5, 8.0, 0.60, 3.0),
     "cyrillic": Band(0.5, 8.0, 0.60, 3.0),
     "common": Band(0.6, 8.0, 0.60, 2.5),
@@ -64,12 +84,19 @@ class Rules:
 
     The entropy floor is that of texts with at least ``entropy_tokens`` tokens;
     a shorter text cannot spread over many tokens.
+
+    Where at least ``accented_percent`` of the characters lie outside ASCII, the vocabularies may know
+    none of the language's letters. Such a text is not rejected for few characters per token if words of
+    three or more characters that it uses again hold ``recurring_percent`` of its characters, as in any
+    language; random characters hardly recur.
     """
 
     min_words: int = 50
     repeat_window: int = 3
     max_repeat_percent: int = 50
     entropy_tokens: int = 100
+    accented_percent: int = 10
+    recurring_percent: int = 15
     vocabularies: dict[str, str] = field(default_factory=lambda: {
         "multi": public_path("byte_bpe_multi_50k.tiktoken"), "piece": public_path("piece_bpe_32k.model")})
     bands: dict[str, Band] = field(default_factory=lambda: dict(DEFAULT_BANDS))
@@ -119,6 +146,15 @@ def _repeat_words(words: Words, h: np.ndarray, k: int) -> np.ndarray:
     return np.diff(np.searchsorted(np.flatnonzero(covered), words.first))
 
 
+def _recurring_chars(words: Words, h: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Per text, the characters of its words of three or more characters that occur twice or more in it."""
+    doc = words.text_of_word()
+    key = mix(h + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    ordered = np.sort(key)
+    again = among(key, np.unique(ordered[1:][ordered[1:] == ordered[:-1]])) & (length >= 3)
+    return np.diff(np.concatenate([[0], np.cumsum(np.where(again, length, 0))])[words.first])
+
+
 def _token_figures(words: Words, ids: np.ndarray, per_word: np.ndarray, byte_ids: np.ndarray, chars: np.ndarray):
     """Tokens, characters per token, fallback share and entropy of every text (0 without tokens)."""
     ends = np.concatenate([[0], np.cumsum(per_word)])
@@ -157,7 +193,8 @@ def _assess(texts: pa.Array, rules: Rules) -> list[pa.Array]:
     words = Words(texts)
     h = words.hashes()
     strings: Sequence[str | None] = texts.to_pylist()
-    chars = words.per_text(words.inside & ((words.data & 0xC0) != 0x80))
+    first_bytes = words.inside & ((words.data & 0xC0) != 0x80)
+    chars = words.per_text(first_bytes)
     n_words = words.counts
     repeats = _repeat_words(words, h, rules.repeat_window)
     failed = (n_words < rules.min_words) | (100 * repeats > rules.max_repeat_percent * n_words)
@@ -165,20 +202,31 @@ def _assess(texts: pa.Array, rules: Rules) -> list[pa.Array]:
     out = [n_words, chars, words.per_text(SYMBOLS[words.data]), np.array([_dup_lines(s) for s in strings], np.int64),
            repeats, failed, scripts]
     reason = np.where(failed, "base", "").astype(object)
-    bands = [rules.bands.get(s, rules.bands["*"]) for s in scripts]
-    low, high, most, floor = (np.array([getattr(b, f) for b in bands]) for f in (
-        "min_chars_per_token", "max_chars_per_token", "max_fallback", "min_entropy"))
+    some = np.maximum(chars, 1)
+    accents = words.per_text(first_bytes & (words.data >= 0x80)) / some
+    marks = words.per_text(words.inside & PUNCTUATION[words.data]) / some
+    so_far = np.concatenate([[0], np.cumsum(first_bytes)])
+    recurring = _recurring_chars(words, h, so_far[words.end] - so_far[words.start])
+    language = (100 * accents >= rules.accented_percent) & (100 * recurring >= rules.recurring_percent * some)
     paths = list(rules.vocabularies.values())
     known = per_worker(f"words:{paths}", lambda: WordTokens([_spelled(p) for p in paths]))
     slots = known.lookup(h, words.strings) if paths else None
+    against: dict[str, list[np.ndarray]] = {}
     for v, (prefix, path) in enumerate(rules.vocabularies.items()):
         byte_ids = per_worker(f"bytes:{path}", lambda path=path: fallback_ids(path))
         ids, per_word = known.expand(slots, v)
         tokens, ratio, share, entropy = _token_figures(words, ids, per_word, byte_ids, chars)
         out += [tokens, ratio, share, entropy]
-        for what, bad in (("chars_per_token", (ratio < low) | (ratio > high)), ("fallback_share", share > most),
-                          ("token_entropy", (tokens >= rules.entropy_tokens) & (entropy < floor))):
-            reason[(reason == "") & bad] = f"{prefix}_{what}"
+        bands = [rules.bands.get(f"{prefix}:{s}") or rules.bands.get(s, rules.bands["*"]) for s in scripts]
+        least, high, most, floor, accent, mark, lowest, more, less = (
+            np.array([getattr(b, f.name) for b in bands]) for f in fields(Band))
+        low = np.maximum(least - accent * accents - mark * marks, np.minimum(least, lowest))
+        for what, bad in (("chars_per_token", ((ratio < low) & ~language) | (ratio > high)),
+                          ("fallback_share", share > most + more * accents),
+                          ("token_entropy", (tokens >= rules.entropy_tokens) & (entropy < floor - less * accents))):
+            against.setdefault(what, []).append(bad)
+    for what, verdicts in against.items():  # named after the first vocabulary; all of them agree
+        reason[(reason == "") & np.logical_and.reduce(verdicts)] = f"{next(iter(rules.vocabularies))}_{what}"
     kept = reason == ""
     return [*(pa.array(x) for x in out), pa.array([r or None for r in reason], pa.string()), pa.array(kept)]
 

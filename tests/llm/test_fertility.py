@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import unicodedata
 from collections import Counter
 
 from quarry.llm import fertility
@@ -60,3 +61,45 @@ def test_hard_rows(hard, none):
     assert [r.n_words for r in rows if r.doc_id == 5] == [30000] and [r.base_failed for r in rows if r.doc_id == 5] == [True]
     assert assess(none).columns == got.columns and assess(none).count() == 0
     assert assess(hard, only_kept=True).schema == hard.schema
+
+
+#: Article 1 of the human rights declaration, and lines of source code.
+CLEAN = {
+    "vi": "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi. Mọi con người đều được tạo hoá "
+          "ban cho lý trí và lương tâm và cần phải đối xử với nhau trong tình anh em.",
+    "yo": "Gbogbo ènìyàn ni a bí ní òmìnira; iyì àti ẹ̀tọ́ kọ̀ọ̀kan sì dọ́gba. Wọ́n ní ẹ̀bùn làákàyè àti ti ẹ̀rí-ọkàn, ó sì yẹ kí "
+          "wọn ó máa hùwà sí ara wọn gẹ́gẹ́ bí ọmọ ìyá.",
+    "az": "Bütün insanlar ləyaqət və hüquqlarına görə azad və bərabər doğulurlar. Onların şüurları və vicdanları var və "
+          "bir-birlərinə münasibətdə qardaşlıq ruhunda davranmalıdırlar.",
+    "nv": "Bila'ashda'ii t'áá ałtsoh yiníkʼehgo bidizhchį́įh dóó aheełt'eego ílį́į́go bee baahóchįʼ. Eíí háníʼ dóó "
+          "hánítshákees hwiihdaasyaʼ eíí binahjįʼ ahidiníłnáhgo álíleekʼehgo kʼé bee ahił niidlį́.",
+    "code": "for (int i = 0; i < n; i++) { if (a[i] != b[i]) { x += f(a[i], b[i]) * 2; } else { y -= g(c[i]); } } "
+            "return x >= y ? x : -y;",
+}
+
+
+def test_clean_languages_stay_and_random_characters_go(frame):
+    rng = random.Random(5)
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    viet = "".join(sorted({c for c in CLEAN["vi"].lower() if c > "\x7f"}))
+    pools = [lower, lower.upper(), lower + lower.upper() + "0123456789", "".join(map(chr, range(33, 127))), lower + viet, viet,
+             lower * 3 + viet, "".join(map(chr, range(0xC0, 0x180))), lower + "".join(map(chr, range(0xC0, 0x250)))]
+    clean = [*CLEAN.values(), *(unicodedata.normalize("NFD", CLEAN[k]) for k in ("vi", "yo", "az"))]
+    noise = [" ".join("".join(rng.choice(p) for _ in range(rng.randint(low, 10))) for _ in range(n))
+             for p in pools for low, n in ((6, 80), (1, 400))]
+    noise += ["".join(c if c == " " else rng.choice(CLEAN[k].replace(" ", "")) for c in CLEAN[k] * 3) for k in ("vi", "yo")]
+    rows = frame(list(enumerate(clean + noise)), "doc_id long, text string")
+    got = {r.doc_id: r for r in assess(rows, rules=Rules(min_words=10, max_repeat_percent=100)).collect()}
+    assert {r.script for r in got.values()} == {"latin"}
+    assert [got[i].reason for i in range(len(clean))] == [None] * len(clean)
+    assert [i for i in range(len(clean), len(got)) if got[i].kept] == []
+
+
+def test_words_used_again_save_letters_no_vocabulary_knows(frame):
+    rng = random.Random(6)
+    letters = [chr(c) for c in range(0x1E00, 0x1E80)]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(3, 6))) for _ in range(2000)]
+    texts = [" ".join(words[:200]), " ".join(rng.choice(words[:60]) for _ in range(200))]
+    rules = Rules(bands={"*": Band(2.0, 8.0, 1.0, 0.0)})
+    got = {r.doc_id: r.reason for r in assess(frame(list(enumerate(texts)), "doc_id long, text string"), rules=rules).collect()}
+    assert got == {0: "multi_chars_per_token", 1: None}
