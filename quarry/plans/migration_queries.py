@@ -142,16 +142,25 @@ def value_iteration_5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return res.values.select("state", "pack_id", F.round("v", ROUND).alias("v"))
 
 
-def value_iteration_to_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """States 2 and 3 until a sweep changes less than the threshold, with sweeps and convergence."""
-    inp = Inputs(spark, sf_dir, states=[2, 3])
+def _to_threshold(inp: Inputs, gamma: float) -> DataFrame:
     cost, probs = _cost_and_probs(inp)
-    res = VI.value_iteration(cost, probs, inp.packs, gamma=LOW_GAMMA)
+    res = VI.value_iteration(cost, probs, inp.packs, gamma=gamma)
     cost.drop()
     return res.values.select("state", "pack_id", F.round("v", ROUND).alias("v"), F.lit(res.sweeps).alias("sweeps"),
                              F.lit(res.converged).alias("converged"))
 
 
+def value_iteration_to_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every state at the job's discount until a sweep changes less than the threshold, or the sweeps run out
+    (``converged`` is false then)."""
+    return _to_threshold(Inputs(spark, sf_dir), VI.GAMMA)
+
+
+def two_states_to_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States 2 and 3 at a low discount, which a short SQL chain can follow; for tests, not registered."""
+    return _to_threshold(Inputs(spark, sf_dir, states=[2, 3]), LOW_GAMMA)
+
+
 QUERIES = {
     "value_iteration_to_threshold": value_iteration_to_threshold,
     "pack_ranges": pack_ranges,
@@ -327,6 +336,30 @@ def _threshold_sql() -> str:
     return _with(*ctes) + "\n" + " UNION ALL ".join(parts)
 
 
+def _full_threshold_sql() -> str:
+    """Every state in order at the job's discount; the first sweep under the threshold ends it, or the last one allowed."""
+    ctes = [_gains_sql(), _directed_cost_cte()]
+    current, diffs, kept = {}, [], []
+    for k in STATES:
+        ctes.append(f"v{k}_0 AS (SELECT pack_id, 0.0::DOUBLE AS v FROM packs{k})")
+        current[k] = f"v{k}_0"
+    for n in range(1, VI.MAX_SWEEPS + 1):
+        before = dict(current)
+        for s in STATES:
+            name = f"v{s}_{n}"
+            ctes.append(_update_sql(name, s, {t: current[t] for t in STATES if t != s}))
+            current[s] = name
+        change = " + ".join(f"(SELECT sum(abs(a.v - b.v)) FROM {current[s]} a JOIN {before[s]} b USING (pack_id))" for s in STATES)
+        diffs.append(f"SELECT {n} AS n, {change} AS diff")
+        kept += [f"SELECT {s} AS state, pack_id, v, {n} AS n FROM {current[s]}" for s in STATES]
+    ctes += [f"diffs AS ({' UNION ALL '.join(diffs)})",
+             f"under AS (SELECT min(n) AS n FROM diffs WHERE diff < {VI.THRESHOLD})",
+             f"stop AS (SELECT coalesce(n, {VI.MAX_SWEEPS})::INTEGER AS n, n IS NOT NULL AS converged FROM under)",
+             f"swept AS ({' UNION ALL '.join(kept)})"]
+    return _with(*ctes) + (f"\nSELECT state, pack_id, round(v, {ROUND}) AS v, stop.n AS sweeps, converged "
+                           "FROM swept JOIN stop USING (n)")
+
+
 def _bellman_sql() -> str:
     ctes = [_gains_sql(), _directed_cost_cte()]
     parts = []
@@ -370,7 +403,7 @@ def oracle() -> dict[str, str]:
             "\nSELECT row_number() OVER (ORDER BY from_state, to_state, from_id, to_id) - 1 AS pos, "
             "from_state, to_state, from_id, to_id, gain, cost FROM gains"),
         "transition_probs": _with() + f"\nSELECT from_state, to_state, weight, round(p, {ROUND}) AS p FROM probs",
-        "value_iteration_to_threshold": _threshold_sql(),
+        "value_iteration_to_threshold": _full_threshold_sql(),
         "bellman_step": _bellman_sql(),
         "value_iteration_5": _value_iteration_sql(ORACLE_SWEEPS),
     }

@@ -273,3 +273,25 @@ def test_arithmetic_pair_positions_match_sorted_order(spark):
     rows = b.select("p1", "p2").collect()
     assert len(rows) == 4 * 6 + 4 * 4 + 6 * 4
     assert all(r.p1 == r.p2 for r in rows)
+
+
+def _held_against_sql(query, sql, spark, sf_dir):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for t in ("customer", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    got = {(r.state, r.pack_id): (r.v, r.sweeps, r.converged) for r in query(spark, sf_dir).collect()}
+    rows = con.sql(sql).fetchall()
+    assert {(s, i): (pytest.approx(v, abs=2e-6), n, c) for s, i, v, n, c in rows} == got and len(rows) == len(got)
+    return got
+
+
+def test_registered_value_iteration_covers_every_state_at_the_full_discount(spark):
+    from quarry.plans import migration_queries as MQ
+    from quarry.plans import registry
+    name = "value_iteration_to_threshold"
+    got = _held_against_sql(registry.QUERIES[name], registry.oracle()[name], spark, "/root/testdata/sf0.001")
+    assert {s for s, _ in got} == {2, 3, 4} and {c for _, _, c in got.values()} == {True}
+    # two states at the low discount, against their own chain
+    two = _held_against_sql(MQ.two_states_to_threshold, MQ._threshold_sql(), spark, "/root/testdata/sf0.001")
+    assert {s for s, _ in two} == {2, 3} and two[2, 0][0] < got[2, 0][0]
