@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import backoff, chat, covertree, fairmix, fertility, langid, oddsketch, packing, repeats, warc
+from quarry.llm import (
+    backoff, blocksearch, chat, covertree, fairmix, fertility, langid, oddsketch, packing, repeats, rotated, variants, warc,
+)
 from quarry.llm.scratch import save
 
 
@@ -192,6 +194,89 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(k0, 0) AS n_unseen,
 FROM words LEFT JOIN sums USING (r)
 """
 
+def op11_blocksearch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocksearch.nearest(_table(spark, sf_dir, "embeddings"), name="op11")
+
+
+OP11_SQL = """
+WITH rows AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+usable AS (SELECT * FROM rows WHERE vec_id IS NOT NULL AND v IS NOT NULL AND len(v) > 0
+  AND len([x for x in v if x IS NULL OR NOT isfinite(x)]) = 0 AND len([x for x in v if x <> 0]) > 0),
+met AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, list_inner_product(a.v, b.v) AS score
+  FROM usable a JOIN usable b ON a.vec_id % 20 = 0 AND len(a.v) = len(b.v) AND a.r <> b.r),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM met)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"), name="op12")
+
+
+# The crc32 by its table, made by the rule; near words by the spellings with one letter left out.
+OP12_SQL = r"""
+WITH RECURSIVE bits AS (SELECT CAST(i AS BIGINT) AS i, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (SELECT r, doc_id, lower_run AS w, count(*) AS n FROM (
+    SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[a-z\x{C0}-\x{FF}]+')) AS lower_run FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents))
+  WHERE length(lower_run) >= 7 GROUP BY ALL),
+said AS (SELECT *, [unicode(c) for c in string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, '')] AS cs FROM runs),
+coded AS (SELECT w, n, flatten([CASE WHEN c < 128 THEN [c] ELSE [195, c - 64] END for c in cs]) AS bs FROM said),
+hashed AS (SELECT w, n, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], [b::BIGINT for b in bs]),
+    lambda h, b: xor(h >> 8, t[xor(h & 255, b) + 1]))) AS h FROM coded, crc),
+spelt AS (SELECT CASE WHEN h % 31 = 0 THEN left(w, CAST(h % length(w) AS INT)) || substr(w, CAST(h % length(w) AS INT) + 2) ELSE w END AS word,
+    n FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS MATERIALIZED (SELECT word, n, p, left(word, p - 1) || substr(word, p + 1) AS d
+  FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS INT) AS p FROM words)),
+near AS MATERIALIZED (
+  SELECT DISTINCT a.word, b.word AS near, b.n FROM less a JOIN less b ON a.p = b.p AND a.d = b.d AND a.word <> b.word
+    AND length(a.word) = length(b.word)
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.d = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.d = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-n, encode(near))) AS near, max(n) AS most FROM near GROUP BY word),
+told AS MATERIALIZED (SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * words.n THEN near END AS form,
+  CASE WHEN most >= 10 * words.n THEN most END AS form_n FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root, form AS further FROM told
+  UNION ALL SELECT chain.word, chain.further, told.form FROM chain JOIN told ON chain.further = told.word)
+SELECT told.word, form, chain.root, n, n_near, form_n FROM told JOIN chain ON told.word = chain.word AND chain.further IS NULL
+"""
+
+
+def op13_rotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotated.cluster(_table(spark, sf_dir, "embeddings"), name="op13")
+
+
+def _op13_sql(rounds: int = 5) -> str:
+    """Rounds as a chain of tables. Whole numbers of this size are exact as doubles."""
+    def nearest(t: int) -> str:
+        return f"""near{t} AS MATERIALIZED (SELECT r, vec_id, v, cluster, CAST(d AS BIGINT) AS distance FROM (
+  SELECT k.r, k.vec_id, k.v, c.cluster, k.s - 2 * list_inner_product(k.v, c.v) + list_inner_product(c.v, c.v) AS d FROM kept k, c{t} c)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, cluster) = 1)"""
+
+    steps = []
+    for t in range(rounds):
+        steps += [nearest(t), f"""c{t + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{t} c LEFT JOIN (
+  SELECT cluster, list(x ORDER BY p) AS v FROM (
+    SELECT cluster, p, floor(sum(x) / count(*)) AS x FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS p FROM near{t}) GROUP BY ALL)
+  GROUP BY cluster) m USING (cluster))"""]
+    return f"""
+WITH kept AS MATERIALIZED (SELECT *, list_inner_product(v, v) AS s FROM (
+  SELECT row_number() OVER () AS r, vec_id, [floor(256 * x) for x in CAST(embedding AS DOUBLE[])] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0)),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster, v FROM kept
+  QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id)) <= 40),
+{", ".join(steps)},
+{nearest(rounds)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string([CAST(x AS BIGINT) for x in c.v], ',')) AS centroid_sha256
+FROM near{rounds} JOIN c{rounds} c USING (cluster)
+"""
+
+
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op2_chat": op2_chat,
@@ -203,6 +288,9 @@ QUERIES = {
     "op8_oddsketch": op8_oddsketch,
     "op9_covertree": op9_covertree,
     "op10_langid": op10_langid,
+    "op11_blocksearch": op11_blocksearch,
+    "op12_variants": op12_variants,
+    "op13_rotated": op13_rotated,
 }
 
 #: Operators 1, 7 and 10 rest on tokenizers or a trained model, which SQL cannot express.
@@ -214,4 +302,7 @@ ORACLES: dict[str, str] = {
     "op6_fairmix": OP6_SQL,
     "op8_oddsketch": OP8_SQL,
     "op9_covertree": OP9_SQL,
+    "op11_blocksearch": OP11_SQL,
+    "op12_variants": OP12_SQL,
+    "op13_rotated": _op13_sql(),
 }
