@@ -11,19 +11,21 @@ weighs 0. Only totals are unique: tied matchings may come out either way.
    group, however long its large side is; Spark evaluates the rank as a
    partial limit before its shuffle. Absent cells are looked for among the first
    m + degree partners of the group, of which at least m are absent if so many exist.
-2. Matching. The candidates of one group, a square of the smaller side, are
-   solved by shortest augmenting paths (successive rows, reduced costs). Groups run
-   in parallel; a group's memory is m*m numbers, whatever the size of the input.
+2. Matching. Bids against a price table, then shortest augmenting paths over the reduced costs, both as
+   joins and aggregates over the candidates of all groups at once (``auction``). A group's cells are spread over
+   tasks by x or by y, and no task or driver holds a group.
+
+Weights are taken as whole numbers (exact if they are whole and their spread in a group is below the bits
+that are left, else to the finest power of two that fits, some 2^-40 of the spread), so a result is
+optimal for those, with no tolerance.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from quarry.operators.auction import best_matching
 from quarry.operators.common import require
 from quarry.operators.ordering import with_position
 from quarry.session import scratch_copy
@@ -33,73 +35,39 @@ def _checked(edges: DataFrame, group: str, x: str, y: str, w: str) -> DataFrame:
     e = edges.select(F.col(group).alias("g"), F.col(x).alias("x"), F.col(y).alias("y"),
                      F.col(w).cast("double").alias("w"))
     e = require(e, F.col("x").isNotNull() & F.col("y").isNotNull(), "an edge needs both ends")
-    e = require(e, F.col("w").isNotNull() & ~F.isnan("w"), "an edge needs a weight")
+    e = require(e, F.col("w").isNotNull() & (F.abs("w") < float("inf")), "an edge needs a finite weight")
     cells = e.groupBy("g", "x", "y").agg(F.max("w").alias("w"), F.count(F.lit(1)).alias("copies"))
     return require(cells, F.col("copies") == 1, "duplicate edge (group, x, y)").drop("copies")
 
 
-def _numbered(side: DataFrame) -> DataFrame:
-    """``(g, e, k)``: the distinct elements of a side, numbered 0.. within their group."""
-    ranked = with_position(side.distinct(), ["g", "e"], pos_col="_p")
-    first = scratch_copy(ranked.groupBy("g").agg(F.min("_p").alias("_f")), "first")
-    return ranked.alias("r").join(first.alias("f"), F.expr("r.g <=> f.g")).select(
-        "r.g", "r.e", (F.col("_p") - F.col("_f")).alias("k"))
+def _elements(e: DataFrame) -> DataFrame:
+    """``(g, side, x, y, p)``: the distinct elements of both sides (0: x, 1: y), numbered over all, so that those of
+    a group's side are consecutive."""
+    xs = e.select("g", F.lit(0).alias("side"), "x", F.lit(None).cast(e.schema["y"].dataType).alias("y"))
+    ys = e.select("g", F.lit(1).alias("side"), F.lit(None).cast(e.schema["x"].dataType).alias("x"), "y")
+    return scratch_copy(with_position(xs.unionByName(ys).distinct(), ["g", "side", "x", "y"], pos_col="p"), "elements")
 
 
-def max_total(weights: np.ndarray) -> list[int]:
-    """Column of every row in a maximum-weight matching of all rows (rows <= columns).
+def _groups(e: DataFrame, elements: DataFrame) -> DataFrame:
+    """One row per group: which side is the smaller, sizes, the first numbers of the sides, and what weights span (0 included)."""
+    def of(side: int, f) -> F.Column:
+        return f(F.when(F.col("side") == side, F.col("p")))
 
-    Rows enter one at a time; each takes the shortest augmenting path under reduced costs.
-    """
-    n, m = weights.shape
-    cost = weights.max() - weights if weights.size else weights
-    of_row, of_col = np.zeros(n), np.zeros(m + 1)
-    holder = np.full(m + 1, -1)  # the row of each column; column m is where a path starts
-    for row in range(n):
-        holder[m] = row
-        reach = np.full(m, np.inf)
-        before = np.full(m, m)
-        done = np.zeros(m + 1, dtype=bool)
-        col = m
-        while holder[col] >= 0:
-            done[col] = True
-            here = holder[col]
-            free = ~done[:m]
-            step = cost[here] - of_row[here] - of_col[:m]
-            better = free & (step < reach)
-            reach[better], before[better] = step[better], col
-            nearest = int(np.where(free, reach, np.inf).argmin())
-            gap = reach[nearest]
-            of_row[holder[done]] += gap
-            of_col[done] -= gap
-            reach[free] -= gap
-            col = nearest
-        while col != m:
-            holder[col] = holder[before[col]]
-            col = before[col]
-    out = [0] * n
-    for col in range(m):
-        if holder[col] >= 0:
-            out[holder[col]] = col
-    return out
-
-
-def _solve(cells: pd.DataFrame) -> pd.DataFrame:
-    """Matched cells of one group's candidates ``g, s, l, w, m``; ``s`` and ``l`` are numbers.
-
-    A group whose candidates leave fewer columns than rows cannot occur: every row has its m best cells.
-    """
-    rows, row_at = np.unique(cells["s"], return_inverse=True)
-    columns, col_at = np.unique(cells["l"], return_inverse=True)
-    w = np.full((len(rows), len(columns)), -np.inf)
-    w[row_at, col_at] = cells["w"]
-    # A cell that is no candidate is worse than any whole matching of candidates.
-    known = np.isfinite(w)
-    span = max(1.0, float(np.abs(w[known]).max()))
-    w[~known] = -4.0 * span * (len(rows) + 1)
-    matched = max_total(w)
-    return pd.DataFrame({"g": [cells["g"].iloc[0]] * len(rows), "s": rows, "l": columns[matched],
-                         "w": w[np.arange(len(rows)), matched]})
+    sides = elements.groupBy("g").agg(of(0, F.count).alias("nx"), of(1, F.count).alias("ny"), of(0, F.min).alias("fx"), of(1, F.min).alias("fy"))
+    weights = e.groupBy("g").agg(F.least(F.min("w"), F.lit(0.0)).alias("low"), F.greatest(F.max("w"), F.lit(0.0)).alias("high"),
+                                 F.min(F.col("w") == F.floor("w")).alias("whole"))
+    swap = F.col("nx") > F.col("ny")
+    return scratch_copy(sides.alias("s").join(weights.alias("w"), F.expr("s.g <=> w.g")).select(
+        F.col("s.g").alias("_g"), swap.alias("swap"), F.least("nx", "ny").alias("m"), F.greatest("nx", "ny").alias("n"),
+        F.when(swap, F.col("fx")).otherwise(F.col("fy")).alias("first_l"), F.col("fx").alias("grp"),
+        "low", (F.col("high") - F.col("low")).alias("span"), "whole"), "groups")
+
+
+def _unit(bits: int) -> F.Column:
+    """How many whole numbers a weight of 1 is: 1 if the group's weights are whole and span less than ``bits`` bits, else
+    the power of two that makes them span that much."""
+    as_they_are = (F.col("whole") & (F.col("span") < float(1 << bits))) | (F.col("span") == 0)
+    return F.when(as_they_are, F.lit(1.0)).otherwise(F.pow(F.lit(2.0), F.lit(bits - 1) - F.ceil(F.log2("span"))))
 
 
 def max_weight_assignment(edges: DataFrame, group: str = "grp", x: str = "x", y: str = "y",
@@ -107,41 +75,39 @@ def max_weight_assignment(edges: DataFrame, group: str = "grp", x: str = "x", y:
     """Returns ``(pairs, totals)``: ``pairs`` = (group, x, y, weight) of the matching,
     ``totals`` = (group, total, n_pairs).
 
-    Any size of either side. A null end, a null or NaN weight, or a repeated (group, x, y) is an
+    Any size of either side. A null end, a null, NaN or infinite weight, or a repeated (group, x, y) is an
     error. ``x`` and ``y`` keep their types; a null group is a group of its own.
     """
     e = scratch_copy(_checked(edges, group, x, y, weight), "edges")
-    xs = scratch_copy(_numbered(e.select("g", F.col("x").alias("e"))), "xs")
-    ys = scratch_copy(_numbered(e.select("g", F.col("y").alias("e"))), "ys")
-
-    def size(side: DataFrame, name: str) -> DataFrame:
-        return side.groupBy("g").agg(F.count(F.lit(1)).alias(name)).withColumnRenamed("g", f"_{name}")
-
-    sizes = scratch_copy(size(xs, "nx").join(size(ys, "ny"), F.expr("_nx <=> _ny")).select(
-        F.col("_nx").alias("_g"), (F.col("nx") > F.col("ny")).alias("swap"), F.least("nx", "ny").alias("m"),
-        F.greatest("nx", "ny").alias("n")), "sizes")
-    numbers = (e.alias("e").join(xs.alias("a"), F.expr("e.g <=> a.g AND e.x = a.e"))
-               .join(ys.alias("b"), F.expr("e.g <=> b.g AND e.y = b.e"))
-               .join(sizes, F.expr("e.g <=> _g"))
-               .select(F.col("e.g").alias("g"), F.when(F.col("swap"), F.col("b.k")).otherwise(F.col("a.k")).alias("s"),
-                       F.when(F.col("swap"), F.col("a.k")).otherwise(F.col("b.k")).alias("l"), "w", "m", "n"))
-    cells = scratch_copy(numbers, "cells")
+    elements = _elements(e)
+    groups = _groups(e, elements)
+    most = int(groups.agg(F.max("m")).first()[0] or 1)
+    hops = (2 * most).bit_length() + 1
+    on = elements.select("g", "side", "x", "y", "p")
+    # s and l are the numbers of an edge's ends on the smaller and the larger side of its group.
+    cells = scratch_copy(
+        e.alias("e").join(on.where("side = 0").alias("a"), F.expr("e.g <=> a.g AND e.x = a.x"))
+        .join(on.where("side = 1").alias("b"), F.expr("e.g <=> b.g AND e.y = b.y")).join(groups, F.expr("e.g <=> _g"))
+        .select("grp", F.when(F.col("swap"), F.col("b.p")).otherwise(F.col("a.p")).alias("s"),
+                F.when(F.col("swap"), F.col("a.p")).otherwise(F.col("b.p")).alias("l"), F.col("e.w").alias("w"),
+                "m", "n", "first_l", "low", _unit(60 - 2 * hops).alias("unit")), "cells")
     # Only an element without an edge to every partner can need an absent (zero) cell.
-    short = cells.groupBy("g", "s").agg(F.count(F.lit(1)).alias("d"), F.first("m").alias("m"),
-                                        F.first("n").alias("n")).where("d < n")
-    probe = short.select("g", "s", "m", F.explode(F.sequence(F.lit(0).cast("bigint"), F.least(
-        F.col("n"), F.col("m") + F.col("d")) - 1)).alias("l"))
-    absent = probe.alias("p").join(cells.alias("c"), F.expr("p.g <=> c.g AND p.s = c.s AND p.l = c.l"), "left_anti")
-    every = cells.drop("n").unionByName(absent.withColumn("w", F.lit(0.0)))
-    best = Window.partitionBy("g", "s").orderBy(F.desc("w"), F.asc("l"))
-    candidates = every.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= F.col("m")).drop("_r", "m")
-    schema = T.StructType([e.schema["g"], *T._parse_datatype_string("s bigint, l bigint, w double").fields])
-    matched = scratch_copy(candidates.groupBy("g").applyInPandas(_solve, schema), "matched")
-    sided = matched.join(sizes, F.expr("g <=> _g")).select(
-        "g", F.when(F.col("swap"), F.col("l")).otherwise(F.col("s")).alias("xk"),
-        F.when(F.col("swap"), F.col("s")).otherwise(F.col("l")).alias("yk"), "w")
-    pairs = (sided.alias("m").join(xs.alias("a"), F.expr("m.g <=> a.g AND xk = a.k"))
-             .join(ys.alias("b"), F.expr("m.g <=> b.g AND yk = b.k"))
-             .select(F.col("m.g").alias(group), F.col("a.e").alias(x), F.col("b.e").alias(y), F.col("w").alias(weight)))
-    totals = matched.groupBy(F.col("g").alias(group)).agg(F.sum("w").alias("total"), F.count(F.lit(1)).alias("n_pairs"))
+    of_group = ["grp", "m", "low", "unit"]
+    short = cells.groupBy("s").agg(F.count(F.lit(1)).alias("d"), *[F.first(c).alias(c) for c in [*of_group, "n", "first_l"]]).where("d < n")
+    probe = short.select("s", *of_group, F.explode(F.sequence(
+        F.col("first_l"), F.col("first_l") + F.least(F.col("n"), F.col("m") + F.col("d")) - 1)).alias("l"))
+    every = cells.drop("n", "first_l").unionByName(probe.join(cells, ["s", "l"], "left_anti").withColumn("w", F.lit(0.0)))
+    best = Window.partitionBy("s").orderBy(F.desc("w"), F.asc("l"))
+    candidates = scratch_copy(
+        every.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= F.col("m"))
+        .select("grp", F.col("s").alias("x"), F.col("l").alias("y"), F.col("w").alias("weight"),
+                F.round((F.col("w") - F.col("low")) * F.col("unit")).cast("long").alias("w")), "candidates")
+    found = best_matching(candidates.select("grp", "x", "y", "w"), hops)
+    matched = candidates.join(found, ["x", "y"]).select(F.col("x").alias("s"), F.col("y").alias("l"), "weight")
+    # Either side's element may be the x of an edge; the smaller side's has the group.
+    small, large = on.select(F.col("p").alias("s"), "g", F.col("x").alias("sx"), F.col("y").alias("sy")), on.select(
+        F.col("p").alias("l"), F.col("x").alias("lx"), F.col("y").alias("ly"))
+    pairs = scratch_copy(matched.join(small, "s").join(large, "l").select(
+        F.col("g").alias(group), F.coalesce("sx", "lx").alias(x), F.coalesce("sy", "ly").alias(y), F.col("weight").alias(weight)), "pairs")
+    totals = pairs.groupBy(group).agg(F.sum(weight).alias("total"), F.count(F.lit(1)).alias("n_pairs"))
     return pairs, totals

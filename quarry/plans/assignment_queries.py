@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.assignment import max_weight_assignment as _mwa
+from quarry.operators.ordering import with_position
 from quarry.plans.tables import table
 
 
@@ -51,8 +52,13 @@ def large_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     optimum pairs the two in order of their counts."""
     nations = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("x")).agg(F.count(F.lit(1)).alias("a"))
     brands = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("y")).agg(F.count(F.lit(1)).alias("b"))
-    # 25 nations and 25 brands, whatever the size of the tables.
-    cells = nations.join(brands, F.lit(True)).select(F.lit(0).alias("grp"), "x", "y", (F.col("a") * F.col("b")).cast("double").alias("weight"))
+    # Every nation with every brand, by their numbers (25 and 25, whatever the size of the tables).
+    nations = with_position(nations, ["x"], pos_col="i")
+    brands = with_position(brands, ["y"], pos_col="j")
+    n, m = nations.count(), brands.count()
+    cells = (spark.range(n * m).select(F.floor(F.col("id") / max(m, 1)).alias("i"), (F.col("id") % max(m, 1)).alias("j"))
+             .join(nations, "i").join(brands, "j")
+             .select(F.lit(0).alias("grp"), "x", "y", (F.col("a") * F.col("b")).cast("double").alias("weight")))
     _, totals = _mwa(cells)
     return totals.select("total", "n_pairs")
 
