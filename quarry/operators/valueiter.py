@@ -2,19 +2,21 @@
 
 V_s(i) = sum_t p(s->t) * min_j (cost(i, j) + gamma * V_t(j))
 
-One path for every size: the cost table holds each unordered migration once, is
-written to the shared checkpoint directory, and an update of state s reads the
-slices that touch s, the ones stored the other way round with their ends swapped.
-V has one row per pack and is joined by whatever join Spark's own size estimates
-choose. The minimum per (pack, target) is a partial aggregate, so each task
-sends one row per pack and target, however many partners it has seen. The new
-values of an update are written to shared storage (lineage stays one update deep);
-the change and the row count are observed in the same job. Only those scalars, and the
-transition table's few rows, reach the driver.
+One path for every size. The cost table holds each unordered migration once, on shared storage. The
+loop lays it out once per state: the messages that an update of the state reads, partitioned and sorted by
+the pack that sends them, ``(to_state, to_id)``, and cached. Besides the costs, every pack sends its own value
+to itself, so an update is a function of V alone: it carries the packs of all other states along. V comes out
+of an update partitioned by ``(state, pack_id)``, which is how the next one reads it. An update is therefore
+a merge join without an exchange, a partial minimum, and one exchange of a row per pack and
+task; several sweeps of updates go into one job, and V is written to shared storage between jobs. A sweep's
+change per state travels with the rows and is summed by the job's observation. If a sweep in the middle
+of a job meets the threshold, the job is run again up to that sweep.
+
+Only observed scalars, and the transition table's few rows, reach the driver. Nothing is broadcast.
 
 In-order sweeps (the default) refresh states in ascending order, each seeing
 values already refreshed in the same sweep; ``mode='synchronous'`` updates
-every state from the previous sweep in one job. Both converge to the same fixed
+every state from the previous sweep at once. Both converge to the same fixed
 point (the update is a gamma-contraction). A state without outgoing
 transitions is absorbing and keeps V = 0.
 """
@@ -36,6 +38,9 @@ MAX_SWEEPS = 60
 THRESHOLD = 5.0
 INITIAL_VALUE = 0.0
 
+# Sweeps in one job: longer plans cost more to re-plan between their stages than the jobs they save.
+SWEEPS_PER_JOB = 2
+
 
 def transition_probs(transitions: DataFrame) -> DataFrame:
     """``(from_state, to_state, weight, p)`` with p = weight / sum of weights leaving the state."""
@@ -107,13 +112,6 @@ class IterationResult:
     converged: bool = False
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def _check_costs(cost: CostTable, transitions: list[tuple[int, int]], counts: dict[int, int]) -> None:
     """Every transition needs a cost for every pack against every pack of its target."""
     rows = cost.stored.groupBy("from_state", "to_state").agg(
@@ -125,87 +123,111 @@ def _check_costs(cost: CostTable, transitions: list[tuple[int, int]], counts: di
             raise ValueError(f"migration {a} -> {b}: {got} costs, expected {want}")
 
 
-class _Values:
-    """V per state in scratch tables; a state's table is dropped when a newer one has been read past."""
+class _Messages:
+    """What the updates of one state, or of several at once, read from V: costs of their migrations, and every pack
+    to itself. Laid out by sender, the key that V comes by, and cached on top of the cost files."""
+
+    def __init__(self, cost: CostTable, packs: DataFrame, updated: list[int], states: list[int], p: dict[tuple[int, int], float],
+                 gamma: float):
+        self.updated, self.states, self.p = updated, states, p
+        wanted = F.lit(False)
+        for a, t in p:
+            if a in updated:
+                wanted = wanted | ((F.col("from_state") == a) & (F.col("to_state") == t))
+        moves = cost.leaving(updated).where(wanted).withColumn("share", F.lit(gamma))
+        own = packs.select(F.col("state").alias("from_state"), F.col("pack_id").alias("from_id"), F.col("state").alias("to_state"),
+                           F.col("pack_id").alias("to_id"), F.lit(0.0).alias("cost"), F.lit(1.0).alias("share"))
+        parts = int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        by_sender = ["to_state", "to_id"]
+        self.rows = (moves.select(*own.columns).unionByName(own).repartition(parts, *by_sender).sortWithinPartitions(*by_sender)
+                     .persist(StorageLevel.MEMORY_AND_DISK))
+
+    def update(self, values: DataFrame, sweep: str, sweeps: list[str]) -> DataFrame:
+        """``values`` (``state, pack_id, v`` and the change of each sweep of the job) after the update."""
+        sent = values.withColumnsRenamed({"state": "to_state", "pack_id": "to_id"})
+        own = F.col("to_state") == F.col("from_state")
+        least = [F.min(F.when(F.col("to_state") == t, F.col("cost") + F.col("share") * F.col("v"))).alias(f"_m{t}") for t in self.states]
+        kept = [F.min(F.when(own, F.col(d))).alias(d) for d in sweeps]
+        got = self.rows.join(sent, ["to_state", "to_id"]).groupBy("from_state", "from_id").agg(*least, *kept)
+        old = new = F.coalesce(*[F.when(F.col("from_state") == t, F.col(f"_m{t}")) for t in self.states])
+        for s in self.updated:
+            terms = [F.lit(q) * F.col(f"_m{t}") for (a, t), q in sorted(self.p.items()) if a == s]
+            total = terms[0]
+            for term in terms[1:]:
+                total = total + term
+            new = F.when(F.col("from_state") == s, total).otherwise(new)
+        change = F.when(F.col("from_state").isin(self.updated), F.abs(new - old)).otherwise(F.col(sweep))
+        return got.select(F.col("from_state").alias("state"), F.col("from_id").alias("pack_id"), new.alias("v"),
+                          *[(change if d == sweep else F.col(d)).alias(d) for d in sweeps])
+
 
-    def __init__(self, packs: DataFrame, states: list[int], initial: float):
-        self.spark = packs.sparkSession
-        self.paths: dict[int, str] = {}
-        self.of: dict[int, DataFrame] = {}
-        start = packs.select("state", "pack_id", F.lit(float(initial)).alias("v"))
-        for s in states:
-            self.put(s, start.where(F.col("state") == s))
+class _Values:
+    """V on shared storage: ``path`` is read until ``keep`` puts the next table in its place."""
 
-    def put(self, state: int, values: DataFrame) -> None:
-        path = scratch_table_path(self.spark, f"v{state}")
-        values.select(F.col("state").cast("int"), "pack_id", "v").write.parquet(path)
-        old = self.paths.get(state)
-        self.paths[state] = path
-        self.of[state] = self.spark.read.schema("state INT, pack_id BIGINT, v DOUBLE").parquet(path)
-        if old:
-            drop_scratch(self.spark, old)
+    def __init__(self, spark, start: DataFrame):
+        self.spark, self.path = spark, None
+        self.keep(self.write(start))
 
-    def all(self) -> DataFrame:
-        return _union([self.of[s] for s in sorted(self.of)])
+    def write(self, values: DataFrame) -> str:
+        path = scratch_table_path(self.spark, "v")
+        values.select(F.col("state").cast("int"), F.col("pack_id").cast("bigint"), "v").write.parquet(path)
+        return path
 
+    def keep(self, path: str) -> None:
+        if self.path:
+            drop_scratch(self.spark, self.path)
+        self.path = path
 
-def _observed(new: DataFrame, values: DataFrame) -> tuple[DataFrame, Observation]:
-    """Attach the previous value and observe the L1 change and the row count of a write."""
-    old = values.select("state", "pack_id", F.col("v").alias("_old"))
-    obs = Observation()
-    return (new.join(old, ["state", "pack_id"])
-            .observe(obs, F.sum(F.abs(F.col("v") - F.col("_old"))).alias("diff"), F.count(F.lit(1)).alias("rows"))
-            .drop("_old"), obs)
+    def read(self) -> DataFrame:
+        return self.spark.read.schema("state INT, pack_id BIGINT, v DOUBLE").parquet(self.path)
 
 
-def _change(obs: Observation, expected: int, what: str) -> float:
-    got = obs.get
-    if got["rows"] != expected:
-        raise ValueError(f"{what}: {got['rows']} packs received a value, expected {expected}")
-    return float(got["diff"] or 0.0)
+def _run(values: _Values, messages: list[_Messages], n: int, n_packs: int) -> tuple[str, list[float]]:
+    """``n`` sweeps in one job: where the new values are, and the change of each sweep."""
+    sweeps = [f"_d{i}" for i in range(n)]
+    state = values.read().select("*", *[F.lit(0.0).alias(d) for d in sweeps])
+    for d in sweeps:
+        for m in messages:
+            state = m.update(state, d, sweeps)
+    seen = Observation()
+    path = values.write(state.observe(seen, F.count("v").alias("packs"), *[F.sum(d).alias(d) for d in sweeps]))
+    if seen.get["packs"] != n_packs:
+        raise ValueError(f"{seen.get['packs']} packs have a value, expected {n_packs}")
+    return path, [float(seen.get[d] or 0.0) for d in sweeps]
 
 
 def value_iteration(cost: CostTable, probs: DataFrame, packs: DataFrame, gamma: float = GAMMA,
                     max_sweeps: int = MAX_SWEEPS, threshold: float | None = THRESHOLD,
-                    mode: str = "in_order", initial: float = INITIAL_VALUE) -> IterationResult:
+                    mode: str = "in_order", initial: float = INITIAL_VALUE,
+                    sweeps_per_job: int = SWEEPS_PER_JOB) -> IterationResult:
     """Iterate until a sweep changes V by less than ``threshold`` in total (checked
-    after the sweep) or ``max_sweeps`` sweeps ran; ``threshold=None`` runs all."""
+    after the sweep) or ``max_sweeps`` sweeps ran; ``threshold=None`` runs all.
+    ``sweeps_per_job`` changes how sweeps are grouped into jobs, and no result."""
     if mode not in ("in_order", "synchronous"):
         raise ValueError("mode must be 'in_order' or 'synchronous'")
-    spark = packs.sparkSession
     # One row per transition and per state, the size of the cluster being planned.
-    p_rows = probs.select("from_state", "to_state", "p").collect()
-    probs = spark.createDataFrame([(r["from_state"], r["to_state"], float(r["p"])) for r in p_rows],
-                                  "from_state INT, to_state INT, p DOUBLE")
-    moves = [(r["from_state"], r["to_state"]) for r in p_rows]
+    p = {(r["from_state"], r["to_state"]): float(r["p"]) for r in probs.select("from_state", "to_state", "p").collect()}
     counts = {r["state"]: r["n"] for r in packs.groupBy("state").agg(F.count(F.lit(1)).alias("n")).collect()}
-    states = sorted(set(counts) | {s for move in moves for s in move})
+    states = sorted(set(counts) | {s for move in p for s in move})
     missing = [s for s in states if s not in counts]
     if missing:
         raise ValueError(f"no packs for states {missing}")
-    _check_costs(cost, moves, counts)
-    active = sorted({a for a, _ in moves})
-    values = _Values(packs, states, initial)
+    _check_costs(cost, sorted(p), counts)
+    active = sorted({a for a, _ in p})
+    values = _Values(packs.sparkSession, packs.select("state", "pack_id", F.lit(float(initial)).alias("v")))
     diffs: list[float] = []
     converged = False
-    cost.stored.persist(StorageLevel.MEMORY_AND_DISK)  # on top of the files; lost blocks are read again
+    together = [[s] for s in active] if mode == "in_order" else [active] if active else []
+    messages = [_Messages(cost, packs, group, states, p, gamma) for group in together]
     while len(diffs) < max_sweeps and not converged:
-        diff = 0.0
-        if mode == "in_order":
-            for s in active:
-                new, obs = _observed(bellman_update(cost, probs, values.all(), gamma, from_state=s), values.of[s])
-                values.put(s, new)
-                diff += _change(obs, counts[s], f"state {s}")
-        else:
-            new, obs = _observed(bellman_update(cost, probs, values.all(), gamma), values.all())
-            path = scratch_table_path(spark, "v")
-            new.write.parquet(path)
-            diff = _change(obs, sum(counts[s] for s in active), "sweep")
-            new = spark.read.schema("state INT, pack_id BIGINT, v DOUBLE").parquet(path)
-            for s in active:
-                values.put(s, new.where(F.col("state") == s))
-            drop_scratch(spark, path)
-        diffs.append(diff)
-        converged = threshold is not None and diff < threshold
-    cost.stored.unpersist()
-    return IterationResult(values.all(), len(diffs), diffs[-1] if diffs else 0.0, diffs, converged)
+        path, changes = _run(values, messages, min(sweeps_per_job, max_sweeps - len(diffs)), sum(counts.values()))
+        under = [i for i, d in enumerate(changes, 1) if threshold is not None and d < threshold]
+        converged = bool(under)
+        if under and under[0] < len(changes):  # ended within the job: again, up to there
+            drop_scratch(packs.sparkSession, path)
+            path, changes = _run(values, messages, under[0], sum(counts.values()))
+        values.keep(path)
+        diffs += changes
+    for m in messages:
+        m.rows.unpersist()
+    return IterationResult(values.read(), len(diffs), diffs[-1] if diffs else 0.0, diffs, converged)
