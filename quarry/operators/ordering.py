@@ -4,7 +4,7 @@
 the data to one task: rows are range-partitioned (sampled bounds, so a hot key
 range is split), sorted inside each partition, and given a partition-local
 index; per-partition counts (one row per partition) become offsets that are
-broadcast back. The range-partitioned frame is checkpointed to the shared
+broadcast back. The range-partitioned frame is written to the shared
 checkpoint directory first, so the numbering survives a lost executor and the
 two passes see the same partitions.
 """
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import reliable_checkpoint
+from quarry.session import scratch_copy
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the record number in the low 33 bits
 
@@ -39,7 +39,7 @@ def range_sorted(df: DataFrame, keys: list[str | Column], n_partitions: int | No
 def with_position(df: DataFrame, keys: list[str | Column], pos_col: str = "pos",
                   n_partitions: int | None = None) -> DataFrame:
     ranged = range_sorted(df, keys, n_partitions).withColumn("_rid", F.monotonically_increasing_id())
-    ranged = reliable_checkpoint(ranged)
+    ranged = scratch_copy(ranged, "ranged")
     part = F.shiftright(F.col("_rid"), _LOCAL_BITS)
     local = F.col("_rid").bitwiseAND((1 << _LOCAL_BITS) - 1)
     counts = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
@@ -50,3 +50,20 @@ def with_position(df: DataFrame, keys: list[str | Column], pos_col: str = "pos",
     out = (ranged.join(F.broadcast(offsets), part == offsets["_part"])
            .withColumn(pos_col, F.col("_offset") + local))
     return out.drop("_rid", "_part", "_offset")
+
+
+def running_sums(df: DataFrame, group: str, order: str, values: list[str], block_rows: int = 100_000) -> DataFrame:
+    """Replace each of ``values`` by its inclusive running sum within ``group`` in the order of ``order``.
+
+    Rows are numbered by distributed position and summed in blocks of positions, then one row per block: no
+    task holds a group. ``(group, order)`` must be unique.
+    """
+    placed = with_position(df, [group, order], pos_col="_p").withColumn("_block", F.floor(F.col("_p") / F.lit(block_rows)))
+    placed = scratch_copy(placed, "placed")
+    inside = Window.partitionBy(group, "_block").orderBy(order)
+    before = Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy(group, "_block").agg(*[F.sum(v).alias(v) for v in values]).select(
+        group, "_block", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_{v}") for v in values])
+    within = placed.select("*", *[F.sum(v).over(inside).alias(f"_in_{v}") for v in values])
+    return within.join(sums, [group, "_block"]).select(
+        *[(F.col(f"_{c}") + F.col(f"_in_{c}")).alias(c) if c in values else F.col(c) for c in df.columns])

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -50,21 +51,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint directory and cut its lineage.
-
-    Keeps the output partitioning and ordering, so later aggregations on the
-    same keys do not shuffle again.
-    """
-    checkpoint_dir(df.sparkSession)
-    # Persist first: the checkpoint file is written by a second job that would
-    # otherwise recompute the whole plan.
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = staged.checkpoint(eager=True)
-    staged.unpersist(blocking=False)
-    return out
-
-
 def scratch_copy(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint directory and read back: lineage is cut,
     and a lost executor costs a re-read."""
@@ -77,9 +63,52 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     """Remove a scratch table that nothing reads any more (through Hadoop's file system, so on any store)."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    for scope in _open:
+        scope.paths = [p for p in scope.paths if p != path]
+
+
+class ScratchScope:
+    """Scratch tables made while the scope is the innermost one, and the results that may still read them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+        self.results: list[DataFrame] = []
+
+    def keep(self, result: DataFrame) -> DataFrame:
+        """``result`` outlives the scope: the tables that it reads itself stay."""
+        self.results.append(result)
+        return result
+
+    def close(self) -> None:
+        read = {part for result in self.results for file in result.inputFiles() for part in file.split("/")}
+        for path in list(self.paths):
+            if path.rsplit("/", 1)[-1] not in read:
+                drop_scratch(self.spark, path)
+
+
+_open: list[ScratchScope] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[ScratchScope]:
+    """Remove the scratch tables made inside once the block ends, but for those that kept results read.
+
+    Their names are unique, so a table is told by its name in a result's input files. Cached
+    frames are the maker's to release.
+    """
+    scope = ScratchScope(spark)
+    _open.append(scope)
+    try:
+        yield scope
+    finally:
+        _open.remove(scope)
+        scope.close()
 
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the checkpoint directory for an intermediate table."""
-    root = checkpoint_dir(spark)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    """A fresh path under the checkpoint directory for an intermediate table, removed with the innermost open scope."""
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    if _open:
+        _open[-1].paths.append(path)
+    return path
