@@ -30,7 +30,6 @@ from quarry.session import scratch_copy
 
 # Fixed value: earliest kept tweet time (one minute past midnight, as in the job).
 DEFAULT_SINCE = _dt.datetime(2011, 1, 1, 0, 1, 0)
-JSON_SCHEMA = "created_at STRING, text STRING"
 SLASH_PATTERN = "yyyy/MM/dd HH:mm:ss"
 
 
@@ -41,25 +40,34 @@ def _ntz_literal(t: _dt.datetime):
 
 
 def parse_json_records(lines: DataFrame, value_col: str = "value", honor_offset: bool = False) -> DataFrame:
-    """``(epoch, wall, text, valid)`` per line; ``valid`` false for bad JSON, a bad
-    time, or an explicit ``"text": null``."""
-    value = F.col(value_col)
-    parsed = lines.select(value.alias("_line")).select(
-        "_line", F.from_json("_line", JSON_SCHEMA).alias("_r"),
-        F.schema_of_variant(F.try_variant_get(F.try_parse_json("_line"), "$.text", "variant")).alias("_kind"))
-    when = parse_tweet_time(F.col("_r.created_at"))
-    # A key that is present with a null value is an error; only a missing key defaults to ''.
-    text_key_present = F.array_contains(F.json_object_keys(F.col("_line")), "text")
-    # A text that is a number, a boolean or a structure is an error too.
-    is_string = F.coalesce(F.col("_kind") == "STRING", F.lit(True))
-    text = F.when(F.col("_r.text").isNotNull() & is_string, F.col("_r.text")) \
-            .when(~F.coalesce(text_key_present, F.lit(False)), F.lit(""))
+    """``(value, epoch, wall, text, valid)`` per line; ``valid`` false for bad JSON, a bad
+    time, or an explicit ``"text": null``.
+
+    A line is parsed once, to a variant from which both fields come. Bad JSON includes
+    a key given twice.
+    """
+    parsed = lines.select(F.col(value_col).alias("value"), F.try_parse_json(F.col(value_col)).alias("_v"))
+    fields = parsed.select("value", F.col("_v").isNotNull().alias("_json"),
+                           F.try_variant_get("_v", "$.created_at", "string").alias("_created"),
+                           F.try_variant_get("_v", "$.text", "variant").alias("_text"))
+    when = parse_tweet_time(F.col("_created"))
+    # Only a missing key defaults to ''; null, a number, a boolean or a structure is an error.
+    text = (F.when(F.schema_of_variant("_text") == "STRING", F.try_variant_get("_text", "$", "string"))
+            .when(F.col("_json") & F.col("_text").isNull(), F.lit("")))
     wall = when["wall"]
     epoch = epoch_seconds(wall)
     if honor_offset:
         epoch = epoch - when["offset_seconds"]
-    return parsed.select(epoch.alias("epoch"), wall.alias("wall"), text.alias("text"),
-                         (wall.isNotNull() & text.isNotNull()).alias("valid"))
+    told = fields.select("value", epoch.alias("epoch"), wall.alias("wall"), text.alias("text"))
+    return told.withColumn("valid", F.col("wall").isNotNull() & F.col("text").isNotNull())
+
+
+def _rendered(records: DataFrame, since: _dt.datetime | None) -> DataFrame:
+    """``(epoch, text, line)`` of valid records from ``since`` on."""
+    if since is not None:
+        records = records.where(F.col("wall") >= _ntz_literal(since))
+    line = F.concat(F.col("epoch").cast("string"), F.lit("@"), replace_newlines(F.col("text")))
+    return records.select("epoch", "text", line.alias("line"))
 
 
 def json_time_records(lines: DataFrame, since: _dt.datetime | None = DEFAULT_SINCE,
@@ -73,16 +81,37 @@ def json_time_records(lines: DataFrame, since: _dt.datetime | None = DEFAULT_SIN
         recs = require(recs, F.col("valid"), "unparsable JSON record, time, or null text")
     else:
         recs = recs.where(F.col("valid"))
-    if since is not None:
-        recs = recs.where(F.col("wall") >= _ntz_literal(since))
-    line = F.concat(F.col("epoch").cast("string"), F.lit("@"), replace_newlines(F.col("text")))
-    return recs.select("epoch", "text", line.alias("line"))
+    return _rendered(recs, since)
+
+
+def json_time_split(lines: DataFrame, since: _dt.datetime | None = DEFAULT_SINCE, honor_offset: bool = False,
+                    counts: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(records, rejects)``: what ``json_time_records`` keeps, and the raw lines that are no valid record.
+
+    The lines are parsed once, into a scratch table that both sides read; of a valid record it holds no raw line.
+    ``counts``, if given, has ``kept``, ``early`` (valid, but before ``since``) and ``rejected`` after that pass.
+    """
+    recs = parse_json_records(lines, honor_offset=honor_offset)
+    if counts is not None:
+        early = F.lit(False) if since is None else F.col("wall") < _ntz_literal(since)
+        recs = recs.observe(counts, F.count_if(F.col("valid") & ~early).alias("kept"),
+                            F.count_if(F.col("valid") & early).alias("early"), F.count_if(~F.col("valid")).alias("rejected"))
+    recs = scratch_copy(recs.withColumn("value", F.when(~F.col("valid"), F.col("value"))), "json-records")
+    return _rendered(recs.where("valid"), since), recs.where(~F.col("valid")).select("value")
 
 
 def json_time_sort(lines: DataFrame, since: _dt.datetime | None = DEFAULT_SINCE,
                    n_partitions: int | None = None, on_error: str = "fail",
-                   honor_offset: bool = False, with_pos: bool = False) -> DataFrame:
-    recs = json_time_records(lines, since, on_error, honor_offset)
+                   honor_offset: bool = False, with_pos: bool = False,
+                   counts: Observation | None = None) -> DataFrame:
+    """Records in time order, ties by line. They are parsed once and staged; the sampling of the range bounds and the
+    sort read the staged rows. ``on_error='drop'`` leaves rejects out, ``counts`` reports them (``json_time_split``)."""
+    if on_error == "fail":
+        recs = scratch_copy(json_time_records(lines, since, on_error, honor_offset), "json-records")
+    elif on_error == "drop":
+        recs, _ = json_time_split(lines, since, honor_offset, counts)
+    else:
+        raise ValueError("on_error must be 'fail' or 'drop'")
     keys = ["epoch", "line"]
     return with_position(recs, keys, n_partitions=n_partitions) if with_pos \
         else range_sorted(recs, keys, n_partitions)

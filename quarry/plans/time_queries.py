@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import timesort
@@ -26,8 +26,10 @@ def _clock(ts: str) -> F.Column:
     return F.format_string("%02d:%02d:%02d", F.hour(ts), F.minute(ts), F.second(ts))
 
 
-def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def json_lines(spark: SparkSession, sf_dir: str, which: F.Column | None = None) -> DataFrame:
     ev = table(spark, sf_dir, "events")
+    if which is not None:
+        ev = ev.where(which)
     offset = F.when(F.col("event_type") == "view", F.lit("-0500")).otherwise(F.lit("+0000"))
     day = F.date_format(F.col("ts").cast("date"), "EEE MMM dd")
     created = F.concat_ws(" ", day, _clock("ts"), offset, F.format_string("%04d", F.year("ts")))
@@ -37,6 +39,18 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(line.alias("value"))
 
 
+def json_lines_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON lines, but ``error`` events as no JSON, ``view`` events with a null text, ``signup`` events without a time."""
+    ev = table(spark, sf_dir, "events")
+    number = F.col("event_id").cast("string")
+    broken = (F.when(F.col("event_type") == "error", F.concat(F.lit("not json "), number))
+              .when(F.col("event_type") == "view",
+                    F.concat(F.lit('{"created_at":"Mon Jan 01 00:00:00 +0000 2024","text":null,"id":'), number, F.lit("}")))
+              .when(F.col("event_type") == "signup", F.concat(F.lit('{"text":"no time","id":'), number, F.lit("}"))))
+    good = json_lines(spark, sf_dir, F.col("event_type").isin("click", "purchase"))
+    return good.unionByName(ev.select(broken.alias("value")).where(F.col("value").isNotNull()))
+
+
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     fields = [F.year("ts"), F.month("ts"), F.dayofmonth("ts"), F.hour("ts"), F.minute("ts"), F.second("ts")]
@@ -58,6 +72,20 @@ def json_time_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timesort.json_time_sort(json_lines(spark, sf_dir), with_pos=True).select("pos", "epoch", "line")
 
 
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that are no valid record, as they came."""
+    return timesort.json_time_split(json_lines_with_rejects(spark, sf_dir))[1]
+
+
+def json_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the one parse has seen: records kept, records before the bound, rejects; and how many of the kept were sorted."""
+    seen = Observation()
+    ordered = timesort.json_time_sort(json_lines_with_rejects(spark, sf_dir), since=SINCE, on_error="drop", with_pos=True, counts=seen)
+    told = seen.get
+    return ordered.agg(F.count(F.lit(1)).alias("sorted"), F.max("pos").alias("last_pos")).select(
+        F.lit(told["kept"]).alias("kept"), F.lit(told["early"]).alias("early"), F.lit(told["rejected"]).alias("rejected"), "sorted", "last_pos")
+
+
 def csv_time_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered, _ = timesort.csv_time_sort(csv_lines(spark, sf_dir), with_pos=True)
     return ordered.select("pos", "epoch", "value")
@@ -72,6 +100,8 @@ QUERIES = {
     "json_time_extract": json_time_extract,
     "json_time_since": json_time_since,
     "json_time_sort": json_time_sort,
+    "json_rejects": json_rejects,
+    "json_reject_counts": json_reject_counts,
     "csv_time_sort": csv_time_sort,
     "csv_rejects": csv_rejects,
 }
@@ -109,6 +139,13 @@ def oracle() -> dict[str, str]:
         "json_time_sort": (f"{_JSON_EXPECTED}, lined AS (SELECT epoch, CAST(epoch AS VARCHAR) || '@' || "
                            "replace(text, chr(10), ' ') AS line FROM recs WHERE wall >= TIMESTAMP '2011-01-01 00:01:00') "
                            "SELECT row_number() OVER (ORDER BY epoch, line) - 1 AS pos, epoch, line FROM lined"),
+        "json_rejects": """SELECT CASE event_type WHEN 'error' THEN 'not json ' || event_id
+  WHEN 'view' THEN '{"created_at":"Mon Jan 01 00:00:00 +0000 2024","text":null,"id":' || event_id || '}'
+  ELSE '{"text":"no time","id":' || event_id || '}' END AS value FROM events WHERE event_type IN ('error', 'view', 'signup')""",
+        "json_reject_counts": f"""WITH seen AS (SELECT event_type NOT IN ('click', 'purchase') AS bad,
+  date_trunc('second', ts) < TIMESTAMP '{since}' AS early FROM events)
+SELECT count(*) FILTER (NOT bad AND NOT early) AS kept, count(*) FILTER (NOT bad AND early) AS early, count(*) FILTER (bad) AS rejected,
+  count(*) FILTER (NOT bad AND NOT early) AS sorted, count(*) FILTER (NOT bad AND NOT early) - 1 AS last_pos FROM seen""",
         "csv_time_sort": (f"{_CSV_LINES} SELECT row_number() OVER (ORDER BY epoch(t)::BIGINT, value) - 1 AS pos, "
                           "epoch(t)::BIGINT AS epoch, value FROM parsed WHERE t IS NOT NULL"),
         "csv_rejects": f"{_CSV_LINES} SELECT value FROM parsed WHERE t IS NULL",

@@ -123,3 +123,22 @@ def test_equal_lines_are_split_over_partitions(spark):
     same = _lines(spark, ["1,2024/01/02 03:04:05,x"] * 4000).repartition(8)
     sizes = range_sorted(same, ["value"], 8).rdd.glom().map(len).collect()
     assert sum(sizes) == 4000 and max(sizes) < 1500
+
+
+def test_json_rejects_and_counts_come_from_one_parse(spark):
+    from pyspark.sql import Observation
+
+    from plans import plan_text
+    seen = Observation()
+    bad = ["not json", '{"text": "no time"}', _json("Mon Jun 16 10:00:00 +0000 2014", None), '{"created_at": 5}', "[1]", "", None,
+           '{"text": "a", "text": "b"}']
+    lines = _lines(spark, [_json("Mon Jun 16 10:00:00 +0000 2014", "b"), _json("Sat Jan 01 00:00:59 +0000 2011", "early"),
+                           _json("Mon Jun 16 10:00:00 +0000 2014", with_text=False), *bad])
+    records, rejects = timesort.json_time_split(lines, counts=seen)
+    assert seen.get == {"kept": 2, "early": 1, "rejected": len(bad)}
+    assert sorted(r.text for r in records.collect()) == ["", "b"]
+    assert sorted(str(r.value) for r in rejects.collect()) == sorted(map(str, bad))
+    assert plan_text(timesort.parse_json_records(lines)).count("try_parse_json") <= 1 or \
+        plan_text(timesort.parse_json_records(lines)).count("parse_json(") == 1
+    ordered = timesort.json_time_sort(lines, on_error="drop", with_pos=True)
+    assert [(r.pos, r.text) for r in ordered.orderBy("pos").collect()] == [(0, ""), (1, "b")]
