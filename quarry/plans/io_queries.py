@@ -5,7 +5,7 @@ Files go to the shared checkpoint directory; every query returns what its reader
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.plans import migration_queries as MQ
@@ -21,19 +21,29 @@ def _runs_text() -> F.Column:
     return F.array_join(F.col("runs").cast("array<string>"), ",")
 
 
-def _packs_folder(spark: SparkSession, packs: DataFrame, states: list[int], line: F.Column) -> str:
+N_FILES = 8  # files per migration of the pair-cost sink
+PACKS_PER_FILE = 500  # lines per file of packs without ids
+
+
+def _packs_folder(spark: SparkSession, packs: DataFrame, states: list[int], line: F.Column, per_file: int | None = None) -> str:
+    """Pack files per state; with ``per_file``, files of so many packs whose path order is the order of the ids."""
     root = scratch_table_path(spark, "packs")
     for k in states:
-        writers.write_ordered_text(packs.where(F.col("state") == k).select("pack_id", line.alias("line")),
-                                   ["pack_id"], "line", f"{root}/state_{k}")
+        own = packs.where(F.col("state") == k)
+        if per_file is None:
+            own.select(line.alias("value")).write.text(f"{root}/state_{k}")
+            continue
+        part = F.format_string("%09d", F.floor(F.col("pack_id") / per_file))
+        (own.select("pack_id", line.alias("value"), part.alias("part")).repartition("part").sortWithinPartitions("part", "pack_id")
+         .select("value", "part").write.partitionBy("part").text(f"{root}/state_{k}"))
     return root
 
 
 def lines_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ordered text sink and line reader."""
+    """Ordered text sink and line reader, in at least 16 splits."""
     path = scratch_table_path(spark, "lines")
     writers.write_ordered_text(TM.csv_lines(spark, sf_dir), ["value"], "value", path)
-    return read_lines(spark, path)
+    return read_lines(spark, path, min_partitions=16)
 
 
 def word_list_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,21 +82,32 @@ def packs_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packs_by_offset_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Packs without ids, several files per state: their order is the order of the ids given by offset."""
+    """Packs without ids, several files per state: which file each is in, and the byte it starts at."""
     inp = MQ.Inputs(spark, sf_dir)
-    root = _packs_folder(spark, inp.packs, inp.states, _runs_text())
+    root = _packs_folder(spark, inp.packs, inp.states, _runs_text(), PACKS_PER_FILE)
     return M.read_packs_by_offset(spark, root, inp.states).select(
-        "state", (F.col("pack_id") % M.FILE_STRIDE >= 0).alias("in_file"), _runs_text().alias("runs"))
+        "state", "pack_id", "file_number", "offset", _runs_text().alias("runs"))
 
 
 def pair_costs_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ordered pair costs per migration, read back and summed per from-pack."""
+    """Ordered pair costs per migration, each file read back in its stored order and held against the manifest's bounds."""
     path = scratch_table_path(spark, "pair-costs")
-    writers.write_pair_costs(MQ.Inputs(spark, sf_dir).gains(), path)
-    back = spark.read.schema("from_id BIGINT, to_id BIGINT, gain DOUBLE, cost DOUBLE, from_state INT, to_state INT").parquet(path)
-    return back.groupBy("from_state", "to_state", "from_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min("cost").alias("cheapest"), F.max("gain").alias("best"),
-        F.round(F.sum("cost"), MQ.ROUND).alias("total"))
+    inp = MQ.Inputs(spark, sf_dir)
+    place = F.col("from_idx") * F.lit(0)
+    for a, b in inp.migrations:
+        here = (F.col("from_state") == a) & (F.col("to_state") == b)
+        place = F.when(here, F.col("from_idx") * inp.counts[b] + F.col("to_idx")).otherwise(place)
+    manifest = writers.write_pair_costs(inp.gains().withColumn("place", place), path, N_FILES, position="place")
+    files = ["from_state", "to_state", "file"]
+    stored = Window.partitionBy(*files).orderBy("row")
+    back = writers.read_pair_costs(spark, path).select("*", F.col("_metadata.row_index").alias("row"), F.struct("from_id", "to_id").alias("key"))
+    seen = back.withColumn("rises", F.coalesce(F.lag("key").over(stored) < F.col("key"), F.lit(True))).groupBy(*files).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"), F.min("rises").alias("rises"),
+        F.round(F.sum("cost"), MQ.ROUND).alias("total"), F.max("gain").alias("best"))
+    agrees = F.col("rises") & (F.col("low") == F.col("first")) & (F.col("high") == F.col("last")) & (F.col("rows") == F.col("n"))
+    return manifest.join(seen, files).select(
+        *files, "n", F.col("first.from_id").alias("first_from"), F.col("first.to_id").alias("first_to"),
+        F.col("last.from_id").alias("last_from"), F.col("last.to_id").alias("last_to"), agrees.alias("ordered"), "total", "best")
 
 
 def state_values_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +139,9 @@ def oracle() -> dict[str, str]:
         "sizes_read": "SELECT CAST(c_nationkey AS INTEGER) AS idx, count(*)::DOUBLE AS size FROM customer GROUP BY 1",
         "transitions_read": MQ.transitions_sql(),
         "packs_read": f"{packs} SELECT state, pack_id, runs FROM with_runs",
-        "packs_by_offset_read": f"{packs} SELECT state, TRUE AS in_file, runs FROM with_runs",
-        "pair_costs_sink": MQ.pair_cost_sums_sql(),
+        "packs_by_offset_read": f"""{packs} SELECT state, file_number * {M.FILE_STRIDE} + "offset" AS pack_id, file_number, "offset", runs FROM (
+  SELECT state, runs, pack_id // {PACKS_PER_FILE} AS file_number, CAST(sum(length(runs) + 1) OVER (
+    PARTITION BY state, pack_id // {PACKS_PER_FILE} ORDER BY pack_id) - length(runs) - 1 AS BIGINT) AS "offset" FROM with_runs)""",
+        "pair_costs_sink": MQ.pair_cost_files_sql(N_FILES),
         "state_values_sink": MQ.oracle()["bellman_step"],
     }

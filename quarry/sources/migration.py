@@ -80,20 +80,20 @@ def read_packs(spark: SparkSession, root: str, states: list[int]) -> DataFrame:
 
 
 def read_packs_by_offset(spark: SparkSession, root: str, states: list[int]) -> DataFrame:
-    """Id-less pack files: the byte offset of each line in its file is the pack id.
+    """Id-less pack files: ``(state, pack_id, runs, file_number, offset)``, the byte offset of a line being its id.
 
     A state folder may hold several files: file number n (in path order, from 0) adds
-    n * 2**40, so ids stay unique and a single file's are its offsets.
+    n * 2**40, so ids stay unique and a single file's are its offsets. A line that starts at
+    2**40 or later is an error.
     """
     frames = []
     for k in states:
         lines = with_offsets(ordered_lines(spark, f"{root.rstrip('/')}/state_{k}"))
-        # One row per file.
-        files = lines.select("file").distinct().select(
-            "file", (F.row_number().over(Window.orderBy("file")) - 1).alias("number"))
-        frames.append(lines.join(files, "file").where(F.col("value") != "").select(
-            F.lit(k).alias("state"), (F.col("number").cast("bigint") * FILE_STRIDE + F.col("offset")).alias("pack_id"),
-            _parse_runs(F.col("value")).alias("runs")))
+        files = with_position(lines.select("file").distinct(), ["file"], pos_col="file_number")
+        placed = require(lines.join(files, "file"), F.col("offset") < FILE_STRIDE, "a pack file is longer than its stride of ids")
+        frames.append(placed.where(F.col("value") != "").select(
+            F.lit(k).alias("state"), (F.col("file_number") * FILE_STRIDE + F.col("offset")).alias("pack_id"),
+            _parse_runs(F.col("value")).alias("runs"), "file_number", "offset"))
     packs = frames[0]
     for f in frames[1:]:
         packs = packs.unionByName(f)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,11 +12,21 @@ from pyspark.sql import functions as F
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """One row per line (``value STRING``); directories, globs and compressed files work.
 
-    Split size follows ``spark.sql.files.maxPartitionBytes``; ``min_partitions``
-    deals the lines out evenly to that many tasks (no key, so no skew).
+    Split size follows ``spark.sql.files.maxPartitionBytes``; ``min_partitions`` makes the splits
+    small enough that there are at least that many (as far as the files can be split), with no shuffle.
+    Split settings belong to a session, so the scan is planned in one of its own and handed over as a view.
     """
-    df = spark.read.text(path)
-    return df.repartition(min_partitions) if min_partitions else df
+    if not min_partitions:
+        return spark.read.text(path)
+    narrow = spark.newSession()
+    narrow.conf.set("spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    narrow.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
+    narrow.conf.set("spark.sql.files.openCostInBytes", "0")
+    view = f"lines_{uuid.uuid4().hex}"
+    narrow.read.text(path).createGlobalTempView(view)
+    lines = spark.table(f"global_temp.{view}")
+    narrow.catalog.dropGlobalTempView(view)
+    return lines
 
 
 def ordered_lines(spark: SparkSession, path: str) -> DataFrame:
