@@ -23,7 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import with_position
+from quarry.operators.ordering import running_sums, with_position
+from quarry.session import scratch_copy
 
 ROWS_PER_TASK = 500_000
 
@@ -169,6 +170,140 @@ def overlap_weights(packs: DataFrame, migrations: list[tuple[int, int]],
     return out
 
 
+def overlap_totals(packs: DataFrame, migrations: list[tuple[int, int]]) -> DataFrame:
+    """``(from_state, from_id, from_slot, to_state, cells, shared)``: per run of a pack and other state of a migration, how
+    many runs of that state's packs it meets, and the size it shares with them in all.
+
+    A plane sweep over the sorted cut points. With B(x) the runs that begin before x, E(x) those that end at x
+    or earlier, and their sizes below x summed the same way, a run [s, e) meets B(e) - E(s) others and shares
+    C(e) - C(s), where C(x) = (sizes before the ends) - (sizes before the beginnings) + size(x) (B(x) - E(x)). Two
+    lookups per run and state replace a row per pair of runs; work and output grow with the packs, not their pairs.
+    """
+    spark = packs.sparkSession
+    z = F.arrays_zip("ends", "cum")
+    runs = packs.select("state", "pack_id", "ends", "cum", F.posexplode(z).alias("slot", "_z"))
+    runs = scratch_copy(runs.select(
+        "state", "pack_id", "slot", F.when(F.col("slot") == 0, F.lit(0)).otherwise(F.get("ends", F.col("slot") - 1)).alias("s"),
+        F.when(F.col("slot") == 0, F.lit(0.0)).otherwise(F.get("cum", F.col("slot") - 1)).alias("s_cum"),
+        F.col("_z.ends").alias("e"), F.col("_z.cum").alias("e_cum")), "runs")
+    sides = spark.createDataFrame(sorted({(a, b) for a, b in migrations} | {(b, a) for a, b in migrations}), "from_state INT, to_state INT")
+    # Every cut point is looked up in every state's sweep, so each state has a row for each of them.
+    cuts = runs.select(F.col("s").alias("at"), F.col("s_cum").alias("at_cum")).unionByName(
+        runs.select(F.col("e").alias("at"), F.col("e_cum").alias("at_cum"))).distinct()
+    begins = runs.groupBy("state", F.col("s").alias("at")).agg(F.count(F.lit(1)).alias("begun"), F.sum("s_cum").alias("begun_cum"))
+    finishes = runs.groupBy("state", F.col("e").alias("at")).agg(F.count(F.lit(1)).alias("ended"), F.sum("e_cum").alias("ended_cum"))
+    states = sides.select(F.col("to_state").alias("state")).distinct().agg(F.collect_list("state").alias("s")).first()["s"]
+    events = (cuts.select("*", F.explode(F.array([F.lit(x) for x in states])).alias("state"))
+              .join(begins, ["state", "at"], "left").join(finishes, ["state", "at"], "left")
+              .fillna(0, ["begun", "begun_cum", "ended", "ended_cum"]))
+    values = ["begun", "begun_cum", "ended", "ended_cum"]
+    own = events.select("state", "at", F.col("begun").alias("_b"), F.col("begun_cum").alias("_bc"))
+    swept = running_sums(events, "state", "at", values).join(own, ["state", "at"])
+    # Beginnings at a point itself are not before it.
+    before = F.col("begun") - F.col("_b")
+    swept = scratch_copy(swept.select(
+        F.col("state").alias("to_state"), "at", before.alias("before"), "ended",
+        (F.col("ended_cum") - (F.col("begun_cum") - F.col("_bc")) + F.col("at_cum") * (before - F.col("ended"))).alias("below")), "sweep")
+    at_s = swept.select("to_state", F.col("at").alias("s"), F.col("ended").alias("gone"), F.col("below").alias("below_s"))
+    at_e = swept.select("to_state", F.col("at").alias("e"), F.col("before").alias("come"), F.col("below").alias("below_e"))
+    return (runs.join(sides, runs["state"] == sides["from_state"]).join(at_s, ["to_state", "s"]).join(at_e, ["to_state", "e"])
+            .select("from_state", F.col("pack_id").alias("from_id"), F.col("slot").alias("from_slot"), "to_state",
+                    (F.col("come") - F.col("gone")).alias("cells"), (F.col("below_e") - F.col("below_s")).alias("shared")))
+
+
+# --- the best partner of each pack ---------------------------------------------------------------
+
+def _walked(state: Column, cut: Column, size: Column) -> Column:
+    """The staircase state of pack ``a_ends, a_cum`` after the other pack's run has ended at ``cut``, with ``size`` before it.
+
+    Ends of the pack that come first are taken on the way; see ``with_gain`` for the recurrence. Once the
+    pack has ended nothing changes.
+    """
+    def event(s: Column, here: Column, ends_row: Column, ends_col: Column, i: Column) -> Column:
+        best = F.greatest(s["best"], F.least(s["row"], s["col"]) + here - s["at"])
+        return F.struct(i.alias("i"), here.alias("at"), F.when(ends_row, best).otherwise(s["row"]).alias("row"),
+                        F.when(ends_col, best).otherwise(s["col"]).alias("col"), best.alias("best"))
+
+    def passed(s: Column, i: Column) -> Column:
+        ends_first = (i >= s["i"]) & (F.get("a_ends", i) < cut)
+        return F.when(ends_first, event(s, F.get("a_cum", i), F.lit(True), F.lit(False), i + 1)).otherwise(s)
+
+    def ended(s: Column) -> Column:
+        end = F.get("a_ends", s["i"])
+        return F.when(end.isNull(), s).otherwise(
+            event(s, size, end == cut, F.lit(True), s["i"] + F.when(end == cut, 1).otherwise(0)))
+
+    return F.aggregate(F.sequence(F.lit(0), F.size("a_ends") - 1), state, passed, ended)
+
+
+def _prefix_tree(packs: DataFrame, state: int, arity: int) -> list[DataFrame]:
+    """Levels of the tree of cut points of a state: ``(node, kids)``, kids being ``(node, cut, size)`` of the nodes
+    that go on by one cut; the last level's kids are ``tails``: the two last ends of the packs below, with their ids."""
+    own = packs.where(F.col("state") == state)
+    depth = max(0, arity - 2)
+    tail = F.struct("pack_id", *[F.get(c, F.lit(arity - 1 - back)).alias(f"{name}{back}")
+                                 for back in range(min(2, arity)) for c, name in (("ends", "cut"), ("cum", "size"))])
+    rows = (own.groupBy(F.slice("ends", 1, depth).alias("ends"), F.slice("cum", 1, depth).alias("cum"))
+            .agg(F.min("pack_id").alias("node"), F.array_sort(F.collect_list(tail)).alias("kids")))
+    levels = [scratch_copy(rows, "tree")]
+    for d in range(depth, 0, -1):
+        kid = F.struct("node", F.get("ends", F.lit(d - 1)).alias("cut"), F.get("cum", F.lit(d - 1)).alias("size"))
+        up = levels[0].groupBy(F.slice("ends", 1, d - 1).alias("ends"), F.slice("cum", 1, d - 1).alias("cum")).agg(
+            F.min("node").alias("node"), F.array_sort(F.collect_list(kid)).alias("kids"))
+        levels.insert(0, scratch_copy(up, "tree"))
+    return [level.select("node", "kids") for level in levels]
+
+
+def best_partners(packs: DataFrame, migrations: list[tuple[int, int]], total: float) -> DataFrame:
+    """``(from_state, from_id, to_state, gain, cost, to_id)``: per pack and other state of a migration the largest gain, the
+    cheapest cost, and the pack that gives them (ties: the smallest id). Both directions of each migration.
+
+    Packs of the other state are read as a tree of their cut points. The staircase state of a pack against a
+    prefix of cuts is computed once and goes on to all packs with that prefix; below a prefix of all but
+    two ends, the packs are reduced within the row. So there is a row per pack and prefix, and none per pair
+    of packs; the output has a row per pack and target.
+    """
+    spark = packs.sparkSession
+    arity = {r["state"]: r["k"] for r in packs.groupBy("state").agg(F.max(F.size("ends")).alias("k")).collect()}
+    trees = {s: _prefix_tree(packs, s, k) for s, k in arity.items()}
+    zero = F.lit(0.0)
+    start = F.struct(F.lit(0).alias("i"), zero.alias("at"), zero.alias("row"), zero.alias("col"), zero.alias("best"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frames = []
+    for a, b in sorted({(a, b) for a, b in migrations} | {(b, a) for a, b in migrations}):
+        if a == b:
+            raise ValueError(f"a state cannot migrate to itself: {a}")
+        levels = trees.get(b, [])
+        if a not in arity or not levels:
+            continue
+        here = packs.where(F.col("state") == a).select(
+            F.col("pack_id").alias("from_id"), F.col("ends").alias("a_ends"), F.col("cum").alias("a_cum"),
+            start.alias("state"), F.lit(b).alias("to_state"))
+        # The root is one row: its kids are at most one per item.
+        rows = here.join(levels[0].select(F.lit(b).alias("to_state"), "kids"), "to_state")
+        for level in levels[1:]:
+            opened = rows.select("from_id", "a_ends", "a_cum", "to_state", "state", F.explode("kids").alias("kid"))
+            on = opened.select("from_id", "a_ends", "a_cum", "to_state", _walked(F.col("state"), F.col("kid.cut"), F.col("kid.size")).alias("state"),
+                               F.col("kid.node").alias("node"))
+            rows = on.join(level, "node")
+
+        def told(tail: Column) -> Column:
+            state = F.col("state") if arity[b] == 1 else _walked(F.col("state"), tail["cut1"], tail["size1"])
+            return F.struct((-_walked(state, tail["cut0"], tail["size0"])["best"]).alias("less"), tail["pack_id"].alias("to_id"))
+
+        # The fold over tails is the work; it is spread evenly over tasks by pack and prefix.
+        best = rows.repartition(parts).select("from_id", "to_state", F.array_min(F.transform("kids", told)).alias("best"))
+        frames.append(best.groupBy("from_id", "to_state").agg(F.min("best").alias("best")).select(
+            F.lit(a).alias("from_state"), "from_id", "to_state", (-F.col("best.less")).alias("gain"),
+            (F.lit(float(total)) + F.col("best.less")).alias("cost"), F.col("best.to_id").alias("to_id")))
+    if not frames:
+        return spark.createDataFrame([], "from_state INT, from_id BIGINT, to_state INT, gain DOUBLE, cost DOUBLE, to_id BIGINT")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def both_directions(gains: DataFrame) -> DataFrame:
     """Each unordered pair read in both directions (a generator, no join)."""
     fwd = F.struct(F.col("from_state").alias("fs"), F.col("from_id").alias("fi"),

@@ -28,8 +28,6 @@ from quarry.sources.migration import sizes_from_table, validate_transitions
 
 ROUND = 6
 ORACLE_SWEEPS = 5
-LOW_GAMMA = 0.5  # converges within few sweeps
-THRESHOLD_SWEEPS = 16
 
 
 def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +58,7 @@ class Inputs:
     """Sizes, transitions and packs with sizes attached, written once per call.
 
     Two small results reach the driver: the item count and total (one row) and the
-    transition table (one row per migration). Pack counts of generated packs are
+    distinct migrations (one row per unordered pair of states). Pack counts of generated packs are
     binomials of the item count, so the pack table is never counted.
     """
 
@@ -71,10 +69,8 @@ class Inputs:
         if states:  # a smaller cluster: the migrations among these states alone
             moves = moves.where(F.col("from_state").isin(states) & F.col("to_state").isin(states))
         self.transitions = scratch_copy(moves, "transitions")
-        rows = self.transitions.collect()
-        self.states = sorted({r["from_state"] for r in rows} | {r["to_state"] for r in rows})
-        self.migrations = sorted({(min(r["from_state"], r["to_state"]), max(r["from_state"], r["to_state"]))
-                                  for r in rows})
+        self.migrations = G.canonical_migrations(self.transitions)
+        self.states = sorted({s for pair in self.migrations for s in pair})
         generated = P.generate_packs(self.line, self.states)
         # Generated ids are dense ranks already.
         self.packs = scratch_copy(P.attach_sizes(generated, self.line).withColumn("idx", F.col("pack_id")), "packs")
@@ -93,6 +89,18 @@ def overlap_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.overlap_weights(inp.packs, inp.migrations, inp.counts)
 
 
+def overlap_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per run and other state: the runs it meets and the size it shares, by a plane sweep."""
+    inp = Inputs(spark, sf_dir)
+    return G.overlap_totals(inp.packs, inp.migrations)
+
+
+def best_partners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per pack and other state: largest gain, cheapest cost and who gives it, by the tree of cut points."""
+    inp = Inputs(spark, sf_dir)
+    return G.best_partners(inp.packs, inp.migrations, inp.total)
+
+
 def pair_id_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     pid = pack_pair_id(F.col("l_partkey"), F.col("l_suppkey"))
@@ -142,29 +150,22 @@ def value_iteration_5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return res.values.select("state", "pack_id", F.round("v", ROUND).alias("v"))
 
 
-def _to_threshold(inp: Inputs, gamma: float) -> DataFrame:
-    cost, probs = _cost_and_probs(inp)
-    res = VI.value_iteration(cost, probs, inp.packs, gamma=gamma)
-    cost.drop()
-    return res.values.select("state", "pack_id", F.round("v", ROUND).alias("v"), F.lit(res.sweeps).alias("sweeps"),
-                             F.lit(res.converged).alias("converged"))
-
-
 def value_iteration_to_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every state at the job's discount until a sweep changes less than the threshold, or the sweeps run out
     (``converged`` is false then)."""
-    return _to_threshold(Inputs(spark, sf_dir), VI.GAMMA)
-
-
-def two_states_to_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """States 2 and 3 at a low discount, which a short SQL chain can follow; for tests, not registered."""
-    return _to_threshold(Inputs(spark, sf_dir, states=[2, 3]), LOW_GAMMA)
+    inp = Inputs(spark, sf_dir)
+    cost, probs = _cost_and_probs(inp)
+    res = VI.value_iteration(cost, probs, inp.packs)
+    return res.values.select("state", "pack_id", F.round("v", ROUND).alias("v"), F.lit(res.sweeps).alias("sweeps"),
+                             F.lit(res.converged).alias("converged"))
 
 
 QUERIES = {
     "value_iteration_to_threshold": value_iteration_to_threshold,
     "pack_ranges": pack_ranges,
     "overlap_weights": overlap_weights,
+    "overlap_totals": overlap_totals,
+    "best_partners": best_partners,
     "pair_id_pack": pair_id_pack,
     "pair_gain": pair_gain,
     "pair_cost": pair_cost,
@@ -317,25 +318,6 @@ def _value_iteration_sql(sweeps: int) -> str:
     return _with(*ctes) + "\n" + final
 
 
-def _threshold_sql() -> str:
-    """States 2 and 3 with p = 1 each way, swept in order; the first sweep that changes less than the threshold ends it."""
-    ctes = [_gains_sql(), _directed_cost_cte(),
-            "v2_0 AS (SELECT pack_id, 0.0::DOUBLE AS v FROM packs2)", "v3_0 AS (SELECT pack_id, 0.0::DOUBLE AS v FROM packs3)"]
-    diffs = []
-    for n in range(1, THRESHOLD_SWEEPS + 1):
-        for s, t, source in ((2, 3, f"v3_{n - 1}"), (3, 2, f"v2_{n}")):
-            ctes.append(f"v{s}_{n} AS MATERIALIZED (SELECT c.from_id AS pack_id, min(c.cost + {LOW_GAMMA} * x.v) AS v "
-                        f"FROM dcost c JOIN {source} x ON c.to_state = {t} AND c.to_id = x.pack_id "
-                        f"WHERE c.from_state = {s} GROUP BY c.from_id)")
-        change = " + ".join(f"(SELECT sum(abs(a.v - b.v)) FROM v{s}_{n} a JOIN v{s}_{n - 1} b USING (pack_id))" for s in (2, 3))
-        diffs.append(f"SELECT {n} AS n, {change} AS diff")
-    ctes.append(f"diffs AS ({' UNION ALL '.join(diffs)})")
-    ctes.append(f"stop AS (SELECT min(n)::INTEGER AS n FROM diffs WHERE diff < {VI.THRESHOLD})")
-    parts = [f"SELECT {s} AS state, pack_id, round(v, {ROUND}) AS v, stop.n AS sweeps, TRUE AS converged "
-             f"FROM v{s}_{n}, stop WHERE stop.n = {n}" for s in (2, 3) for n in range(1, THRESHOLD_SWEEPS + 1)]
-    return _with(*ctes) + "\n" + " UNION ALL ".join(parts)
-
-
 def _full_threshold_sql() -> str:
     """Every state in order at the job's discount; the first sweep under the threshold ends it, or the last one allowed."""
     ctes = [_gains_sql(), _directed_cost_cte()]
@@ -384,16 +366,38 @@ def packs_with_runs_sql() -> str:
     return _with(f"with_runs AS ({' UNION ALL '.join(parts)})")
 
 
-def pair_cost_sums_sql() -> str:
+def _overlap_totals_sql() -> str:
+    """From every cell of every pair of packs."""
+    return (f"WITH cells AS ({_overlaps_sql()}), both AS (SELECT from_state, from_id, from_slot, to_state, weight FROM cells "
+            "UNION ALL SELECT to_state, to_id, to_slot, from_state, weight FROM cells) "
+            "SELECT from_state, from_id, from_slot, to_state, count(*) AS cells, sum(weight) AS shared FROM both GROUP BY ALL")
+
+
+def _best_partners_sql() -> str:
+    """From every pair of packs."""
+    return _with(_gains_sql()) + (
+        ", both AS (SELECT from_state, from_id, to_state, to_id, gain, cost FROM gains "
+        "UNION ALL SELECT to_state, to_id, from_state, from_id, gain, cost FROM gains)\n"
+        "SELECT from_state, from_id, to_state, max(gain) AS gain, min(cost) AS cost, arg_min(to_id, (-gain, to_id)) AS to_id "
+        "FROM both GROUP BY from_state, from_id, to_state")
+
+
+def pair_cost_files_sql(n_files: int) -> str:
     return _with(_gains_sql()) + (
-        "\nSELECT from_state, to_state, from_id, count(*) AS n, min(cost) AS cheapest, max(gain) AS best, "
-        f"round(sum(cost), {ROUND}) AS total FROM gains GROUP BY from_state, to_state, from_id")
+        ", placed AS (SELECT *, row_number() OVER (PARTITION BY from_state, to_state ORDER BY from_id, to_id) - 1 AS at, "
+        "count(*) OVER (PARTITION BY from_state, to_state) AS size FROM gains), "
+        f"dealt AS (SELECT *, CAST(at * least({n_files}, size) // size AS INTEGER) AS file FROM placed)\n"
+        "SELECT from_state, to_state, file, count(*) AS n, arg_min(from_id, at) AS first_from, arg_min(to_id, at) AS first_to, "
+        "arg_max(from_id, at) AS last_from, arg_max(to_id, at) AS last_to, TRUE AS ordered, "
+        f"round(sum(cost), {ROUND}) AS total, max(gain) AS best FROM dealt GROUP BY from_state, to_state, file")
 
 
 def oracle() -> dict[str, str]:
     return {
         "pack_ranges": _ranges_sql(),
         "overlap_weights": _overlaps_sql(),
+        "overlap_totals": _overlap_totals_sql(),
+        "best_partners": _best_partners_sql(),
         "pair_id_pack": ("SELECT l_partkey, l_suppkey, (l_partkey << 32) | (l_suppkey & 4294967295) AS pair_id, "
                          "((l_partkey << 32) | (l_suppkey & 4294967295)) >> 32 AS hi, "
                          "((l_partkey << 32) | (l_suppkey & 4294967295)) & 4294967295 AS lo FROM lineitem"),

@@ -12,6 +12,8 @@ from quarry.functions.ids import pack_pair_id, pair_id_high, pair_id_low
 from quarry.operators import gain as G
 from quarry.operators import packs as P
 from quarry.operators import valueiter as VI
+from quarry.plans import migration_queries as MQ
+from quarry.plans import registry
 from quarry.sources import migration as M
 
 ERRORS = (Py4JJavaError, PySparkException)
@@ -286,12 +288,125 @@ def _held_against_sql(query, sql, spark, sf_dir):
     return got
 
 
+LOW_GAMMA = 0.5  # converges within few sweeps
+THRESHOLD_SWEEPS = 16
+
+
+def _two_states_to_threshold(spark, sf_dir):
+    """States 2 and 3 at a low discount, which a short SQL chain can follow."""
+    inp = MQ.Inputs(spark, sf_dir, states=[2, 3])
+    cost, probs = MQ._cost_and_probs(inp)
+    res = VI.value_iteration(cost, probs, inp.packs, gamma=LOW_GAMMA)
+    return res.values.select("state", "pack_id", F.round("v", MQ.ROUND).alias("v"), F.lit(res.sweeps).alias("sweeps"),
+                             F.lit(res.converged).alias("converged"))
+
+
+def _threshold_sql():
+    """States 2 and 3 with p = 1 each way, swept in order; the first sweep that changes less than the threshold ends it."""
+    ctes = [MQ._gains_sql(), MQ._directed_cost_cte(),
+            "v2_0 AS (SELECT pack_id, 0.0::DOUBLE AS v FROM packs2)", "v3_0 AS (SELECT pack_id, 0.0::DOUBLE AS v FROM packs3)"]
+    diffs = []
+    for n in range(1, THRESHOLD_SWEEPS + 1):
+        for s, t, source in ((2, 3, f"v3_{n - 1}"), (3, 2, f"v2_{n}")):
+            ctes.append(f"v{s}_{n} AS MATERIALIZED (SELECT c.from_id AS pack_id, min(c.cost + {LOW_GAMMA} * x.v) AS v "
+                        f"FROM dcost c JOIN {source} x ON c.to_state = {t} AND c.to_id = x.pack_id "
+                        f"WHERE c.from_state = {s} GROUP BY c.from_id)")
+        change = " + ".join(f"(SELECT sum(abs(a.v - b.v)) FROM v{s}_{n} a JOIN v{s}_{n - 1} b USING (pack_id))" for s in (2, 3))
+        diffs.append(f"SELECT {n} AS n, {change} AS diff")
+    ctes.append(f"diffs AS ({' UNION ALL '.join(diffs)})")
+    ctes.append(f"stop AS (SELECT min(n)::INTEGER AS n FROM diffs WHERE diff < {VI.THRESHOLD})")
+    parts = [f"SELECT {s} AS state, pack_id, round(v, {MQ.ROUND}) AS v, stop.n AS sweeps, TRUE AS converged "
+             f"FROM v{s}_{n}, stop WHERE stop.n = {n}" for s in (2, 3) for n in range(1, THRESHOLD_SWEEPS + 1)]
+    return MQ._with(*ctes) + "\n" + " UNION ALL ".join(parts)
+
+
 def test_registered_value_iteration_covers_every_state_at_the_full_discount(spark):
-    from quarry.plans import migration_queries as MQ
-    from quarry.plans import registry
     name = "value_iteration_to_threshold"
     got = _held_against_sql(registry.QUERIES[name], registry.oracle()[name], spark, "/root/testdata/sf0.001")
     assert {s for s, _ in got} == {2, 3, 4} and {c for _, _, c in got.values()} == {True}
     # two states at the low discount, against their own chain
-    two = _held_against_sql(MQ.two_states_to_threshold, MQ._threshold_sql(), spark, "/root/testdata/sf0.001")
+    two = _held_against_sql(_two_states_to_threshold, _threshold_sql(), spark, "/root/testdata/sf0.001")
     assert {s for s, _ in two} == {2, 3} and two[2, 0][0] < got[2, 0][0]
+
+
+def test_sweeps_in_a_job_change_nothing(spark):
+    line = P.item_line(_sizes(spark, [3, 1, 4, 1, 5, 9, 2]))
+    packs = P.attach_sizes(P.generate_packs(line, [2, 3, 4]), line).withColumn("idx", F.col("pack_id"))
+    cost = VI.cost_table(G.pair_gains(packs, [(2, 3), (2, 4), (3, 4)], 25.0))
+    trans = spark.createDataFrame([(2, 3, 2.0), (3, 2, 1.0), (3, 4, 2.0), (4, 3, 1.0)], "from_state INT, to_state INT, weight DOUBLE")
+    probs = VI.transition_probs(trans)
+    told = []
+    for n in (1, 3, 4):
+        res = VI.value_iteration(cost, probs, packs, gamma=0.5, threshold=1.0, sweeps_per_job=n)
+        told.append((res.sweeps, res.diffs, res.converged, {(r.state, r.pack_id): r.v for r in res.values.collect()}))
+    assert told[0] == told[1] == told[2] and told[0][2] and told[0][0] % 3 and told[0][0] % 4
+
+
+def test_messages_are_read_without_an_exchange(spark):
+    line = P.item_line(_sizes(spark, [3, 1, 4, 1, 5]))
+    packs = P.attach_sizes(P.generate_packs(line, [2, 3]), line).withColumn("idx", F.col("pack_id"))
+    cost = VI.cost_table(G.pair_gains(packs, [(2, 3)], 14.0))
+    messages = VI._Messages(cost, packs, [2], [2, 3], {(2, 3): 1.0, (3, 2): 1.0}, 0.9)
+    state = packs.select("state", "pack_id", F.lit(0.0).alias("v"), F.lit(0.0).alias("d"))
+    for _ in range(3):
+        state = messages.update(state, "d", ["d"])
+    plan = plan_text(state)
+    before_cache = plan.split("InMemoryRelation")[0] if "InMemoryRelation" in plan else plan
+    # V once at the start, then one exchange per update (the minima); the cached messages are never exchanged.
+    assert sum(line.lstrip("+-: *()0123456789").startswith("Exchange hashpartitioning") for line in plan.splitlines()
+               if "to_state" in line and "REPARTITION" not in line) <= 1, before_cache
+    messages.rows.unpersist()
+
+
+def test_overlap_totals_against_every_pair(spark):
+    rnd = random.Random(11)
+    sizes = [float(rnd.randint(0, 9)) for _ in range(9)]
+    line = P.item_line(_sizes(spark, sizes))
+    rows = []
+    for k in (1, 2, 3):
+        for i in range(8):
+            total = rnd.randint(k, 9)  # runs may sum below N
+            ends = sorted(rnd.sample(range(1, total), k - 1)) + [total]
+            rows.append((k, i, [e - s for s, e in zip([0] + ends[:-1], ends)]))
+    packs = _packs(spark, line, rows)
+    migrations = [(1, 2), (2, 3)]
+    every = G.overlap_weights(packs, migrations).collect()
+    want = {}
+    for r in every:
+        for key in ((r.from_state, r.from_id, r.from_slot, r.to_state), (r.to_state, r.to_id, r.to_slot, r.from_state)):
+            n, w = want.get(key, (0, 0.0))
+            want[key] = (n + 1, w + r.weight)
+    got = {(r.from_state, r.from_id, r.from_slot, r.to_state): (r.cells, r.shared) for r in G.overlap_totals(packs, migrations).collect()}
+    assert {k: v for k, v in got.items() if v[0]} == want
+    assert all(v == (0, 0.0) for k, v in got.items() if k not in want)
+
+
+def test_best_partners_against_every_pair(spark):
+    rnd = random.Random(12)
+    sizes = [float(rnd.randint(0, 9)) for _ in range(10)]
+    line = P.item_line(_sizes(spark, sizes))
+    rows = []
+    for k in (1, 2, 3, 5):
+        for i in range(15):
+            total = rnd.randint(k, 10)  # runs may sum below N
+            ends = sorted(rnd.sample(range(1, total), k - 1)) + [total]
+            rows.append((k, 7 * i + 3, [e - s for s, e in zip([0] + ends[:-1], ends)]))
+    packs = _packs(spark, line, rows)
+    dense = G.dense_index(packs.drop("idx"))
+    migrations = [(1, 3), (2, 3), (2, 5), (3, 5)]
+    every = G.both_directions(G.pair_gains(dense, migrations, sum(sizes))).collect()
+    want = {}
+    for r in every:
+        key = (r.from_state, r.from_id, r.to_state)
+        want[key] = min(want.get(key, (1.0, 0)), (-r.gain, r.to_id))
+    got = {(r.from_state, r.from_id, r.to_state): (-r.gain, r.to_id, r.cost) for r in G.best_partners(packs, migrations, sum(sizes)).collect()}
+    assert got == {k: (g, i, sum(sizes) + g) for k, (g, i) in want.items()}
+
+
+def test_best_partners_output_follows_the_packs(spark):
+    counts = {}
+    for n in (8, 16):
+        line = P.item_line(_sizes(spark, [1] * n))
+        packs = P.attach_sizes(P.generate_packs(line, [2, 3]), line)
+        counts[n] = (G.best_partners(packs, [(2, 3)], float(n)).count(), packs.count())
+    assert all(out == n_packs for out, n_packs in counts.values())
