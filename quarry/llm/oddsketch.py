@@ -96,10 +96,11 @@ def _most_bits(rule: Rule) -> int:
 
 
 def signatures(docs: DataFrame, id_column: str, text: str, rule: Rule) -> DataFrame:
-    """Per row: id, ``n_shingles``, ``_class`` (digest of the set, null if empty), ``_sketch``, ``_bands``."""
+    """Per row: id, ``_text`` (hash that tells the texts of one id apart), ``n_shingles``, ``_class`` (digest of the set,
+    null if empty), ``_sketch``, ``_bands``."""
     small_batches(docs.sparkSession)
     schema = T.StructType([docs.schema[id_column]] + T._parse_datatype_string(
-        "n_shingles long, _class binary, _sketch array<long>, _bands array<long>").fields)
+        "_text long, n_shingles long, _class binary, _sketch array<long>, _bands array<long>").fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text):
@@ -112,11 +113,11 @@ def signatures(docs: DataFrame, id_column: str, text: str, rule: Rule) -> DataFr
                 rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
                              _sketch(least, rule.bits).view(np.int64), _bands(least, rule.rows).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(id_column), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (
+                [batch.column(id_column), batch.column("_text"), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (
                     pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())), strict=True))],
                 names=[f.name for f in schema.fields])
 
-    return docs.select(id_column, text).mapInArrow(run, schema)
+    return docs.select(id_column, text, F.xxhash64(text).alias("_text")).mapInArrow(run, schema)
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, rule: Rule, name: str) -> DataFrame:
@@ -221,26 +222,33 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     * Documents link if 100 * |A and B| >= threshold * |A or B| over their shingle sets.
     * Null, empty and word-less texts have the empty set and link with nothing.
-    * Ids are longs. A null id is nobody's smallest: the row keeps its own (null) component and is kept.
-    * Rows that repeat an id with an equal text share its verdict. An id must not stand for different texts:
-      if it does, classes named after that id count as one.
+    * Ids are longs. A row with a null id links with nothing: its component is null, and it is kept.
+    * A row is its id and its text: rows that repeat both share a verdict, and an id that stands for different
+      texts has a verdict for each.
     * Texts are taken whole; an empty table gives an empty table; other input columns are not read.
     """
+    return verdicts(docs, id_column, text, rule, name).select(id_column, "n_shingles", "component_id", "kept")
+
+
+def verdicts(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule: Rule | None = None,
+             name: str = "near") -> DataFrame:
+    """``near_duplicates`` with ``text_hash`` (``xxhash64`` of the text) and ``chosen``: true for one id and text of each
+    component, the smallest by id and then by hash, however often the row is there."""
     rule = rule or Rule()
     sig = save(signatures(docs, id_column, text, rule), f"{name}-signatures").withColumnRenamed(id_column, "doc")
-    # One row per class of equal sets, named by its smallest document.
+    # One row per class of equal sets, with its smallest document; numbered as it is stored.
     classes = save(sig.where("_class is not null and doc is not null").groupBy("_class").agg(
-        F.min("doc").alias("node"), F.first("_sketch").alias("_sketch"), F.first("_bands").alias("_bands")),
-        f"{name}-classes")
+        F.min(F.struct("doc", "_text")).alias("least"), F.first("_sketch").alias("_sketch"), F.first("_bands").alias("_bands"))
+        .select("_class", "least.*", "_sketch", "_bands", F.monotonically_increasing_id().alias("node")), f"{name}-classes")
     # Buckets with at least two classes.
     rows = classes.select("node", F.explode("_bands").alias("_key"))
     shared = save(rows.groupBy("_key").agg(F.count("*").alias("n"), F.min("node").alias("lead")).where("n > 1"),
                   f"{name}-shared")
     buckets = save(rows.join(shared, "_key").select("_key", "node", "lead"), f"{name}-buckets")
-    wanted = buckets.select("node").distinct()
-    # The text of each class in a bucket: that of the document it is named after.
-    texts = save(docs.select(F.col(id_column).alias("node"), F.col(text).alias("text"))
-                 .join(wanted, "node", "left_semi"), f"{name}-texts")
+    wanted = classes.select("doc", "_text", "node").join(buckets.select("node").distinct(), "node", "left_semi")
+    # The text of each class in a bucket: that of its smallest document.
+    texts = save(docs.select(F.col(id_column).alias("doc"), F.xxhash64(text).alias("_text"), F.col(text).alias("text"))
+                 .join(wanted, ["doc", "_text"]).select("node", "text"), f"{name}-texts")
 
     links = _confirm(_near(buckets.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")),
                            classes, rule), texts, rule, f"{name}-links")
@@ -254,12 +262,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
             .join(texts, "node"))
     found = components(links.union(_blockwise(left, rule, name)), name)
 
-    # Back to documents: a class's component, then the smallest id of each.
+    # Back to documents: a class's component, and the smallest document of each.
     signed = classes
-    classes = save(classes.select("_class", "node").join(found, "node", "left").select(
-        "_class", F.coalesce("component", "node").alias("component")), f"{name}-found")
-    drop(texts, buckets, signed)
-    whole = sig.select("doc", "n_shingles", "_class").join(classes, "_class", "left")
-    own = F.coalesce("component", "doc")
+    named = save(classes.select("_class", "doc", "_text", "node").join(found, "node", "left").select(
+        "_class", "doc", "_text", F.coalesce("component", "node").alias("component")), f"{name}-named")
+    least = save(named.groupBy("component").agg(F.min(F.struct("doc", "_text")).alias("first")), f"{name}-least")
+    classes = save(named.join(least, "component").select("_class", "first"), f"{name}-found")
+    drop(texts, buckets, signed, named, least)
+    linked = F.when(F.col("doc").isNotNull(), F.col("_class"))
+    whole = sig.select("doc", "_text", "n_shingles", linked.alias("_class")).join(classes, "_class", "left")
+    own = F.coalesce("first.doc", "doc")
+    is_first = (F.col("first.doc") == F.col("doc")) & (F.col("first._text") == F.col("_text"))
     return whole.select(F.col("doc").alias(id_column), "n_shingles", own.alias("component_id"),
-                        own.eqNullSafe(F.col("doc")).alias("kept"))
+                        own.eqNullSafe(F.col("doc")).alias("kept"), F.col("_text").alias("text_hash"),
+                        F.coalesce(is_first, F.lit(True)).alias("chosen"))

@@ -94,3 +94,12 @@ def test_hard_rows(hard, none):
     assert by[(7, 3)].component_id == 6 and not by[(7, 3)].kept and by[(0, 0)].kept
     assert by[(None, 3)].component_id is None and by[(None, 3)].kept
     assert near_duplicates(none).count() == 0
+
+
+def test_null_ids_and_ids_of_several_texts(frame):
+    one = " ".join(f"word{i}" for i in range(60))
+    two = " ".join(f"other{i}" for i in range(60))
+    rows = [(1, one), (None, one), (5, one + " more"), (5, two), (7, two), (9, "alone with a text of its own here"), (9, two + " end")]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(frame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == sorted([(1, 56, 1, True), (None, 56, None, True), (5, 57, 1, False), (5, 56, 5, True), (7, 56, 5, False),
+                          (9, 4, 9, True), (9, 57, 5, False)], key=str)

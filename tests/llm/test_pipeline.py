@@ -87,5 +87,27 @@ def test_null_ids_stay(spark, corpus):
 
 def test_registered():
     names = set(E.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert set(E.oracle_sql()) <= names
+
+
+def test_any_further_column_is_carried(spark, corpus):
+    """Names that the operators use themselves, in every stage."""
+    from pyspark.sql import functions as F
+    names = ["_x", "_copies", "_ident", "_text", "n_words", "kept", "carried0", "a.b"]
+    docs = corpus.where("doc_id < 12 or doc_id > 70").select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    stages = dict(P.STAGES)
+    for stage in ("near_dedup", "substring_dedup", "mixing"):
+        docs = P.save(stages[stage](spark, docs, "").select(*[F.col(f"`{c}`").alias(c.replace("a.b", "a-b")) for c in docs.columns]), "t")
+        rows = docs.collect()
+        names = [n.replace("a.b", "a-b") for n in names]
+        assert docs.columns == [*COLUMNS, *names] and rows and all(r[n] == (n.replace("a-b", "a.b") + str(r.doc_id) if r.doc_id is not None else None)
+                                                                    for r in rows for n in names)
+
+
+def test_one_id_with_several_texts_keeps_each(spark, corpus):
+    words = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(3)]
+    rows = [(1, words[0]), (1, words[1]), (2, words[1] + " more"), (3, words[2]), (3, words[2] + " end"), (3, words[2])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], corpus.schema)
+    got = sorted((r.doc_id, r.text.split()[0], len(r.text.split())) for r in dict(P.STAGES)["near_dedup"](spark, docs, "").collect())
+    assert [g[:2] for g in got] == [(1, "w0x0"), (1, "w1x0"), (3, "w2x0")]
