@@ -368,27 +368,27 @@ def packs_with_runs_sql() -> str:
 
 def _overlap_totals_sql() -> str:
     """From every cell of every pair of packs."""
-    return (f"WITH cells AS ({_overlaps_sql()}), both AS (SELECT from_state, from_id, from_slot, to_state, weight FROM cells "
+    return (f"WITH cells AS ({_overlaps_sql()}), two_way AS (SELECT from_state, from_id, from_slot, to_state, weight FROM cells "
             "UNION ALL SELECT to_state, to_id, to_slot, from_state, weight FROM cells) "
-            "SELECT from_state, from_id, from_slot, to_state, count(*) AS cells, sum(weight) AS shared FROM both GROUP BY ALL")
+            "SELECT from_state, from_id, from_slot, to_state, count(*) AS cells, sum(weight) AS shared FROM two_way GROUP BY ALL")
 
 
 def _best_partners_sql() -> str:
     """From every pair of packs."""
     return _with(_gains_sql()) + (
-        ", both AS (SELECT from_state, from_id, to_state, to_id, gain, cost FROM gains "
+        ", two_way AS (SELECT from_state, from_id, to_state, to_id, gain, cost FROM gains "
         "UNION ALL SELECT to_state, to_id, from_state, from_id, gain, cost FROM gains)\n"
         "SELECT from_state, from_id, to_state, max(gain) AS gain, min(cost) AS cost, arg_min(to_id, (-gain, to_id)) AS to_id "
-        "FROM both GROUP BY from_state, from_id, to_state")
+        "FROM two_way GROUP BY from_state, from_id, to_state")
 
 
 def pair_cost_files_sql(n_files: int) -> str:
     return _with(_gains_sql()) + (
-        ", placed AS (SELECT *, row_number() OVER (PARTITION BY from_state, to_state ORDER BY from_id, to_id) - 1 AS at, "
+        ", placed AS (SELECT *, row_number() OVER (PARTITION BY from_state, to_state ORDER BY from_id, to_id) - 1 AS place, "
         "count(*) OVER (PARTITION BY from_state, to_state) AS size FROM gains), "
-        f"dealt AS (SELECT *, CAST(at * least({n_files}, size) // size AS INTEGER) AS file FROM placed)\n"
-        "SELECT from_state, to_state, file, count(*) AS n, arg_min(from_id, at) AS first_from, arg_min(to_id, at) AS first_to, "
-        "arg_max(from_id, at) AS last_from, arg_max(to_id, at) AS last_to, TRUE AS ordered, "
+        f"dealt AS (SELECT *, CAST(place * least({n_files}, size) // size AS INTEGER) AS file FROM placed)\n"
+        "SELECT from_state, to_state, file, count(*) AS n, arg_min(from_id, place) AS first_from, arg_min(to_id, place) AS first_to, "
+        "arg_max(from_id, place) AS last_from, arg_max(to_id, place) AS last_to, TRUE AS ordered, "
         f"round(sum(cost), {ROUND}) AS total, max(gain) AS best FROM dealt GROUP BY from_state, to_state, file")
 
 
