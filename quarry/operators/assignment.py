@@ -11,9 +11,12 @@ weighs 0. Only totals are unique: tied matchings may come out either way.
    group, however long its large side is; Spark evaluates the rank as a
    partial limit before its shuffle. Absent cells are looked for among the first
    m + degree partners of the group, of which at least m are absent if so many exist.
-2. Matching. Bids against a price table, then shortest augmenting paths over the reduced costs, both as
-   joins and aggregates over the candidates of all groups at once (``auction``). A group's cells are spread over
-   tasks by x or by y, and no task or driver holds a group.
+2. Small groups (at most ``SMALL`` candidates on either side), by subsets: element after element of the smaller side, the
+   best total for each set of partners used so far is joined with the next element's cells and reduced with
+   ``max_by``. A group has at most 2^SMALL sets, and all steps of all groups are one job.
+3. Other groups. Bids against a price table, then shortest augmenting paths over the reduced costs, both as
+   joins and aggregates over the candidates of all these groups at once (``auction``). A group's cells are spread
+   over tasks by x or by y, and no task or driver holds a group.
 
 Weights are taken as whole numbers (exact if they are whole and their spread in a group is below the bits
 that are left, else to the finest power of two that fits, some 2^-40 of the spread), so a result is
@@ -31,6 +34,10 @@ from quarry.operators.ordering import with_position
 from quarry.session import scratch_copy
 
 
+#: Candidates on either side up to which a group is matched by subsets; its sets are 2^SMALL rows at most.
+SMALL = 8
+
+
 def _checked(edges: DataFrame, group: str, x: str, y: str, w: str) -> DataFrame:
     e = edges.select(F.col(group).alias("g"), F.col(x).alias("x"), F.col(y).alias("y"),
                      F.col(w).cast("double").alias("w"))
@@ -63,6 +70,35 @@ def _groups(e: DataFrame, elements: DataFrame) -> DataFrame:
         "low", (F.col("high") - F.col("low")).alias("span"), "whole"), "groups")
 
 
+def _by_subsets(cells: DataFrame, size: int) -> DataFrame:
+    """``(x, y)`` of an optimal matching of every x of groups with at most ``size`` x and few y. ``cells``: ``grp, x, y, w``.
+
+    Everything is partitioned by group, so the steps need no exchange between them.
+    """
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def place(c: str) -> F.Column:
+        return F.dense_rank().over(Window.partitionBy("grp").orderBy(c)) - 1
+
+    numbered = scratch_copy(cells.select("*", place("x").alias("i"), place("y").alias("j"))
+                            .selectExpr("grp", "x", "y", "w", "i", "shiftleft(1, j) AS bit"), "numbered")
+    # A group with fewer x has empty steps, which pass its sets on.
+    idle = (numbered.groupBy("grp").agg(F.max("i").alias("last")).where(F.col("last") < size - 1)
+            .select("grp", F.explode(F.sequence(F.col("last") + 1, F.lit(size - 1))).alias("i"))
+            .select("grp", F.lit(None).cast("long").alias("x"), F.lit(None).cast("long").alias("y"), F.lit(0).cast("long").alias("w"),
+                    "i", F.lit(0).alias("bit")))
+    steps = numbered.unionByName(idle).repartition(parts, "grp")
+    sets = numbered.select("grp").distinct().repartition(parts, "grp").selectExpr(
+        "grp", "0 AS used", "0L AS total", "CAST(array() AS ARRAY<BIGINT>) AS chosen")
+    for i in range(size):
+        sets = (sets.join(steps.where(F.col("i") == i).selectExpr("grp", "y", "w", "bit"), "grp").where("used & bit = 0")
+                .selectExpr("grp", "used | bit AS used", "total + w AS total", "concat(chosen, array(y)) AS chosen")
+                .groupBy("grp", "used").agg(F.expr("max_by(chosen, total) AS chosen"), F.expr("max(total) AS total")))
+    best = sets.groupBy("grp").agg(F.expr("max_by(chosen, total) AS chosen"))
+    taken = best.select("grp", F.posexplode("chosen").alias("i", "y")).where("y IS NOT NULL")
+    return taken.join(numbered, ["grp", "i", "y"]).select("x", "y")
+
+
 def _unit(bits: int) -> F.Column:
     """How many whole numbers a weight of 1 is: 1 if the group's weights are whole and span less than ``bits`` bits, else
     the power of two that makes them span that much."""
@@ -71,12 +107,13 @@ def _unit(bits: int) -> F.Column:
 
 
 def max_weight_assignment(edges: DataFrame, group: str = "grp", x: str = "x", y: str = "y",
-                          weight: str = "weight") -> tuple[DataFrame, DataFrame]:
+                          weight: str = "weight", small: int = SMALL) -> tuple[DataFrame, DataFrame]:
     """Returns ``(pairs, totals)``: ``pairs`` = (group, x, y, weight) of the matching,
     ``totals`` = (group, total, n_pairs).
 
     Any size of either side. A null end, a null, NaN or infinite weight, or a repeated (group, x, y) is an
-    error. ``x`` and ``y`` keep their types; a null group is a group of its own.
+    error. ``x`` and ``y`` keep their types; a null group is a group of its own. ``small`` changes which way a group
+    is matched, and no total.
     """
     e = scratch_copy(_checked(edges, group, x, y, weight), "edges")
     elements = _elements(e)
@@ -102,7 +139,16 @@ def max_weight_assignment(edges: DataFrame, group: str = "grp", x: str = "x", y:
         every.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= F.col("m"))
         .select("grp", F.col("s").alias("x"), F.col("l").alias("y"), F.col("w").alias("weight"),
                 F.round((F.col("w") - F.col("low")) * F.col("unit")).cast("long").alias("w")), "candidates")
-    found = best_matching(candidates.select("grp", "x", "y", "w"), hops)
+    shapes = scratch_copy(candidates.groupBy("grp").agg(F.countDistinct("x").alias("nx"), F.countDistinct("y").alias("ny"))
+                          .select("grp", "nx", (F.greatest("nx", "ny") <= small).alias("small")), "shapes")
+    kinds = {r["small"]: r["most"] for r in shapes.groupBy("small").agg(F.max("nx").alias("most")).collect()}
+    told = candidates.select("grp", "x", "y", "w").join(shapes.select("grp", "small"), "grp")
+    found = []
+    if True in kinds:
+        found.append(_by_subsets(told.where("small").drop("small"), kinds[True]))
+    if False in kinds or not kinds:
+        found.append(best_matching(told.where("NOT small").drop("small"), hops))
+    found = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     matched = candidates.join(found, ["x", "y"]).select(F.col("x").alias("s"), F.col("y").alias("l"), "weight")
     # Either side's element may be the x of an edge; the smaller side's has the group.
     small, large = on.select(F.col("p").alias("s"), "g", F.col("x").alias("sx"), F.col("y").alias("sy")), on.select(

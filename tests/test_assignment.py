@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from quarry.operators.assignment import max_weight_assignment
+from quarry.operators.assignment import SMALL, max_weight_assignment
 
 
 def _edges(spark, cells):
@@ -33,7 +33,9 @@ def _brute(cells):
     return max(sum(w.get((p[j], y), 0.0) for j, y in enumerate(ys)) for p in itertools.permutations(xs, len(ys)))
 
 
-def test_random_groups_against_brute_force(spark):
+@pytest.mark.parametrize("small", [SMALL, 0])
+def test_random_groups_against_brute_force(spark, small):
+    """By subsets, and by bids and paths."""
     rnd = random.Random(3)
     cells = []
     for g in range(12):
@@ -42,7 +44,7 @@ def test_random_groups_against_brute_force(spark):
             for y in range(ny):
                 if rnd.random() < 0.7:            # absent cells count as 0
                     cells.append((g, f"x{x}", f"y{y}", rnd.randint(-5, 9)))
-    _, totals = max_weight_assignment(_edges(spark, cells))
+    _, totals = max_weight_assignment(_edges(spark, cells), small=small)
     got = {r.grp: r.total for r in totals.collect()}
     for g in {c[0] for c in cells}:
         assert got[g] == pytest.approx(_brute([c for c in cells if c[0] == g])), g
