@@ -17,3 +17,9 @@ def require(df: DataFrame, condition: Column, message: str) -> DataFrame:
     """
     ok = F.coalesce(condition, F.lit(False)) | (F.monotonically_increasing_id() < 0)
     return df.where(F.assert_true(ok, F.lit(message)).isNull())
+
+
+def where_here(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.where(condition)``, evaluated where it stands: not moved below the columns that it reads, which would
+    write out their expressions once more. Made non-deterministic the way ``require`` is."""
+    return df.where(F.coalesce(condition, F.lit(False)) | (F.monotonically_increasing_id() < 0))

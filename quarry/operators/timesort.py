@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import replace_newlines
 from quarry.functions.timeparse import (epoch_seconds, parse_slash_time, parse_tweet_time,
                                         parse_with_pattern)
-from quarry.operators.common import require
+from quarry.operators.common import require, where_here
 from quarry.operators.ordering import range_sorted, with_position
 from quarry.session import scratch_copy
 
@@ -54,18 +54,18 @@ def parse_json_records(lines: DataFrame, value_col: str = "value", honor_offset:
     # Only a missing key defaults to ''; null, a number, a boolean or a structure is an error.
     text = (F.when(F.schema_of_variant("_text") == "STRING", F.try_variant_get("_text", "$", "string"))
             .when(F.col("_json") & F.col("_text").isNull(), F.lit("")))
-    wall = when["wall"]
-    epoch = epoch_seconds(wall)
+    # Each step reads the columns of the one before, so that no expression is written out twice.
+    told = fields.select("value", when["wall"].alias("wall"), when["offset_seconds"].alias("_offset"), text.alias("text"))
+    epoch = epoch_seconds(F.col("wall"))
     if honor_offset:
-        epoch = epoch - when["offset_seconds"]
-    told = fields.select("value", epoch.alias("epoch"), wall.alias("wall"), text.alias("text"))
-    return told.withColumn("valid", F.col("wall").isNotNull() & F.col("text").isNotNull())
+        epoch = epoch - F.col("_offset")
+    return told.select("value", epoch.alias("epoch"), "wall", "text", (F.col("wall").isNotNull() & F.col("text").isNotNull()).alias("valid"))
 
 
 def _rendered(records: DataFrame, since: _dt.datetime | None) -> DataFrame:
     """``(epoch, text, line)`` of valid records from ``since`` on."""
     if since is not None:
-        records = records.where(F.col("wall") >= _ntz_literal(since))
+        records = where_here(records, F.col("wall") >= _ntz_literal(since))
     line = F.concat(F.col("epoch").cast("string"), F.lit("@"), replace_newlines(F.col("text")))
     return records.select("epoch", "text", line.alias("line"))
 
@@ -80,7 +80,7 @@ def json_time_records(lines: DataFrame, since: _dt.datetime | None = DEFAULT_SIN
     if on_error == "fail":
         recs = require(recs, F.col("valid"), "unparsable JSON record, time, or null text")
     else:
-        recs = recs.where(F.col("valid"))
+        recs = where_here(recs, F.col("valid"))
     return _rendered(recs, since)
 
 

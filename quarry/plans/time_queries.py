@@ -83,7 +83,7 @@ def json_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = timesort.json_time_sort(json_lines_with_rejects(spark, sf_dir), since=SINCE, on_error="drop", with_pos=True, counts=seen)
     told = seen.get
     return ordered.agg(F.count(F.lit(1)).alias("sorted"), F.max("pos").alias("last_pos")).select(
-        F.lit(told["kept"]).alias("kept"), F.lit(told["early"]).alias("early"), F.lit(told["rejected"]).alias("rejected"), "sorted", "last_pos")
+        *[F.lit(told[c]).cast("bigint").alias(c) for c in ("kept", "early", "rejected")], "sorted", "last_pos")
 
 
 def csv_time_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
