@@ -6,20 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def require(df: DataFrame, condition: Column, message: str) -> DataFrame:
-    """Keep every row, raising ``message`` on the first row where ``condition`` is not true.
+_ROW = "_row_here"
+
+
+def where_here(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.where(condition)``, evaluated where it stands.
 
-    Written as a predicate: a check in a column nobody reads is pruned away.
-    The predicate is made non-deterministic (a never-true term on the row's number,
-    which the optimizer cannot fold away) so it is neither moved below an earlier
-    filter or join nor merged with a later one: exactly the rows that reach this
-    point are checked, as written.
+    The filter reads a row number that the projection below it makes. Such a projection is not
+    deterministic, so the filter is not moved below it, which would write the expressions of the columns it reads
+    out once more, and below no earlier filter or join: exactly the rows that reach this point are tested.
     """
-    ok = F.coalesce(condition, F.lit(False)) | (F.monotonically_increasing_id() < 0)
-    return df.where(F.assert_true(ok, F.lit(message)).isNull())
+    numbered = df.withColumn(_ROW, F.monotonically_increasing_id())
+    return numbered.where(F.coalesce(condition, F.lit(False)) | (F.col(_ROW) < 0)).drop(_ROW)
 
 
-def where_here(df: DataFrame, condition: Column) -> DataFrame:
-    """``df.where(condition)``, evaluated where it stands: not moved below the columns that it reads, which would
-    write out their expressions once more. Made non-deterministic the way ``require`` is."""
-    return df.where(F.coalesce(condition, F.lit(False)) | (F.monotonically_increasing_id() < 0))
+def require(df: DataFrame, condition: Column, message: str) -> DataFrame:
+    """Keep every row, raising ``message`` on the first row where ``condition`` is not true.
+
+    Written as a predicate: a check in a column nobody reads is pruned away. It is
+    evaluated where it stands (see ``where_here``), on exactly the rows that reach this point.
+    """
+    numbered = df.withColumn(_ROW, F.monotonically_increasing_id())
+    ok = F.coalesce(condition, F.lit(False)) | (F.col(_ROW) < 0)
+    return numbered.where(F.assert_true(ok, F.lit(message)).isNull()).drop(_ROW)
