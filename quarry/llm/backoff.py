@@ -1,9 +1,9 @@
 """Operator 4 - stupid-backoff scores against the n-grams of the whole corpus.
 
 Words are the texts' runs of non-space bytes. Every n-gram of every text up to
-``order`` words is counted over all texts (``keycounts``: count tables partitioned
-by hash); each chunk of texts meets the counts of its own n-grams again, and the
-scores of a text's words are summed.
+``order`` words that can count is counted over all texts (``keycounts``: blocks of hashed keys, dealt
+by hash; longer n-grams only where both shorter ones occur elsewhere). Each chunk of texts
+gets the counts of its own n-grams back, and scores and sums its texts' words itself.
 
 The score of a word is c(gram) / c(context) for the longest gram ending there that
 occurs elsewhere, times ``discount`` for every shorter step; a text's own n-grams are

@@ -4,12 +4,12 @@ A passage repeats when the same ``window`` consecutive words start at two places
 in one document or two. Finding them takes three steps:
 
 1. Seeds. Every window's smallest ``gram``-word hash is its anchor (winnowing), so
-   equal windows have equal anchors at the same offset. Anchors are joined over
+   equal windows have equal anchors at the same offset. Anchors are counted over
    the corpus; about one word in fifteen is an anchor.
-2. Extension. Only in documents that share an anchor, each shared anchor is grown
-   both ways over the windows it anchors, and these are compared over the corpus
-   by their hash. No pairs are formed: a passage held by a million documents
-   costs one entry per chunk of documents.
+2. Extension. Anchors that occur twice or more pick the windows to look at: those
+   around them, both ways. These are counted over the corpus by their hash, and those that
+   occur again are kept. No documents are joined and no pairs are formed: a passage held by a
+   million documents costs one entry per chunk of documents.
 3. Adjoining repeated windows merge into maximal repeats, whose words go.
 
 Documents with the same word sequence are one class: one of them stands for all
