@@ -147,7 +147,9 @@ def read_back(formatted: DataFrame, id_column: str = "conv_id") -> DataFrame:
         if state is not None:
             yield _rows([(now, *_closed(state))], schema)
 
-    order = [F.col(id_column), F.col("turn"), F.col("role"), F.col("rendered")]
+    escaped = F.substring("rendered", F.col("text_begin") + 1, F.col("text_end") - F.col("text_begin"))
+    said = F.regexp_replace(escaped, r"\\([\\\[\]<])", "$1")  # only looked at where turn and role tie
+    order = [F.col(id_column), F.col("turn"), F.col("role"), said]
     return formatted.repartition(id_column).sortWithinPartitions(*order).mapInArrow(run, schema)
 
 

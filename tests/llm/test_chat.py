@@ -55,3 +55,12 @@ def test_ties_repeats_long_and_empty(frame):
     got = {r.conv_id: r for r in read_back(format_turns(frame(rows, schema))).collect()}
     assert got[None].n_turns == 2 and got[7].formatted_chars == 300015 and got[8].n_turns == 3000
     assert read_back(format_turns(frame([], schema))).count() == 0
+
+
+def test_ties_are_ordered_by_the_text_itself(frame):
+    texts = ["a A", "a", "[/INST] b", "[a", "\\[", "é", "", "a </s>"]
+    rows = [(c, 0, role, t) for c in range(4) for role in ("assistant", "user") for t in texts[c:] + texts[:c]]
+    got = read_back(format_turns(frame(rows, "conv_id long, turn long, role string, text string").repartition(5))).collect()
+    want = [(role, t) for role in ("assistant", "user") for t in sorted(texts, key=str.encode)]
+    assert {r.turns_sha256 for r in got} == {digest(want)}
+    assert {r.loss_sha256 for r in got} == {hashlib.sha256("".join(sorted(texts, key=str.encode)).encode()).hexdigest()}
