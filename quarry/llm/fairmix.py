@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,13 +89,24 @@ def sources_of(sizes: DataFrame, rule: Rule, name: str) -> DataFrame:
     return save(_targets(placed, rule), name)
 
 
+def _counted(order: DataFrame, column: str) -> DataFrame:
+    """How often each unit is taken; a unit is its id, source and ``_ident``, as texts may share the hash."""
+    return order.groupBy(F.col("_ident").alias("_unit"), F.col("id").alias("_unit_id"), F.col("source").alias("_unit_source")).agg(
+        F.count("*").alias(column))
+
+
+def _same_unit(id_column: str, source: str) -> Column:
+    return ((F.col("_ident") == F.col("_unit")) & F.col(id_column).eqNullSafe(F.col("_unit_id"))
+            & F.col(source).eqNullSafe(F.col("_unit_source")))
+
+
 def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source", text: str = "text",
         rule: Rule | None = None, name: str = "mix") -> tuple[DataFrame, DataFrame]:
     """``(documents, order)``.
 
     ``documents`` has per input row ``id, size, source_size, target, copies, taken, _ident``:
     how often the mix takes the row, and the words that makes. ``order`` has a row per taken
-    copy: ``_ident, epoch, virtual_finish, words_so_far``.
+    copy: ``_ident, id, source, epoch, virtual_finish, words_so_far``.
 
     * Null, empty and word-less texts have size 0; they are taken once, when their place in the order comes.
     * A null source is a source of its own, after all others. Null ids sort first within the shuffle.
@@ -109,19 +120,19 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source", text
     key = F.md5(F.concat(F.lit(f"{rule.seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
     units = (sizes.groupBy("id", "source", "_ident").agg(F.sum("size").alias("size"))
              .join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-             .select("_ident", "id", "position", "size", "source_size", "_earlier", "target", key.alias("_key")))
+             .select("_ident", "id", "source", "position", "size", "source_size", "_earlier", "target", key.alias("_key")))
     places = running_total(units, ["position", "_key", "id", "_ident"], "size", "_upto", f"{name}-places")
     begun = F.col("_upto") - F.col("_earlier") - F.col("size") + F.col("epoch") * F.col("source_size")
     copies = (places.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(rule.most - 1))))
               .where((begun < F.col("target")) & (F.col("target") > 0))
               .withColumn("virtual_finish", (begun + F.col("size")) / F.col("target"))
-              .select("_ident", "id", "position", "_key", "size", "epoch", "virtual_finish"))
+              .select("_ident", "id", "source", "position", "_key", "size", "epoch", "virtual_finish"))
     budget = float(sources.agg(F.sum("target")).first()[0] or 0.0)
     order = running_total(copies, ["virtual_finish", "position", "_key", "id", "_ident", "epoch"], "size",
                           "words_so_far", f"{name}-order").where(F.col("words_so_far") <= F.lit(budget))
-    order = order.select("_ident", "id", "epoch", "virtual_finish", "words_so_far")
-    counts = save(order.groupBy("_ident").agg(F.count("*").alias("copies")), f"{name}-copies")
-    documents = (sizes.join(counts, "_ident", "left")
+    order = order.select("_ident", "id", "source", "epoch", "virtual_finish", "words_so_far")
+    counts = save(_counted(order, "copies"), f"{name}-copies")
+    documents = (sizes.join(counts, _same_unit("id", "source"), "left")
                  .join(sources.withColumnRenamed("source", "_source").select("_source", "source_size", "target"),
                        F.col("source").eqNullSafe(F.col("_source")))
                  .withColumn("copies", F.coalesce("copies", F.lit(0)))
@@ -134,7 +145,7 @@ def take(docs: DataFrame, id_column: str = "doc_id", source: str = "source", tex
          rule: Rule | None = None, name: str = "mix") -> DataFrame:
     """The mixed rows themselves: each row of ``docs`` as often as the mix takes it, same columns."""
     _, order = mix(docs, id_column, source, text, rule, name)
-    copies = save(order.groupBy("_ident").agg(F.count("*").alias("_copies")), f"{name}-copies")
-    rows = docs.withColumn("_ident", F.xxhash64(id_column, source, text)).join(copies, "_ident")
+    copies = save(_counted(order, "_copies"), f"{name}-copies")
+    rows = docs.withColumn("_ident", F.xxhash64(id_column, source, text)).join(copies, _same_unit(id_column, source))
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(
         *[F.col(f"`{c}`") for c in docs.columns])
