@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.scratch import small_batches
+from quarry.llm.scratch import save, small_batches
 from quarry.llm.textwords import Words, mix, pieces, sums
 
 UNKNOWN = "und"
@@ -40,7 +40,6 @@ class Rule:
     buckets: int = 1 << 15
     width: int = 16
     sample_rows: int = 2000
-    most_languages: int = 1000
     epochs: int = 12
     least_steps: int = 1500
     batch: int = 16
@@ -111,17 +110,17 @@ def _has_letter(texts: pa.Array) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Rows to learn from: ``lang`` and the bucket counts of the whole text, ``sample_rows`` in expectation."""
-    counts = docs.groupBy("lang").agg(F.count("*").alias("n"))
-    sizes = {r["lang"]: r["n"] for r in counts.limit(rule.most_languages + 1).collect()}
-    if len(sizes) > rule.most_languages:
-        raise ValueError(f"more than {rule.most_languages} languages")
-    quota = rule.sample_rows / max(1, len(sizes))
-    shares = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, quota / n)))]) if sizes else None
-    if shares is None:
-        return docs.sparkSession.createDataFrame([], "lang string, key long, buckets array<int>, counts array<int>")
-    draw = F.pmod(F.xxhash64("doc", F.lit(rule.seed)), F.lit(1 << 30)) / float(1 << 30)
-    picked = docs.where(draw < shares[F.col("lang")]).withColumn("key", F.xxhash64("doc"))
+    """Rows to learn from: ``lang`` and the bucket counts of the whole text, at most ``sample_rows`` in expectation.
+
+    However many languages there are, each has its share of them. A row is drawn by its id and text; rows
+    equal in both are learnt from once. The counts per language are a written table, so Spark knows their
+    size when it chooses the join.
+    """
+    counts = save(docs.groupBy("lang").agg(F.count("*").alias("n")), "langid-counts")
+    quota = rule.sample_rows / max(1, counts.count())
+    draw = F.pmod(F.xxhash64("doc", "text", F.lit(rule.seed)), F.lit(1 << 30)) / float(1 << 30)
+    picked = docs.join(counts, "lang").where(draw < F.lit(quota) / F.col("n")).withColumn(
+        "key", F.xxhash64("doc", "text")).dropDuplicates(["lang", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", 1 << 20):
@@ -214,6 +213,7 @@ def identify(docs: DataFrame, learn_from, id_column: str = "doc_id", text: str =
     ``learn_from`` is a condition on ``docs``; of its rows, those with a language and a text are learnt from.
 
     * A null text, or one without a letter, is ``und`` with score 0, and rejected.
+    * Rows that share an id are drawn apart unless their text is the same too; such copies are learnt from once.
     * With nothing to learn from every row is ``und``. With one language every text with a letter is that language.
     * Repeated rows get equal answers; texts are read whole; an empty table gives an empty table.
     * ``lang`` serves training alone; other columns are not read.

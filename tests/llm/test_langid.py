@@ -62,3 +62,13 @@ def test_hard_rows(hard, none):
     assert by[5].lang_pred == "en" and by[8].lang_pred == "en"
     assert identify(none, F.lit(True)).count() == 0
     assert {r.lang_pred for r in identify(hard, F.lit(False)).collect()} == {"und"}
+
+
+def test_many_languages_hot_ids_and_copies(frame):
+    rows = [(7, f"hot id with text {i} of many", "en") for i in range(3000)] + [(8, "one text copied over and over", "en")] * 3000
+    rows += [(100 + i, f"ein satz nummer {i}", f"l{i}") for i in range(1200)]
+    df = frame(rows, "doc_id long, text string, lang string").select(F.col("doc_id").alias("doc"), "text", "lang")
+    rule = Rule(sample_rows=2400)  # two rows of a language
+    picked = langid._sample(df, rule).collect()
+    assert len([r for r in picked if r.lang != "en"]) == 1200 and len([r for r in picked if r.lang == "en"]) < 20
+    assert len({(r.lang, r.key) for r in picked}) == len(picked)
