@@ -73,9 +73,10 @@ def _sums(cells: dict[str, np.ndarray]) -> pa.RecordBatch:
 
 
 def _gathered(sums: DataFrame, shapes: dict[str, tuple[int, ...]], kind: type) -> dict[str, np.ndarray]:
-    """The matrices summed over all tasks: at most as many rows as they have cells."""
+    """The matrices summed over all tasks: at most as many rows as they have cells, fetched by one job
+    (``toLocalIterator`` runs a job for every partition)."""
     out = {what: np.zeros(shape, kind) for what, shape in shapes.items()}
-    for row in sums.groupBy("what", "cell").agg(F.sum("total").alias("total")).toLocalIterator():
+    for row in sums.groupBy("what", "cell").agg(F.sum("total").alias("total")).collect():
         out[row.what].flat[row.cell] = row.total
     return out
 

@@ -84,3 +84,19 @@ def test_bound_leaves_out_most_centroids_and_never_the_nearest():
     every = ((ints[:, None, :] - centroids) ** 2).sum(axis=2)
     assert (number == every.argmin(axis=1)).all() and (distance == every.min(axis=1)).all()
     assert measured < 2 * len(ints)
+
+
+def test_jobs_do_not_grow_with_partitions(spark, frame):
+    rule = Rule(clusters=3, rounds=4, dims=2, lead=1)
+    rows = _rows(40, 2, 5)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    begun = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        assert _got(frame, rows, rule) == _brute(rows, rule)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() - begun < 40
