@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import fairmix, fertility, oddsketch, packing, repeats
-from quarry.llm.scratch import save
+from quarry.llm.scratch import save, text_files
 
 
 def _columns(docs: DataFrame) -> list[Column]:
@@ -46,19 +46,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = oddsketch.verdicts(docs, name="stage-near").where("chosen and doc_id is not null").select(
         "doc_id", F.col("text_hash").alias(mark))
     one = marked.join(kept, ["doc_id", mark], "left_semi").dropDuplicates(["doc_id", mark])
-    return one.select(*_columns(docs)).unionByName(docs.where("doc_id is null"))
+    return one.select(*_columns(docs)).unionByName(docs.where("doc_id is null")).coalesce(text_files(docs))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take out the passages that repeat in or across documents (operator 5); ``n_chars`` follows the text."""
-    left = _back(docs, repeats.remove_repeats(_renamed(docs, ["doc_id", "text"]), name="stage-repeats"), ["doc_id", "text"])
+    files = text_files(docs)
+    left = _back(docs, repeats.remove_repeats(_renamed(docs, ["doc_id", "text"]), name="stage-repeats"), ["doc_id", "text"]).coalesce(files)
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*_columns(docs)) if "n_chars" in docs.columns else left
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: a document is left out, or repeated, as the mix takes it (operator 6)."""
     read = ["doc_id", "source", "text"]
-    return _back(docs, fairmix.take(_renamed(docs, read), name="stage-mix"), read)
+    return _back(docs, fairmix.take(_renamed(docs, read), name="stage-mix"), read).coalesce(text_files(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

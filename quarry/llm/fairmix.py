@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.running import running_total
-from quarry.llm.scratch import save, small_batches
+from quarry.llm.scratch import files_for, save, small_batches
 from quarry.llm.textwords import Words, pieces
 
 
@@ -116,12 +116,13 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source", text
     """
     rule = rule or Rule()
     sizes = save(sized(docs, id_column, source, text), f"{name}-sizes")
+    files = files_for(docs.sparkSession, sizes.count())
     sources = sources_of(sizes, rule, f"{name}-sources")
     key = F.md5(F.concat(F.lit(f"{rule.seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
     units = (sizes.groupBy("id", "source", "_ident").agg(F.sum("size").alias("size"))
              .join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
              .select("_ident", "id", "source", "position", "size", "source_size", "_earlier", "target", key.alias("_key")))
-    places = running_total(units, ["position", "_key", "id", "_ident"], "size", "_upto", f"{name}-places")
+    places = running_total(units, ["position", "_key", "id", "_ident"], "size", "_upto", f"{name}-places", files)
     begun = F.col("_upto") - F.col("_earlier") - F.col("size") + F.col("epoch") * F.col("source_size")
     copies = (places.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(rule.most - 1))))
               .where((begun < F.col("target")) & (F.col("target") > 0))
@@ -129,9 +130,9 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source", text
               .select("_ident", "id", "source", "position", "_key", "size", "epoch", "virtual_finish"))
     budget = float(sources.agg(F.sum("target")).first()[0] or 0.0)
     order = running_total(copies, ["virtual_finish", "position", "_key", "id", "_ident", "epoch"], "size",
-                          "words_so_far", f"{name}-order").where(F.col("words_so_far") <= F.lit(budget))
+                          "words_so_far", f"{name}-order", files).where(F.col("words_so_far") <= F.lit(budget))
     order = order.select("_ident", "id", "source", "epoch", "virtual_finish", "words_so_far")
-    counts = save(_counted(order, "copies"), f"{name}-copies")
+    counts = save(_counted(order, "copies"), f"{name}-copies", files)
     documents = (sizes.join(counts, _same_unit("id", "source"), "left")
                  .join(sources.withColumnRenamed("source", "_source").select("_source", "source_size", "target"),
                        F.col("source").eqNullSafe(F.col("_source")))
@@ -145,7 +146,7 @@ def take(docs: DataFrame, id_column: str = "doc_id", source: str = "source", tex
          rule: Rule | None = None, name: str = "mix") -> DataFrame:
     """The mixed rows themselves: each row of ``docs`` as often as the mix takes it, same columns."""
     _, order = mix(docs, id_column, source, text, rule, name)
-    copies = save(_counted(order, "_copies"), f"{name}-copies")
+    copies = save(_counted(order, "_copies"), f"{name}-copies", files_for(docs.sparkSession, order.count()))
     rows = docs.withColumn("_ident", F.xxhash64(id_column, source, text)).join(copies, _same_unit(id_column, source))
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(
         *[F.col(f"`{c}`") for c in docs.columns])

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.components import components
-from quarry.llm.scratch import drop, save, small_batches
+from quarry.llm.scratch import drop, files_for, save, small_batches, text_files
 from quarry.llm.textwords import Words, mix, pieces, window_hashes
 
 
@@ -120,14 +120,14 @@ def signatures(docs: DataFrame, id_column: str, text: str, rule: Rule) -> DataFr
     return docs.select(id_column, text, F.xxhash64(text).alias("_text")).mapInArrow(run, schema)
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, rule: Rule, name: str) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, rule: Rule, name: str, files: int) -> DataFrame:
     """The ``(a, b)`` pairs whose full sets are similar enough.
 
     Each ``a`` meets its ``b`` in groups of at most about ``block`` texts, so one
     ``a`` with very many partners is spread over as many groups as it needs.
     """
-    pairs = save(pairs.withColumn("_salt", F.pmod(F.xxhash64("b"), F.lit(1 << 30))), name)
-    groups = save(pairs.groupBy("a").agg(F.ceil(F.count("*") / rule.block).alias("_groups")), name)
+    pairs = save(pairs.withColumn("_salt", F.pmod(F.xxhash64("b"), F.lit(1 << 30))), name, files)
+    groups = save(pairs.groupBy("a").agg(F.ceil(F.count("*") / rule.block).alias("_groups")), name, files)
     pairs = pairs.join(groups, "a").select("a", "b", F.pmod("_salt", F.col("_groups")).alias("_group"))
     first = pairs.select("a", "_group").distinct().join(texts, F.col("a") == F.col("node")).select(
         "a", "_group", F.lit(None).cast("long").alias("b"), "text")
@@ -149,7 +149,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, rule: Rule, name: str) -> DataF
                                              schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     dealt = first.union(other).repartition("a", "_group").sortWithinPartitions("a", "_group", F.col("b").asc_nulls_first())
-    return save(dealt.mapInArrow(check, "a long, b long"), name)
+    return save(dealt.mapInArrow(check, "a long, b long"), name, files)
 
 
 def _near(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
@@ -162,7 +162,7 @@ def _near(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     return both.where(differing <= _most_bits(rule)).select("a", "b")
 
 
-def _blockwise(buckets: DataFrame, rule: Rule, name: str) -> DataFrame:
+def _blockwise(buckets: DataFrame, rule: Rule, name: str, files: int) -> DataFrame:
     """Links between different components within each bucket, block against block.
 
     ``buckets`` has ``_key, node, _component, _sketch, _bands, text``. A bucket of n rows is dealt into blocks and
@@ -170,7 +170,7 @@ def _blockwise(buckets: DataFrame, rule: Rule, name: str) -> DataFrame:
     by bitmap, then by full sets; only links that join two components leave the task, so neither a
     crowd of similar texts nor one of almost similar texts makes more rows than it has texts.
     """
-    sizes = save(buckets.groupBy("_key").agg(F.ceil(F.count("*") / rule.block).alias("_blocks")), f"{name}-sizes")
+    sizes = save(buckets.groupBy("_key").agg(F.ceil(F.count("*") / rule.block).alias("_blocks")), f"{name}-sizes", files)
     own = buckets.join(sizes, "_key").withColumn("_own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("_blocks")))
     dealt = own.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
         "_key", F.least("_own", "_with").alias("_i"), F.greatest("_own", "_with").alias("_j"), "_own", "node",
@@ -236,38 +236,39 @@ def verdicts(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rul
     component, the smallest by id and then by hash, however often the row is there."""
     rule = rule or Rule()
     sig = save(signatures(docs, id_column, text, rule), f"{name}-signatures").withColumnRenamed(id_column, "doc")
+    files = files_for(docs.sparkSession, sig.count())
     # One row per class of equal sets, with its smallest document; numbered as it is stored.
     classes = save(sig.where("_class is not null and doc is not null").groupBy("_class").agg(
         F.min(F.struct("doc", "_text")).alias("least"), F.first("_sketch").alias("_sketch"), F.first("_bands").alias("_bands"))
-        .select("_class", "least.*", "_sketch", "_bands", F.monotonically_increasing_id().alias("node")), f"{name}-classes")
+        .select("_class", "least.*", "_sketch", "_bands", F.monotonically_increasing_id().alias("node")), f"{name}-classes", files)
     # Buckets with at least two classes.
     rows = classes.select("node", F.explode("_bands").alias("_key"))
     shared = save(rows.groupBy("_key").agg(F.count("*").alias("n"), F.min("node").alias("lead")).where("n > 1"),
-                  f"{name}-shared")
-    buckets = save(rows.join(shared, "_key").select("_key", "node", "lead"), f"{name}-buckets")
+                  f"{name}-shared", files)
+    buckets = save(rows.join(shared, "_key").select("_key", "node", "lead"), f"{name}-buckets", files)
     wanted = classes.select("doc", "_text", "node").join(buckets.select("node").distinct(), "node", "left_semi")
     # The text of each class in a bucket: that of its smallest document.
     texts = save(docs.select(F.col(id_column).alias("doc"), F.xxhash64(text).alias("_text"), F.col(text).alias("text"))
-                 .join(wanted, ["doc", "_text"]).select("node", "text"), f"{name}-texts")
+                 .join(wanted, ["doc", "_text"]).select("node", "text"), f"{name}-texts", text_files(docs, text))
 
     links = _confirm(_near(buckets.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")),
-                           classes, rule), texts, rule, f"{name}-links")
+                           classes, rule), texts, rule, f"{name}-links", files)
     # Texts with one mark are certainly in one component: the smallest text they are linked to, or themselves.
-    linked = save(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("_low")), f"{name}-linked")
+    linked = save(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("_low")), f"{name}-linked", files)
     now = save(buckets.select("_key", "node").join(linked, "node", "left").select(
-        "_key", "node", F.coalesce("_low", "node").alias("_component")), f"{name}-now")
+        "_key", "node", F.coalesce("_low", "node").alias("_component")), f"{name}-now", files)
     split = save(now.groupBy("_key").agg(F.min("_component").alias("_low"), F.max("_component").alias("_high"))
-                 .where("_low <> _high").select("_key"), f"{name}-split")
+                 .where("_low <> _high").select("_key"), f"{name}-split", files)
     left = (now.join(split, "_key", "left_semi").join(classes.select("node", "_sketch", "_bands"), "node")
             .join(texts, "node"))
-    found = components(links.union(_blockwise(left, rule, name)), name)
+    found = components(links.union(_blockwise(left, rule, name, files)), name, files)
 
     # Back to documents: a class's component, and the smallest document of each.
     signed = classes
     named = save(classes.select("_class", "doc", "_text", "node").join(found, "node", "left").select(
-        "_class", "doc", "_text", F.coalesce("component", "node").alias("component")), f"{name}-named")
-    least = save(named.groupBy("component").agg(F.min(F.struct("doc", "_text")).alias("first")), f"{name}-least")
-    classes = save(named.join(least, "component").select("_class", "first"), f"{name}-found")
+        "_class", "doc", "_text", F.coalesce("component", "node").alias("component")), f"{name}-named", files)
+    least = save(named.groupBy("component").agg(F.min(F.struct("doc", "_text")).alias("first")), f"{name}-least", files)
+    classes = save(named.join(least, "component").select("_class", "first"), f"{name}-found", files)
     drop(texts, buckets, signed, named, least)
     linked = F.when(F.col("doc").isNotNull(), F.col("_class"))
     whole = sig.select("doc", "_text", "n_shingles", linked.alias("_class")).join(classes, "_class", "left")

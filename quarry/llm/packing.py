@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.running import running_total
-from quarry.llm.scratch import save, small_batches
+from quarry.llm.scratch import files_for, save, small_batches
 from quarry.llm.textwords import Words, pieces
 from quarry.llm.vocab import WordTokens, byte_level_encoder, per_worker, public_path, rank_encoder
 
@@ -295,5 +295,6 @@ def pack(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rule: R
 
     numbered = running_total(
         cut.withColumn("_one", F.lit(1).cast("long")).withColumn("_key", F.xxhash64("id", "start")),
-        ["length", "_key", "id", "start", "ids_crc32"], "_one", "_number", f"{name}-numbered")
+        ["length", "_key", "id", "start", "ids_crc32"], "_one", "_number", f"{name}-numbered",
+        files_for(docs.sparkSession, sum(counts.values())))
     return numbered.select("id", "piece", "start", "length", "ids_crc32", "_number").mapInArrow(place, schema)

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from quarry.llm import keycounts
 from quarry.llm.keycounts import Space
-from quarry.llm.scratch import drop, save
+from quarry.llm.scratch import drop, files_for, save
 from quarry.llm.textwords import Words, among, sliding_min, window_hashes
 
 
@@ -156,13 +156,14 @@ def remove_repeats(docs: DataFrame, text: str = "text", rule: Rule | None = None
     # (Aggregates are written before they are joined: only then can Spark split a hot class.)
     sharing = seeds.where("_shared is not null").withColumn("_pick", F.hash(F.lit(0), *[f.name for f in others]))
     classes = save(sharing.groupBy("_class").agg(F.count("*").alias("_copies"), F.min("_pick").alias("_pick")),
-                   f"{name}-classes")
+                   f"{name}-classes", files_for(docs.sparkSession, seeds.count()))
     stands = (sharing.select("_class", text, "_shared", "_pick").join(classes, ["_class", "_pick"])
               .withColumn("_chunk", F.pmod(F.xxhash64("_class"), F.lit(1 << 40)))
               .select("_chunk", "_class", "_copies", text, "_shared"))
     size = stands.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    files = files_for(docs.sparkSession, size=size)
     stands = save(stands.withColumn("_chunk", F.pmod("_chunk", F.lit(max(1, -(-size // keycounts.CHUNK_BYTES))))),
-                  f"{name}-stands")
+                  f"{name}-stands", files)
 
     def shared_of(rows: pa.Table) -> list[np.ndarray]:
         return [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("_shared")]
@@ -192,7 +193,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", rule: Rule | None = None
     removed = T._parse_datatype_string("_class binary, _removed long, _sha string, _left string")
     cut = save(keycounts.counted(stands, space, lambda rows: _count(
         _window_keys(rows.column(text), shared_of(rows), rule, space)[1]), extend, removed).dropDuplicates(["_class"]),
-        f"{name}-cut")
+        f"{name}-cut", files)
 
     drop(stands)
     left = F.coalesce("_left", text).alias(text) if texts else None
